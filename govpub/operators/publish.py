@@ -20,6 +20,7 @@ from govpub.functions.skew import latest_by
 from govpub.operators.ingest import utc_now
 from govpub.operators.quality import issue_summary
 from govpub.sources.contract import STAR_TABLES
+from govpub.sources.extract import in_parallel
 from govpub.sources.store import Store
 
 LEDGER = "ops.publication_ledger"
@@ -86,8 +87,8 @@ def reconcile_totals(totals: DataFrame, names: Mapping[str, tuple[str, str]]) ->
 
 def write_candidate(store: Store, tables: Mapping[str, DataFrame], publication_id: str) -> None:
     """Write the slice of this publication in every table; a rerun replaces it."""
-    for name, df in tables.items():
-        store.replace_slice(df, f"serve.{name}", {"PublicationId": publication_id})
+    in_parallel(lambda item: store.replace_slice(item[1], f"serve.{item[0]}", {"PublicationId": publication_id}),
+                list(tables.items()))
 
 
 def table_counts(store: Store, publication_id: str, tables: Sequence[str] = tuple(STAR_TABLES),

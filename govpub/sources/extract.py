@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,8 +48,13 @@ def copy_batch(config: DataFrame, read: Callable[[str], DataFrame], landing: str
         frame.write.mode("overwrite").parquet(f"{landing}/{batch_id}/{row['entity_name']}")
         return row["entity_name"]
 
+    return in_parallel(copy, entities, workers)
+
+
+def in_parallel(work: Callable, items: Sequence, workers: int = MAX_PARALLEL) -> list:
+    """Submit independent Spark jobs from a few driver threads; the first failure is raised."""
     with ThreadPoolExecutor(max_workers=min(workers, MAX_PARALLEL)) as pool:
-        return list(pool.map(copy, entities))
+        return list(pool.map(work, items))
 
 
 def without_control(config: DataFrame) -> DataFrame:
