@@ -328,10 +328,20 @@ def single_publication(tables: Mapping[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def publication_delta(store: Store, table: str, key: Sequence[str], measures: Sequence[str], old: str,
-                      new: str) -> DataFrame:
-    """Rows whose measures differ between two publications."""
-    a = store.publication_slice(f"serve.{table}", old).select(*key, *[F.col(m).alias(f"{m}_old") for m in measures])
-    b = store.publication_slice(f"serve.{table}", new).select(*key, *[F.col(m).alias(f"{m}_new") for m in measures])
+def delta(old: DataFrame, new: DataFrame, key: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """Rows of two versions whose measures differ, including rows only one of them has."""
+    a = old.select(*key, *[F.col(m).alias(f"{m}_old") for m in measures])
+    b = new.select(*key, *[F.col(m).alias(f"{m}_new") for m in measures])
     changed = reduce(lambda x, y: x | y, [~F.col(f"{m}_old").eqNullSafe(F.col(f"{m}_new")) for m in measures])
     return a.join(b, list(key), "full").where(changed)
+
+
+def publication_delta(store: Store, table: str, key: Sequence[str], measures: Sequence[str], old: str,
+                      new: str) -> DataFrame:
+    return delta(store.publication_slice(f"serve.{table}", old), store.publication_slice(f"serve.{table}", new),
+                 key, measures)
+
+
+def side_by_side(versions: Mapping[str, DataFrame]) -> DataFrame:
+    """The same figures of several versions below each other, tagged with the version."""
+    return reduce(DataFrame.unionByName, [df.withColumn("version", F.lit(v)) for v, df in versions.items()])
