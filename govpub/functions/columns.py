@@ -47,6 +47,21 @@ def text_hash(*cols: ColumnLike) -> Column:
     return F.sha2(key_text(*cols), 256)
 
 
+def digests(cols: Iterable[ColumnLike]) -> list[Column]:
+    """128 bits of row hash as two bigints, cheap to aggregate because they have a fixed width.
+
+    A null is told apart from an absent value by hashing its null flag too.
+    """
+    parts = [p for c in cols for p in (as_col(c), as_col(c).isNull())]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in ("a", "b")]
+
+
+def total_order(seq: ColumnLike, tie: ColumnLike) -> Column:
+    """Sequence number with a hashed tie-breaker as one decimal, ordered like (seq, tie hash)."""
+    hashed = F.xxhash64(as_col(tie)).bitwiseAND(F.lit("9223372036854775807").cast("long")).cast("decimal(19,0)")
+    return (as_col(seq).cast("decimal(19,0)") * F.lit("9223372036854775808").cast("decimal(19,0)") + hashed).cast("decimal(38,0)")
+
+
 def half_up(value: ColumnLike, decimal_type: str) -> Column:
     """Round half up to the scale of `decimal_type` and narrow to it."""
     scale = int(decimal_type.rstrip(")").split(",")[1])
