@@ -1,4 +1,9 @@
-"""A small hand-made feed in ten packs, and the expected figures computed in plain Python."""
+"""A small hand-made feed in six packs, and the expected figures computed in plain Python.
+
+B0 baseline with an incident; CD1 one more day, 24 revisions and 100 repeated deliveries; HX1 a
+dated share change and three retractions; Q1 35 bad revisions; QS1 their corrections and a
+provisional competitor; S2 a final correction of +5.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +12,9 @@ from datetime import date, datetime, timedelta, timezone
 from decimal import ROUND_HALF_UP, Decimal as D
 
 from govpub.sources.contract import SOURCE_BY_NAME
+from govpub.sources.extract import in_parallel
 
-PACKS = ["B0", "B1", "C1", "D1", "H1", "X1", "Q1", "Q2", "S1", "S2"]
+PACKS = ["B0", "CD1", "HX1", "Q1", "QS1", "S2"]
 START, END = date(2025, 9, 12), date(2025, 9, 19)
 SHARE_CHANGE = date(2025, 9, 16)
 S_DAY = date(2025, 9, 17)
@@ -75,7 +81,7 @@ def snapshot(pack: str) -> dict[str, list[dict]]:
         t["ref.country"].append({"country_id": c, "country_name": f"Country {c}"})
     t["ref.business_associate"] += [{"ba_id": "BA1", "ba_name": "Operator", "ba_role": "OPERATOR"},
                                     {"ba_id": "BA2", "ba_name": "Other", "ba_role": "OPERATOR"}]
-    late = PACKS.index(pack) >= PACKS.index("H1")
+    late = PACKS.index(pack) >= PACKS.index("HX1")
     for field, (country, _) in FIELDS.items():
         t["ref.field"].append({"field_id": field, "country_id": country, "field_name": f"Field {field}"})
         t["ref.facility"].append({"facility_id": f"FAC_{field}", "field_id": field, "facility_name": f"Fac {field}"})
@@ -138,7 +144,7 @@ def build() -> dict[str, dict]:
         feed.packs[pack] = snapshot(pack)
         t = feed.packs[pack]
         days = [START + timedelta(i) for i in range((END - START).days + 1)] if pack == "B0" else (
-            [END + timedelta(1)] if pack == "B1" else [])
+            [END + timedelta(1)] if pack == "CD1" else [])
         for well, field, country in wells():
             table, source = SOURCE[country]
             for day in days:
@@ -167,17 +173,16 @@ def build() -> dict[str, dict]:
             t["src_my.downtime_event"].append({
                 "event_id": "DT-X", "incident_id": "INC-2", "equipment_id": "EQ_MY_B", "start_utc": begin,
                 "end_utc": begin + timedelta(minutes=50), "reason": "service", "change_seq": feed.seq + 1})
-        elif pack == "C1":
+        if pack == "CD1":
             for table, key in dz[:24]:
                 row = feed.last[(table, key)]
                 feed.revise(pack, table, key, revision=2, operation="U", quantity=q(row["quantity"] * D("1.01")))
-        elif pack == "D1":
             for table, key in keys[100:200]:
                 feed.revise(pack, table, key)
-        elif pack == "X1":
+        if pack == "HX1":
             for table, key in [k for k in keys if k[1].startswith("IQ_A") and k[1].endswith("Oil")][:3]:
                 feed.revise(pack, table, key, revision=2, operation="D", quantity=None)
-        elif pack in ("Q1", "Q2"):
+        if pack in ("Q1", "QS1"):
             for i, (table, key) in enumerate(dz[40:75]):
                 row = feed.last[(table, key)]
                 if pack == "Q1":
@@ -186,10 +191,10 @@ def build() -> dict[str, dict]:
                     feed.revise(pack, table, key, revision=2, operation="U", **bad)
                 else:
                     feed.revise(pack, table, key, revision=3, operation="U", **row["good"])
-        elif pack in ("S1", "S2"):
+        if pack in ("QS1", "S2"):
             table, key = "src_my.production_report", f"MY_B_W001|{S_DAY}|Oil"
             row = feed.last[(table, key)]
-            if pack == "S1":
+            if pack == "QS1":
                 feed.event(pack, "src_my.production_provisional", "SRC_MY_OPS", "prov-1", "ops-MY_B_W001", S_DAY, "Oil",
                            row["quantity"] + 10, "bbl", status="PROVISIONAL")
             else:
@@ -209,8 +214,7 @@ def write_landing(spark, packs: dict, pack: str, root: str) -> None:
     """Write a pack as it is landed; empty entities leave no folder."""
     i = PACKS.index(pack)
     end = END if pack == "B0" else END + timedelta(1)
-    tables = dict(packs[pack])
-    counts = []
+    tables, counts, work = packs[pack], [], []
     for name, table in SOURCE_BY_NAME.items():
         if name.startswith("ctl."):
             continue
@@ -218,12 +222,13 @@ def write_landing(spark, packs: dict, pack: str, root: str) -> None:
         counts.append({"batch_id": pack, "entity_name": table.entity, "row_count": len(rows), "content_sha256": "x"})
         if rows:
             rows = [to_local_iq(r) for r in rows] if name == "src_iq.daily_volumes" else rows
-            _write(spark, [{"batch_id": pack, **r} for r in rows], table, f"{root}/{pack}/{table.entity}")
+            work.append(([{"batch_id": pack, **r} for r in rows], table))
     batch = {"batch_id": pack, "parent_batch_id": PACKS[i - 1] if i else None, "dataset_version": "v1",
              "description": pack, "period_start": START, "period_end": end, "state": "SEALED",
              "content_sha256": "x", "sealed_at_utc": None}
-    _write(spark, [batch], SOURCE_BY_NAME["ctl.source_batch"], f"{root}/{pack}/ctl__source_batch")
-    _write(spark, counts, SOURCE_BY_NAME["ctl.batch_entity"], f"{root}/{pack}/ctl__batch_entity")
+    work.append(([batch], SOURCE_BY_NAME["ctl.source_batch"]))
+    work.append((counts, SOURCE_BY_NAME["ctl.batch_entity"]))
+    in_parallel(lambda w: _write(spark, w[0], w[1], f"{root}/{pack}/{w[1].entity}"), work)
 
 
 def _write(spark, rows, table, path) -> None:
