@@ -217,7 +217,8 @@ def decimal_misfits(df: DataFrame, types: dict[str, str]) -> DataFrame:
     """
     def misfit(name: str, decimal_type: str):
         precision, scale = (int(x) for x in decimal_type[8:-1].split(","))
-        limit = F.lit("1" + "0" * (precision - scale)).cast("decimal(38,0)")
+        whole = precision - scale
+        limit = F.lit("1" + "0" * whole).cast(f"decimal({whole + 1},0)")
         return (F.round(F.col(name), scale) != F.col(name)) | (F.abs(F.col(name)) >= limit)
 
     counts = df.agg(*[F.count_if(misfit(n, t)).alias(n) for n, t in types.items()])
