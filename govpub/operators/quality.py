@@ -119,8 +119,15 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, child_col: str, parent: DataFrame, parent_col: str) -> DataFrame:
-    """Child rows whose reference has no parent; a missing reference is an orphan too."""
-    return child.join(parent.select(F.col(parent_col).alias(child_col)), child_col, "left_anti")
+    """Child rows whose reference has no parent; a missing reference is an orphan too.
+
+    The distinct references are compared first, which combines on the map side, so child rows are
+    not shuffled by a reference that very many of them share. Only the few missing references
+    then meet the child rows.
+    """
+    missing = (child.select(F.col(child_col).alias("_missing")).distinct()
+               .join(parent.select(F.col(parent_col).alias("_missing")), "_missing", "left_anti"))
+    return child.join(missing, F.col(child_col).eqNullSafe(F.col("_missing")), "left_semi")
 
 
 def overlaps(register: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:

@@ -8,6 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from govpub.functions.columns import ColumnLike, as_col, stable_key
+from govpub.functions.skew import attach_stats, group_size
+
+# Above this many aliases a key's list is read from the registry rows, not kept as one text.
+LISTED = 1_000
 
 
 def conform_registry(df: DataFrame, columns: Sequence[str], batch_id: str, mapping_version: str) -> DataFrame:
@@ -52,10 +56,17 @@ def child_counts(child: DataFrame, parent_key: str, name: str) -> DataFrame:
     return child.groupBy(parent_key).agg(F.count(F.lit(1)).cast("int").alias(name))
 
 
-def alias_lists(alias: DataFrame, key: str, *parts: str) -> DataFrame:
-    """All aliases of a key as one sorted text 'a:b, c:d'; a registry holds few aliases per key."""
+def alias_lists(alias: DataFrame, key: str, *parts: str, limit: int = LISTED) -> DataFrame:
+    """The aliases of a key as one sorted text 'a:b, c:d'.
+
+    A key with more than `limit` aliases gets no text (null): its aliases are not gathered into
+    one value but stay rows of the registry.
+    """
     text = F.concat_ws(":", *[F.col(p) for p in parts])
-    return alias.groupBy(key).agg(F.concat_ws(", ", F.sort_array(F.collect_list(text))).alias("AliasList"))
+    sized = attach_stats(alias, group_size(alias, [key], "_n"), [key], "_n", parts)
+    short = F.when(F.col("_n") <= limit, text)
+    return sized.groupBy(key).agg(F.max("_n").alias("_n"), F.sort_array(F.collect_list(short)).alias("_list")).select(
+        key, F.when(F.col("_n") <= limit, F.concat_ws(", ", "_list")).alias("AliasList"))
 
 
 # --- dimensions ------------------------------------------------------------------------
