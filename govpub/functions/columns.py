@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 VOLUME = "decimal(19,6)"
@@ -21,6 +21,11 @@ def as_col(value: ColumnLike) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def project(df: DataFrame, *same: str, **named: ColumnLike) -> DataFrame:
+    """Columns kept under their name, then new name = column or expression."""
+    return df.select(*same, *[as_col(c).alias(n) for n, c in named.items()])
+
+
 def key_text(*cols: ColumnLike) -> Column:
     """Readable composite key: the values joined by '|', nulls skipped."""
     return F.concat_ws("|", *[as_col(c).cast("string") for c in cols])

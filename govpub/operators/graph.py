@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from govpub.functions.columns import key_text
+from govpub.functions.columns import key_text, project
 
 # Entity type -> (projected table, key, display name).
 ENTITY_TYPES = {
@@ -49,60 +49,60 @@ def project_entities(star: Mapping[str, DataFrame], facility: DataFrame, candida
 
     Facilities come from their registry, so a field with several keeps all of them.
     """
-    well_keys = star["dim_well"].select("WellKey", F.col("WellId").alias("well_id"))
-    equipment_keys = star["dim_equipment"].select("EquipmentKey", F.col("EquipmentId").alias("equipment_id"))
-    incident_keys = star["dim_incident"].select("IncidentKey", F.col("IncidentId").alias("incident_id"))
-    days = star["dim_date"].select("DateKey", F.col("Date").alias("business_date"))
-
-    def take(df: DataFrame, spec: str) -> DataFrame:
-        pairs = [p.split(":") for p in spec.split()]
-        return df.select(*[F.col(a).alias(b) for a, b in pairs])
-
-    asset, well = star["dim_asset"], star["dim_well"]
-    daily = star["fact_production_daily"].join(days, "DateKey").join(well_keys, "WellKey")
-    events = star["fact_downtime_event"].join(incident_keys, "IncidentKey").join(equipment_keys, "EquipmentKey")
-    losses = (star["fact_loss_allocation"].join(days, "DateKey").join(well_keys, "WellKey")
-              .join(incident_keys, "IncidentKey").join(equipment_keys, "EquipmentKey"))
-    total = F.get_json_object
+    natural = {"dim_well": ("WellKey", "WellId", "well_id"), "dim_equipment": ("EquipmentKey", "EquipmentId", "equipment_id"),
+               "dim_incident": ("IncidentKey", "IncidentId", "incident_id"), "dim_date": ("DateKey", "Date", "business_date")}
+
+    def with_natural(fact: str, *dims: str) -> DataFrame:
+        """A fact with the natural ids of its dimensions in place of their surrogate keys."""
+        out = star[fact]
+        for dim in dims:
+            key, id_, name = natural[dim]
+            out = out.join(star[dim].select(key, F.col(id_).alias(name)), key)
+        return out
+
+    asset, well, equipment = star["dim_asset"], star["dim_well"], star["dim_equipment"]
+    daily = with_natural("fact_production_daily", "dim_date", "dim_well")
+    outages = with_natural("fact_downtime_event", "dim_incident", "dim_equipment").groupBy("incident_id").agg(
+        F.min("equipment_id").alias("equipment_id"), F.count(F.lit(1)).cast("int").alias("event_count"),
+        F.sum("DurationHours").alias("equipment_downtime_hours"), F.min("StartUtc").alias("first_start_utc"))
+    category = project(star["dim_incident"], incident_id="IncidentId", incident_category="IncidentCategory")
+    gross, net = (F.get_json_object("ControlTotalsJson", f"$.{n}") for n in ("GrossBoe", "NetWiBoe"))
     return {
-        "country": take(asset, "CountryCode:country_id CountryName:country_name").distinct(),
-        "asset": take(asset, "AssetId:asset_id AssetName:asset_name CountryCode:country_id FacilityId:facility_id"),
-        "facility": take(facility, "facility_id:facility_id field_id:asset_id"),
-        "equipment": take(star["dim_equipment"], "EquipmentId:equipment_id EquipmentName:equipment_name "
-                          "EquipmentType:equipment_type FacilityId:facility_id AssetId:asset_id "
-                          "CountryCode:country_id"),
-        "well": take(well, "WellId:well_id WellName:well_name AssetId:asset_id CountryCode:country_id "
-                     "StreamId:stream_id WellboreCount:wellbore_count CompletionCount:completion_count "
-                     "AliasList:alias_list WellStatus:well_status"),
-        "wellbore": take(star["master_wellbore"], "WellboreId:wellbore_id WellId:well_id WellboreName:wellbore_name"),
-        "completion": take(star["master_completion"], "CompletionId:completion_id WellboreId:wellbore_id "
-                           "StreamId:stream_id CompletionName:completion_name"),
-        "reporting_stream": take(well, "StreamId:stream_id WellId:well_id AssetId:asset_id"),
-        "reporting_stream_daily": daily.withColumn("stream_daily_id", key_text("StreamId", "business_date")).transform(
-            take, "stream_daily_id:stream_daily_id StreamId:stream_id well_id:well_id business_date:business_date "
-            "OilBbl:oil_bbl GasMscf:gas_mscf WaterBbl:water_bbl GrossBoe:gross_boe NetWiBoe:net_wi_boe "
-            "IsComplete:is_complete"),
-        "incident": events.groupBy("incident_id").agg(
-            F.min("equipment_id").alias("equipment_id"), F.count(F.lit(1)).cast("int").alias("event_count"),
-            F.sum("DurationHours").alias("equipment_downtime_hours"), F.min("StartUtc").alias("first_start_utc"))
-            .join(take(star["dim_incident"], "IncidentId:incident_id IncidentCategory:incident_category"),
-                  "incident_id"),
-        "loss_allocation": take(losses, "LossId:loss_id incident_id:incident_id EventId:event_id well_id:well_id "
-                                "equipment_id:equipment_id business_date:business_date LostOilBbl:lost_oil_bbl "
-                                "LostGasMscf:lost_gas_mscf LostBoeGross:lost_boe_gross LostBoeNetWi:lost_boe_net_wi "
-                                "ValueUsdGross:value_usd_gross ValueUsdNetWi:value_usd_net_wi"),
-        "source_decision": take(star["source_decision"], "DecisionId:decision_id StreamId:stream_id WellId:well_id "
-                                "BusinessDate:business_date Commodity:commodity DecisionStatus:decision_status "
-                                "SelectedSourceSystem:selected_source_system SelectedValueStd:selected_value_std "
-                                "CandidateCount:candidate_count Reason:reason CandidatesJson:candidates_json "
-                                "AuthorityPolicyVersion:authority_policy_version"),
-        "publication": candidate.select(
-            F.col("PublicationId").alias("publication_id"), F.col("BatchId").alias("batch_id"),
-            F.col("DatasetVersion").alias("dataset_version"),
-            F.col("AuthorityPolicyVersion").alias("authority_policy_version"),
-            F.col("MappingVersion").alias("mapping_version"), F.col("PeriodStart").alias("period_start"),
-            F.col("PeriodEnd").alias("period_end"), total("ControlTotalsJson", "$.GrossBoe").alias("gross_boe_total"),
-            total("ControlTotalsJson", "$.NetWiBoe").alias("net_wi_boe_total")),
+        "country": project(asset, country_id="CountryCode", country_name="CountryName").distinct(),
+        "asset": project(asset, asset_id="AssetId", asset_name="AssetName", country_id="CountryCode",
+                         facility_id="FacilityId"),
+        "facility": project(facility, "facility_id", asset_id="field_id"),
+        "equipment": project(equipment, equipment_id="EquipmentId", equipment_name="EquipmentName",
+                             equipment_type="EquipmentType", facility_id="FacilityId", asset_id="AssetId",
+                             country_id="CountryCode"),
+        "well": project(well, well_id="WellId", well_name="WellName", asset_id="AssetId", country_id="CountryCode",
+                        stream_id="StreamId", wellbore_count="WellboreCount", completion_count="CompletionCount",
+                        alias_list="AliasList", well_status="WellStatus"),
+        "wellbore": project(star["master_wellbore"], wellbore_id="WellboreId", well_id="WellId",
+                            wellbore_name="WellboreName"),
+        "completion": project(star["master_completion"], completion_id="CompletionId", wellbore_id="WellboreId",
+                              stream_id="StreamId", completion_name="CompletionName"),
+        "reporting_stream": project(well, stream_id="StreamId", well_id="WellId", asset_id="AssetId"),
+        "reporting_stream_daily": project(
+            daily, "well_id", "business_date", stream_daily_id=key_text("StreamId", "business_date"),
+            stream_id="StreamId", oil_bbl="OilBbl", gas_mscf="GasMscf", water_bbl="WaterBbl", gross_boe="GrossBoe",
+            net_wi_boe="NetWiBoe", is_complete="IsComplete"),
+        "incident": outages.join(category, "incident_id"),
+        "loss_allocation": project(
+            with_natural("fact_loss_allocation", *natural), "incident_id", "well_id", "equipment_id", "business_date",
+            loss_id="LossId", event_id="EventId", lost_oil_bbl="LostOilBbl", lost_gas_mscf="LostGasMscf",
+            lost_boe_gross="LostBoeGross", lost_boe_net_wi="LostBoeNetWi", value_usd_gross="ValueUsdGross",
+            value_usd_net_wi="ValueUsdNetWi"),
+        "source_decision": project(
+            star["source_decision"], decision_id="DecisionId", stream_id="StreamId", well_id="WellId",
+            business_date="BusinessDate", commodity="Commodity", decision_status="DecisionStatus",
+            selected_source_system="SelectedSourceSystem", selected_value_std="SelectedValueStd",
+            candidate_count="CandidateCount", reason="Reason", candidates_json="CandidatesJson",
+            authority_policy_version="AuthorityPolicyVersion"),
+        "publication": project(
+            candidate, publication_id="PublicationId", batch_id="BatchId", dataset_version="DatasetVersion",
+            authority_policy_version="AuthorityPolicyVersion", mapping_version="MappingVersion",
+            period_start="PeriodStart", period_end="PeriodEnd", gross_boe_total=gross, net_wi_boe_total=net),
     }
 
 

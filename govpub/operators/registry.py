@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govpub.functions.columns import ColumnLike, as_col, stable_key
+from govpub.functions.columns import ColumnLike, as_col, project, stable_key
 from govpub.functions.skew import attach_stats, group_size
 
 # Above this many aliases a key's list is read from the registry rows, not kept as one text.
@@ -71,57 +71,54 @@ def alias_lists(alias: DataFrame, key: str, *parts: str, limit: int = LISTED) ->
 
 # --- dimensions ------------------------------------------------------------------------
 
+def asset_key(field: ColumnLike = "field_id") -> Column:
+    return stable_key("FIELD", field)
+
+
 def dim_asset(field: DataFrame, country: DataFrame, facility: DataFrame) -> DataFrame:
-    first_facility = facility.groupBy("field_id").agg(F.min("facility_id").alias("facility_id"))
-    return (field.join(country.select("country_id", "country_name"), "country_id")
-            .join(first_facility, "field_id", "left")
-            .select(stable_key("FIELD", "field_id").alias("AssetKey"), F.col("field_id").alias("AssetId"),
-                    F.col("field_name").alias("AssetName"), F.col("country_id").alias("CountryCode"),
-                    F.col("country_name").alias("CountryName"), F.col("facility_id").alias("FacilityId")))
+    """Fields with their country and, as a plain attribute, the first of their facilities."""
+    facilities = facility.groupBy("field_id").agg(F.min("facility_id").alias("first_facility"))
+    placed = field.join(country, field["country_id"] == country["country_id"]).select(
+        field["*"], country["country_name"]).join(facilities, "field_id", "left")
+    return project(placed, AssetKey=asset_key(), AssetId="field_id", AssetName="field_name", CountryCode="country_id",
+                   CountryName="country_name", FacilityId="first_facility")
 
 
 def dim_well(well: DataFrame, stream: DataFrame, field: DataFrame, wellbore: DataFrame,
              completion: DataFrame, alias: DataFrame) -> DataFrame:
-    """One row per well and stream; children are counted before the join, so nothing fans out."""
-    bores = child_counts(wellbore, "well_id", "WellboreCount")
-    completions = child_counts(completion.select("wellbore_id").join(
-        wellbore.select("wellbore_id", "well_id"), "wellbore_id"), "well_id", "CompletionCount")
-    return (well.join(stream.select("well_id", "stream_id"), "well_id")
-            .join(field.select("field_id", "country_id"), "field_id")
-            .join(bores, "well_id", "left").join(completions, "well_id", "left")
-            .join(alias_lists(alias, "well_id", "source_system", "source_well_id"), "well_id", "left")
-            .select(stable_key("WELL", "well_id").alias("WellKey"), F.col("well_id").alias("WellId"),
-                    F.col("well_name").alias("WellName"), stable_key("FIELD", "field_id").alias("AssetKey"),
-                    F.col("field_id").alias("AssetId"), F.col("country_id").alias("CountryCode"),
-                    F.col("stream_id").alias("StreamId"),
-                    F.coalesce("WellboreCount", F.lit(0)).alias("WellboreCount"),
-                    F.coalesce("CompletionCount", F.lit(0)).alias("CompletionCount"), "AliasList",
-                    F.col("well_status").alias("WellStatus")))
+    """One row per well and stream. Children are folded to one row per well before they are joined."""
+    bore_of = wellbore.select("wellbore_id", "well_id")
+    completions = completion.join(bore_of, "wellbore_id").select("well_id")
+    children = [child_counts(bore_of, "well_id", "bores"), child_counts(completions, "well_id", "completions"),
+                alias_lists(alias, "well_id", "source_system", "source_well_id")]
+    out = well.join(field.select("field_id", "country_id"), "field_id").join(
+        stream.select("well_id", "stream_id"), "well_id")
+    for child in children:
+        out = out.join(child, "well_id", "left")
+    return project(out, WellKey=stable_key("WELL", "well_id"), WellId="well_id", WellName="well_name",
+                   AssetKey=asset_key(), AssetId="field_id", CountryCode="country_id", StreamId="stream_id",
+                   WellboreCount=F.coalesce("bores", F.lit(0)), CompletionCount=F.coalesce("completions", F.lit(0)),
+                   AliasList="AliasList", WellStatus="well_status")
 
 
 def dim_equipment(equipment: DataFrame, facility: DataFrame, field: DataFrame) -> DataFrame:
-    return (equipment.join(facility.select("facility_id", "field_id"), "facility_id")
-            .join(field.select("field_id", "country_id"), "field_id")
-            .select(stable_key("EQUIPMENT", "equipment_id").alias("EquipmentKey"),
-                    F.col("equipment_id").alias("EquipmentId"), F.col("equipment_name").alias("EquipmentName"),
-                    F.col("equipment_type").alias("EquipmentType"), F.col("facility_id").alias("FacilityId"),
-                    stable_key("FIELD", "field_id").alias("AssetKey"), F.col("field_id").alias("AssetId"),
-                    F.col("country_id").alias("CountryCode")))
+    places = facility.join(field, "field_id").select("facility_id", "field_id", "country_id")
+    return project(equipment.join(places, "facility_id"), EquipmentKey=stable_key("EQUIPMENT", "equipment_id"),
+                   EquipmentId="equipment_id", EquipmentName="equipment_name", EquipmentType="equipment_type",
+                   FacilityId="facility_id", AssetKey=asset_key(), AssetId="field_id", CountryCode="country_id")
 
 
 def dim_incident(downtime: DataFrame, loss: DataFrame) -> DataFrame:
     """Incidents of the downtime events; the category tells whether any loss was allocated."""
-    with_loss = loss.select("incident_id").distinct().withColumn("has_loss", F.lit(True))
-    return (downtime.groupBy("incident_id").agg(F.count(F.lit(1)).cast("int").alias("EventCount"))
-            .join(with_loss, "incident_id", "left")
-            .select(stable_key("INCIDENT", "incident_id").alias("IncidentKey"),
-                    F.col("incident_id").alias("IncidentId"),
-                    F.when(F.col("has_loss"), "PRODUCTION_LOSS").otherwise("MAINTENANCE_NO_LOSS")
-                    .alias("IncidentCategory"), "EventCount"))
+    both = (downtime.select("incident_id", F.lit(1).alias("event"), F.lit(0).alias("loss"))
+            .unionByName(loss.select("incident_id", F.lit(0).alias("event"), F.lit(1).alias("loss"))))
+    folded = both.groupBy("incident_id").agg(F.sum("event").alias("events"), F.max("loss").alias("loss"))
+    return project(folded.where("events > 0"), IncidentKey=stable_key("INCIDENT", "incident_id"),
+                   IncidentId="incident_id", EventCount=F.col("events").cast("int"),
+                   IncidentCategory=F.when(F.col("loss") == 1, "PRODUCTION_LOSS").otherwise("MAINTENANCE_NO_LOSS"))
 
 
 def dim_distinct(df: DataFrame, column: str, prefix: str, key: str, name: str, **extra: str) -> DataFrame:
     """Dimension of the distinct values of one column, with constant extra columns."""
-    return df.select(column).distinct().select(
-        stable_key(prefix, column).alias(key), F.col(column).alias(name),
-        *[F.lit(v).alias(k) for k, v in extra.items()])
+    return project(df.select(column).distinct(), **{key: stable_key(prefix, column), name: column},
+                   **{n: F.lit(v) for n, v in extra.items()})

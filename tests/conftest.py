@@ -19,8 +19,6 @@ def spark():
                .config("spark.sql.catalogImplementation", "in-memory")
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
-    if not session.conf.get("spark.checkpoint.dir", None):
-        session.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
     yield session
     session.stop()
 

@@ -203,7 +203,7 @@ def test_wrong_landing_changes_nothing(chain, spark, feed):
 
 def test_projection_and_graph(chain, feed):
     store = chain["store"]
-    counts = pipeline.project(store, chain["settings"])
+    counts = pipeline.project_publication(store, chain["settings"])
     assert counts["well"] == 19 and counts["wellbore"] == 23 and counts["facility"] == 4 and counts["publication"] == 1
     gross = total(store.table("ai.reporting_stream_daily"), "gross_boe")
     assert gross == P.expected(feed, "S2")["totals"]["gross"]
