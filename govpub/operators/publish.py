@@ -99,6 +99,12 @@ def table_counts(store: Store, publication_id: str, tables: Sequence[str] = tupl
     return reduce(DataFrame.unionByName, parts)
 
 
+def is_frozen(store: Store, publication_id: str) -> bool:
+    """Approved and ever published slices are never rewritten: consumers and history read them."""
+    state = _state(store, publication_id)
+    return bool(state) and (state["PublishedAtUtc"] is not None or state["Status"] == "APPROVED")
+
+
 def control_totals(store: Store, publication_id: str) -> dict[str, str]:
     """The six control totals of one publication as exact decimal text, one pass per table."""
     by_table: dict[str, list[str]] = {}

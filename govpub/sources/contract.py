@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -170,19 +170,33 @@ def read_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
     """Typed CSV read. The header has to equal the contract and every value has to parse.
 
     Empty text becomes null where the contract allows null and stays '' in required text
-    columns; an empty value in any other required column is an error, raised while reading.
+    columns; an empty value in any other required column is an error, raised while reading. A
+    decimal with more digits than its type is an error too, nothing is rounded away.
     """
-    raw = (spark.read.schema(table.nullable_schema).option("header", True).option("enforceSchema", False)
+    is_decimal = {f.name for f in table.schema if isinstance(f.dataType, T.DecimalType)}
+    landed = T.StructType([T.StructField(f.name, T.StringType() if f.name in is_decimal else f.dataType, True)
+                           for f in table.schema])
+    raw = (spark.read.schema(landed).option("header", True).option("enforceSchema", False)
            .option("mode", "FAILFAST").csv(path))
 
-    def required(field: T.StructField):
+    def fail(field: T.StructField, text: str) -> Column:
+        return F.raise_error(F.lit(f"{table.name}.{field.name} {text}")).cast(field.dataType)
+
+    def value(field: T.StructField) -> Column:
         col = F.col(field.name)
+        if field.name in is_decimal:
+            whole = field.dataType.precision - field.dataType.scale
+            wide = col.cast(T.DecimalType(38, 38 - whole))
+            fitted = wide.cast(field.dataType)
+            col = F.when(col.isNull(), F.lit(None)).when(fitted == wide, fitted).otherwise(
+                fail(field, "has more digits than its type"))
+        if field.nullable:
+            return col.alias(field.name)
         if isinstance(field.dataType, T.StringType):
-            return F.coalesce(col, F.lit(""))
-        return F.coalesce(col, F.raise_error(F.lit(f"{table.name}.{field.name} is empty but required"))
-                          .cast(field.dataType))
+            return F.coalesce(col, F.lit("")).alias(field.name)
+        return F.coalesce(col, fail(field, "is empty but required")).alias(field.name)
 
-    return raw.select(*[F.col(f.name) if f.nullable else required(f).alias(f.name) for f in table.schema])
+    return raw.select(*[value(f) for f in table.schema])
 
 
 def schema_violations(df: DataFrame, table: Table, ignore: tuple[str, ...] = ("PublicationId",)) -> DataFrame:

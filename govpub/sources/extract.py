@@ -8,7 +8,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govpub.sources.contract import CONTROL, SOURCE_TABLES
+from govpub.sources.contract import CONTROL, SOURCE_TABLES, Table, read_csv
+from govpub.sources.store import Store
 
 MAX_PARALLEL = 8
 
@@ -28,6 +29,11 @@ def read_sequence_range(df: DataFrame, sequence: str, low: int, high: int) -> Da
     return df.where((F.col(sequence) > low) & (F.col(sequence) <= high))
 
 
+def load_csv(store: Store, path: str, table: Table) -> None:
+    """Append a CSV delivery to a table partitioned by batch, every value exactly as delivered."""
+    store.append(read_csv(store.spark, path, table), f"bronze.{table.entity}", ["batch_id"])
+
+
 def entity_config(spark: SparkSession) -> DataFrame:
     """The delivered entities as rows (ordinal, entity_name, source_table, entity_kind, enabled)."""
     rows = [(i + 1, t.entity, t.name, t.kind, True) for i, t in enumerate(SOURCE_TABLES)]

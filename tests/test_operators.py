@@ -14,7 +14,8 @@ from govpub.functions.columns import (date_key, hours_between, json_hash, number
 from govpub.functions.skew import attach_stats, earliest_by, group_size, latest_by
 from govpub.operators import derive, ingest, quality, recon, registry, resolve
 from govpub.sources import contract
-from govpub.sources.extract import copy_batch, entity_config, read_sequence_range
+from govpub.sources.extract import copy_batch, entity_config, load_csv, read_sequence_range
+from govpub.sources.registers import save_contracts
 from govpub.sources.store import Store, fingerprint, read_landed
 from govpub.streaming.bronze import append_stream
 
@@ -69,6 +70,37 @@ def test_csv_against_contract(spark, scratch):
         contract.read_csv(spark, str(empty), table).collect()
 
 
+def test_csv_load_loses_nothing(spark, scratch):
+    table = contract.SOURCE_BY_NAME["ref.fx_rate"]
+    header = ",".join(table.schema.names)
+    store = Store(spark, "csv_")
+    store.ensure("bronze")
+    (scratch / "a.csv").write_text(f"{header}\nB0,2025-01-01,USD,1.123456789\nB0,2025-01-02,USD,2\n")
+    load_csv(store, str(scratch / "a.csv"), table)
+    assert sorted(r["usd_per_unit"] for r in store.table("bronze.ref__fx_rate").collect()) == [D("1.123456789"), D(2)]
+    (scratch / "b.csv").write_text(f"{header}\nB0,2025-01-01,USD,1.1234567891\n")
+    with pytest.raises(Exception, match="more digits than its type"):
+        contract.read_csv(spark, str(scratch / "b.csv"), table).collect()
+
+
+def test_registers_are_kept_per_version(spark):
+    store = Store(spark, "reg_")
+    store.ensure("ops")
+    save_contracts(store)
+    save_contracts(store)
+    save_contracts(store, "KPI-2.0", "SA-2026.1")
+    sizes = {t: store.table(f"ops.{t}").count() for t in ("kpi_contract", "data_product", "dq_rule",
+                                                          "source_authority_policy")}
+    assert sizes == {"kpi_contract": 14, "data_product": 14, "dq_rule": 36, "source_authority_policy": 20}
+
+
+def test_alias_lists(spark):
+    rows = [("w", "A", "2"), ("w", "A", "1"), ("v", "B", "3"), ("big", "C", "1"), ("big", "C", "2"), ("big", "C", "3")]
+    df = spark.createDataFrame(rows, "well string, s string, r string")
+    got = {r["well"]: r["AliasList"] for r in registry.alias_lists(df, "well", "s", "r", limit=2).collect()}
+    assert got == {"w": "A:1, A:2", "v": "B:3", "big": None}
+
+
 def test_schema_and_decimal_checks(spark):
     table = contract.SOURCE_BY_NAME["ref.country"]
     df = spark.createDataFrame([("B0", "X", None), ("B0", "Y", None)], "batch_id string, country_id string, "

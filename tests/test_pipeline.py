@@ -47,6 +47,7 @@ def chain(spark, feed, tmp_path_factory):
             publish.sync_evidence(store, pack)
             outcome[pack] = {"status": error.status}
     rerun = pipeline.land(store, settings, "S2")
+    assert pipeline.serve(store, settings, "S2") == outcome["S2"]["totals"]
     return {"store": store, "settings": settings, "outcome": outcome, "rerun": rerun}
 
 
