@@ -72,17 +72,6 @@ def reconcile(sides: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(*s) for s in sides])
 
 
-def reconcile_totals(totals: DataFrame, names: Mapping[str, tuple[str, str]]) -> DataFrame:
-    """The same comparison for figures that already stand side by side in one row."""
-    def entry(name: str, left: str, right: str):
-        zero = F.lit(0).cast("decimal(38,6)")
-        return F.struct(F.lit(name).alias("check_name"),
-                        F.coalesce(F.col(left).cast("decimal(38,6)"), zero).alias("left_value"),
-                        F.coalesce(F.col(right).cast("decimal(38,6)"), zero).alias("right_value"))
-    checks = totals.select(F.explode(F.array(*[entry(n, a, b) for n, (a, b) in names.items()])).alias("c"))
-    return checks.select("c.*").withColumn("ok", F.col("left_value") == F.col("right_value"))
-
-
 # --- candidate -------------------------------------------------------------------------
 
 def write_candidate(store: Store, tables: Mapping[str, DataFrame], publication_id: str) -> None:
@@ -314,10 +303,6 @@ def gold_as_of(store: Store, at: datetime) -> dict[str, DataFrame]:
     return gold(store, row["PublicationId"])
 
 
-def just_before(at: datetime) -> datetime:
-    return at - timedelta(seconds=1)
-
-
 def manifest_check(store: Store) -> DataFrame:
     """Control totals of the manifest against the published rows of the current publication."""
     pub = current_publication(store).first()

@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govpub.sources.contract import CONTROL, SOURCE_TABLES, Table, read_csv
+from govpub.sources.contract import SOURCE_TABLES, Table, read_csv
 from govpub.sources.store import Store
 
 MAX_PARALLEL = 8
@@ -61,7 +61,3 @@ def in_parallel(work: Callable, items: Sequence, workers: int = MAX_PARALLEL) ->
     """Submit independent Spark jobs from a few driver threads; the first failure is raised."""
     with ThreadPoolExecutor(max_workers=min(workers, MAX_PARALLEL)) as pool:
         return list(pool.map(work, items))
-
-
-def without_control(config: DataFrame) -> DataFrame:
-    return config.where(F.col("entity_kind") != CONTROL)
