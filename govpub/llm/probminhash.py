@@ -1,7 +1,7 @@
 """Near-duplicate documents by ProbMinHash.
 
-Elements are shingles of five lower-cased words (a shorter text with words is one shingle), weighted by how often the text
-holds them. Each element sends out a Poisson process whose rate is its weight; every arrival falls on one of
+Elements are shingles of five lower-cased words (a shorter text with words is one shingle), weighted by how often the
+text holds them (sublinearly). Each element sends out a Poisson process whose rate is its weight; every arrival falls on one of
 `COMPONENTS` places, and a place keeps the element whose arrival there came first. An element stops as soon as its
 next arrival is later than the latest place of its document, so most elements end after an arrival or two. Two documents
 agree in a place with the probability Jaccard similarity of their weighted shingles.
@@ -13,10 +13,9 @@ Steps:
 2. Texts that share a key are compared with the bucket's pivot (its smallest text), which gives n - 1 pairs per
    bucket, not n^2. Pairs whose shingle counts rule out the threshold are left out. Pairs are verified exactly, by the Jaccard
    similarity of their shingle sets.
-3. Members of a bucket that are already in one component need no further comparison. For the others a second pivot is taken
-   from another component; what is still apart after `PIVOTS` rounds is compared pair by pair across components, without a
-   cap, except where the triangle inequality of the Jaccard distance excludes a link: if a and b have distances
-   da and db to a pivot, their own distance is at least |da - db|.
+3. Members of a bucket that are in one component by then need no further comparison. Texts of buckets that still hold
+   several components are joined by an exact prefix filter on their rarest shingles: what is left to find are links between
+   texts that are both unlike their pivots, and such a pair must share a rare shingle.
 4. Connected components of the verified links are the classes.
 
 At similarity 0.8 a pair shares no key with probability (1 - 0.8^5)^24, less than 1 in 10,000.
@@ -43,8 +42,6 @@ from govpub.llm.components import components
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 24, 5
 COMPONENTS = BANDS * ROWS
-#: Pivots of a bucket before its remaining texts are compared pair by pair.
-PIVOTS = 2
 
 
 def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, docs: int, places: int) -> np.ndarray:
@@ -67,8 +64,10 @@ def signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, docs: i
 
 
 def weighted(words: list[bytes], hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles and their counts."""
-    return np.unique(shingle_hashes(hashes.of(words), SHINGLE), return_counts=True)
+    """Distinct shingles and their weights, 1 + ln(count), so that a line repeated a hundred times does not stand for the
+    whole text."""
+    found, count = np.unique(shingle_hashes(hashes.of(words), SHINGLE), return_counts=True)
+    return found, 1.0 + np.log(count)
 
 
 def band_keys(winners: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
@@ -145,8 +144,8 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
     # every distinct text once, with the first document that holds it; documents without an id come last
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     texts = staged(sig.where("digest IS NOT NULL").groupBy("digest").agg(
-        F.min(order).alias("one"), F.first("size").alias("size"), F.first("keys").alias("keys")).withColumn(
-            "text_no", F.monotonically_increasing_id()), "texts")
+        F.min(order).alias("one"), F.first("size").alias("size"), F.first("keys").alias("keys")).orderBy("one").withColumn(
+            "text_no", F.monotonically_increasing_id()), "texts")  # numbered in the order of the ids: pivots are old texts
     keyed = texts.select("text_no", "size", F.explode("keys").alias("key"))
     shared = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     members = staged(keyed.join(shared, "key"), "members")
@@ -169,45 +168,44 @@ def classes(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD) -
 
 def linked(members: DataFrame, sets: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(a, b): verified links that connect whatever is similar and shares a bucket."""
-    spark = members.sparkSession
-    far = 1 - threshold
-    known = spark.createDataFrame([], "a long, b long, sim double")
-    pivots = spark.createDataFrame([], "key long, pivot long")
-    label = spark.createDataFrame([], "text_no long, label long")
-    for round_no in range(PIVOTS + 1):
-        now = members.join(label, "text_no", "left").withColumn("label", F.coalesce("label", "text_no"))
-        apart = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-        now = staged(now.join(apart.select("key"), "key"), "apart")
-        if now.isEmpty():
-            break
-        if round_no < PIVOTS:
-            done = pivots.join(now.select("key", F.col("text_no").alias("pivot"), "label"), ["key", "pivot"]).select(
-                "key", "label")
-            chosen = staged(now.join(done, ["key", "label"], "left_anti").groupBy("key").agg(
-                F.min(F.struct("text_no", "size", "label")).alias("p")).select(
-                    "key", F.col("p.text_no").alias("pivot"), F.col("p.size").alias("psize"), F.col("p.label").alias("plabel")),
-                "pivots")
-            pairs = now.join(chosen, "key").where(
-                (F.col("label") != F.col("plabel")) & near_size("size", "psize", threshold)).select(
-                    F.greatest("text_no", "pivot").alias("a"), F.least("text_no", "pivot").alias("b"))
-            pivots = pivots.union(chosen.select("key", "pivot"))
-        else:
-            # distance of every member to the first pivot of its bucket, where it was measured
-            dist = known.select(F.col("a").alias("x"), F.col("b").alias("y"), "sim").union(known.select("b", "a", "sim"))
-            first = pivots.groupBy("key").agg(F.min("pivot").alias("pivot"))
-            place = now.join(first, "key").join(
-                dist, (F.col("text_no") == F.col("x")) & (F.col("pivot") == F.col("y")), "left").select(
-                    "key", "text_no", "size", "label",
-                    F.when(F.col("text_no") == F.col("pivot"), 0.0).otherwise(1 - F.col("sim")).alias("d"))
-            l, r = place.alias("l"), place.alias("r")
-            pairs = l.join(r, (F.col("l.key") == F.col("r.key")) & (F.col("l.text_no") > F.col("r.text_no"))
-                           & (F.col("l.label") != F.col("r.label")) & near_size("l.size", "r.size", threshold)
-                           & (F.coalesce(F.abs(F.col("l.d") - F.col("r.d")), F.lit(0.0)) <= far + 1e-9)).select(
-                               F.col("l.text_no").alias("a"), F.col("r.text_no").alias("b"))
-        pairs = staged(pairs.distinct().join(known, ["a", "b"], "left_anti"), "pairs")
-        known = known.union(staged(similarity(pairs, sets), "similar"))
-        label = components(known.where(F.col("sim") >= threshold)).select(F.col("node").alias("text_no"), "label")
-    return known.where(F.col("sim") >= threshold).select("a", "b")
+    pivots = members.groupBy("key").agg(F.min(F.struct("text_no", "size")).alias("p")).select(
+        "key", F.col("p.text_no").alias("b"), F.col("p.size").alias("psize"))
+    pairs = members.join(pivots, "key").where((F.col("text_no") > F.col("b")) & near_size("size", "psize", threshold))
+    star = staged(pairs.select(F.col("text_no").alias("a"), "b").distinct(), "pairs")
+    known = staged(similarity(star, sets), "similar")
+    label = components(known.where(F.col("sim") >= threshold)).select(F.col("node").alias("text_no"), "label")
+    now = members.join(label, "text_no", "left").withColumn("label", F.coalesce("label", "text_no"))
+    apart = now.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    now = now.join(apart.select("key"), "key").select("text_no", "size", "label").distinct()
+    more = staged(prefix_pairs(now, sets, threshold).join(star, ["a", "b"], "left_anti"), "pairs")
+    found = known.union(staged(similarity(more, sets), "similar"))
+    return found.where(F.col("sim") >= threshold).select("a", "b")
+
+
+def prefix_pairs(texts: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): all pairs of texts with different labels that can reach the threshold, by prefix filter.
+
+    With shingles ordered by rarity, two sets of that similarity share one among the first n - ceil(t n) + 1 of each, and from
+    the places of a shared one follows an upper bound of the overlap. Shingles that only one text holds come first in
+    the order and join nothing, so a text with enough shingles of its own drops out at once.
+    """
+    each = sets.join(texts, "text_no").select("text_no", F.explode("shingles").alias("shingle"))
+    shared = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("f")).where("f > 1")
+    order = F.array_sort(F.collect_list(F.struct("f", "shingle")))
+    ranked = each.join(shared, "shingle").groupBy("text_no").agg(order.alias("held")).join(texts, "text_no")
+    own = F.col("size") - F.size("held")
+    length = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - 1e-9) + 1
+    first = staged(ranked.where(own < length).select(
+        "text_no", "size", "label", own.alias("own"),
+        F.posexplode(F.slice("held", 1, (length - own).cast("int"))).alias("at", "s")).select(
+            "text_no", "size", "label", (F.col("own") + F.col("at")).alias("at"), F.col("s.shingle").alias("shingle")),
+        "prefixes")
+    l, r = first.alias("l"), first.alias("r")
+    need = threshold / (1 + threshold) * (F.col("l.size") + F.col("r.size")) - 1e-9
+    bound = F.least(F.col("l.size") - F.col("l.at"), F.col("r.size") - F.col("r.at"))
+    return l.join(r, (F.col("l.shingle") == F.col("r.shingle")) & (F.col("l.text_no") > F.col("r.text_no"))
+                  & (F.col("l.label") != F.col("r.label")) & near_size("l.size", "r.size", threshold)
+                  & (bound >= need)).select(F.col("l.text_no").alias("a"), F.col("r.text_no").alias("b")).distinct()
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
