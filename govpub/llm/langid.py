@@ -132,9 +132,11 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     """Fit on the bounded sample of rows that may be learned from. Ids are chosen first, only their texts are read."""
     rows = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "lang"), "doc_id")
-    chosen = rows.select("doc_id", "lang").distinct().withColumn("_rank", F.row_number().over(order)).where(
-        F.col("_rank") <= per_lang).drop("_rank")
+    chosen = rows.select("doc_id", "lang").distinct()
+    part = F.pmod(F.xxhash64("doc_id"), F.lit(64))  # of a language, each part names its candidates first
+    for of in (["lang", part], ["lang"]):
+        order = Window.partitionBy(*of).orderBy(F.xxhash64("doc_id", "lang"), "doc_id")
+        chosen = chosen.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_lang).drop("_rank")
     sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     sample = sample.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # of a repeated id, one row
     got = sample.orderBy("lang", F.xxhash64("doc_id", "lang"), "doc_id").select("text", "lang").collect()
