@@ -35,9 +35,10 @@ from pyspark.sql import functions as F
 from govpub.llm.base import batch, map_batches
 
 #: Steps and pieces that a process keeps before it starts anew.
-MAX_STEPS, MAX_PIECES = 1_000_000, 300_000
+MAX_STEPS, MAX_PIECES = 500_000, 400_000
 #: Tokens decoded at a time.
 CHUNK = 65_536
+NEVER = 1 << 60
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -48,67 +49,90 @@ def load_ranks(path: str) -> dict[bytes, int]:
 def merge(ranks: dict[bytes, int], piece: bytes) -> list[bytes]:
     """Lowest rank first, leftmost on ties. For the few bytes of two tokens, never for text."""
     parts = [piece[i: i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 60), i) for i in range(len(parts) - 1))
-        if best == 1 << 60:
-            break
+    rank = ranks.get
+    joins = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+    while joins and (best := min(joins)) != NEVER:
+        at = joins.index(best)
         parts[at: at + 2] = [parts[at] + parts[at + 1]]
+        del joins[at]
+        if at:
+            joins[at - 1] = rank(parts[at - 1] + parts[at], NEVER)
+        if at < len(joins):
+            joins[at] = rank(parts[at] + parts[at + 1], NEVER)
     return parts
 
 
 class Transducer:
-    """Lazily determinised byte-to-token machine of one vocabulary."""
+    """Lazily determinised byte-to-token machine of one vocabulary.
+
+    A live state is (tokens not yet written, last token or -1, node of the trie of all tokens); node 0 is the root.
+    """
 
     def __init__(self, ranks: dict[bytes, int], max_steps: int = MAX_STEPS):
         self.ranks, self.max_steps = ranks, max_steps
-        self.starts = {t[:k] for t in ranks for k in range(1, len(t) + 1)}  # what some token begins with
-        self.pairs: dict[tuple[bytes, bytes], bool] = {}
-        self.own: dict[bytes, bool] = {}
+        self.bytes_of = {i: t for t, i in ranks.items()}
+        self.child: dict[int, int] = {}  # node << 8 | byte -> node
+        self.token: list[int] = [-1]  # node -> token that ends there
+        for token, number in ranks.items():
+            node = 0
+            for byte in token:
+                key = node << 8 | byte
+                if key not in self.child:
+                    self.child[key] = len(self.token)
+                    self.token.append(-1)
+                node = self.child[key]
+            self.token[node] = number
+        self.pairs: dict[int, bool] = {}
+        self.own: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
         self.states: list[tuple] = []
         self.numbers: dict[tuple, int] = {}
         self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self.start = self.number((((), None, b""),))
+        self.live: dict[tuple, tuple] = {}  # equal live states are one object
+        self.start = self.number((((), -1, 0),))
 
     def number(self, state: tuple) -> int:
-        if state not in self.numbers:
-            self.numbers[state] = len(self.states)
+        found = self.numbers.get(state)
+        if found is None:
+            state = tuple(self.live.setdefault(x, x) for x in state)
+            found = self.numbers[state] = len(self.states)
             self.states.append(state)
-        return self.numbers[state]
-
-    def merges_to_itself(self, token: bytes) -> bool:
-        if token not in self.own:
-            self.own[token] = merge(self.ranks, token) == [token]
-        return self.own[token]
-
-    def compatible(self, left: bytes | None, right: bytes) -> bool:
-        if not self.merges_to_itself(right):
-            return False
-        if left is None:
-            return True
-        if (left, right) not in self.pairs:
+        return found
+
+    def compatible(self, left: int, right: int) -> bool:
+        fits = self.own.get(right)
+        if fits is None:
+            token = self.bytes_of[right]
+            fits = self.own[right] = merge(self.ranks, token) == [token]
+        if left < 0 or not fits:
+            return fits
+        fits = self.pairs.get(key := left << 32 | right)
+        if fits is None:
             if len(self.pairs) >= self.max_steps:
                 self.pairs.clear()
-            self.pairs[left, right] = merge(self.ranks, left + right) == [left, right]
-        return self.pairs[left, right]
+            a, b = self.bytes_of[left], self.bytes_of[right]
+            fits = self.pairs[key] = merge(self.ranks, a + b) == [a, b]
+        return fits
 
     def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """The state after one more byte, and the tokens that are certain now."""
         live = []
-        for held, last, begun in self.states[state]:
-            grown = begun + bytes((byte,))
-            if grown in self.starts:
-                live.append((held, last, grown))
-                if grown in self.ranks and self.compatible(last, grown):
-                    live.append(((*held, self.ranks[grown]), grown, b""))
+        for held, last, node in self.states[state]:
+            node = self.child.get(node << 8 | byte)
+            if node is not None:
+                live.append((held, last, node))
+                token = self.token[node]
+                if token >= 0 and self.compatible(last, token):
+                    live.append(((*held, token), token, 0))
         shared = 0
-        shortest = min(len(x[0]) for x in live)
-        while shared < shortest and all(x[0][shared] == live[0][0][shared] for x in live):
+        first, shortest = live[0][0], min(len(x[0]) for x in live)
+        while shared < shortest and all(x[0][shared] == first[shared] for x in live):
             shared += 1
-        out = live[0][0][:shared]
-        return self.number(tuple((held[shared:], last, begun) for held, last, begun in live)), out
+        if shared:
+            live = [(held[shared:], last, node) for held, last, node in live]
+        return self.number(tuple(live)), first[:shared]
 
     def encode(self, piece: bytes) -> list[int]:
         if piece in self.ranks:
@@ -125,7 +149,7 @@ class Transducer:
             state, out = found
             if out:
                 ids.extend(out)
-        ids.extend(next((held for held, _, begun in self.states[state] if not begun), ()))
+        ids.extend(next((held for held, _, node in self.states[state] if not node), ()))
         return ids
 
 
@@ -180,7 +204,7 @@ class Codec:
         self.machine = Transducer(load_ranks(path))
         self.pieces = Pieces(self.machine)
         self.split = regex.compile(pattern).findall
-        self.bytes_of: dict[int, bytes] = {i: t for t, i in self.machine.ranks.items()}
+        self.bytes_of = self.machine.bytes_of
 
     def encode(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, self.split(text))), "<u4")
