@@ -185,6 +185,7 @@ def planned(pages: DataFrame, at_least: int = REVISIT_FROM) -> DataFrame:
     again = rows.where(F.col("size") >= at_least).groupBy("digest").agg(
         F.min("page_id").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     later = F.col("page_id").isNull() | (F.col("page_id") > F.col("least"))
+    again = staged(again, "repeated")  # written first, so that payloads are shuffled only if there are many of these
     return rows.join(again, "digest", "left").select(
         "page_id", "url", "payload", "digest", F.when(later, F.col("least")).alias("refers_to"))
 
