@@ -18,10 +18,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Blocks that an earlier document has are taken out; a document of which no word is left goes."""
-    found = line_align.dedup_lines(docs)
-    empty = (F.col("n_deleted") > 0) & (F.trim("text") == "")
-    changed = F.when(F.col("n_deleted") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return found.where(~empty).withColumn("n_chars", changed).select(*docs.columns)
+    lines, deleted = (next(n for k in range(len(docs.columns) + 1) if (n := f"{name}_{k}") not in docs.columns)
+                      for name in ("lines", "deleted"))  # names that no column has
+    found = line_align.dedup_lines(docs, lines=lines, deleted=deleted)
+    changed = F.col(deleted) > 0
+    found = found.where(~(changed & (F.trim("text") == "")))
+    if "n_chars" in docs.columns:
+        length = F.length("text").cast(docs.schema["n_chars"].dataType)
+        found = found.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
+    return found.select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

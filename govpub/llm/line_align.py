@@ -142,8 +142,9 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return each.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("r")).alias("gone"))
 
 
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """All documents and columns, repeated blocks taken out of the text; n_lines and n_deleted are added."""
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, lines: str = "n_lines",
+                deleted: str = "n_deleted") -> DataFrame:
+    """All documents and columns, repeated blocks taken out of the text; the columns `lines` and `deleted` are set."""
     gone = staged(deletions(docs.select("doc_id", "text"), min_words), "deletions").select(
         F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "gone")
     row = docs.select(F.struct(*docs.columns).alias("_row"))
@@ -154,7 +155,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     none = F.col("gone").isNull()
     out = out.withColumn("_kept", F.when(none, F.col("_lines")).otherwise(kept))
     count = lambda c: F.coalesce(F.array_size(c), F.lit(0)).cast("long")
-    others = [F.col(f"_row.`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_deleted")]
+    others = [F.col(f"_row.`{c}`") for c in docs.columns if c not in ("text", lines, deleted)]
     found = out.select(*others, F.when(none, text).otherwise(F.array_join("_kept", "\n")).alias("text"),
-                       count("_lines").alias("n_lines"), (count("_lines") - count("_kept")).alias("n_deleted"))
-    return found.select(*docs.columns, *(c for c in ("n_lines", "n_deleted") if c not in docs.columns))
+                       count("_lines").alias(lines), (count("_lines") - count("_kept")).alias(deleted))
+    return found.select(*docs.columns, *(c for c in (lines, deleted) if c not in docs.columns))
