@@ -2,8 +2,7 @@
 
 Picking one row per key is written as an aggregate, never as a ranking window: aggregates
 combine on the map side, so a hot key reaches the reducer as one row per map task. Where
-every row needs a figure of its group, `attach_stats` joins the rows back and treats the
-few hot keys apart.
+every row needs a figure of its group, `attach_stats` joins the rows back.
 """
 
 from __future__ import annotations
@@ -15,54 +14,22 @@ from pyspark.sql import functions as F
 
 from govpub.functions.columns import ColumnLike, as_col
 
-# A key with more rows than this is hot. With N rows there are at most N / HOT_ROWS such
-# keys, which bounds what attach_stats broadcasts (10**12 rows: at most 100,000 keys).
-HOT_ROWS = 10_000_000
-
-
 def latest_by(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike]) -> DataFrame:
     """One whole row per key, the greatest by `order`; remaining ties fall to the other columns."""
-    return _extreme_by(df, keys, order, F.max)
-
-
-def earliest_by(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike]) -> DataFrame:
-    """One whole row per key, the smallest by `order`; remaining ties fall to the other columns."""
-    return _extreme_by(df, keys, order, F.min)
-
-
-def _extreme_by(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike], pick) -> DataFrame:
     rest = [c for c in df.columns if c not in keys]
     ranked = [as_col(o).alias(f"_o{i}") for i, o in enumerate(order)]
-    row = F.struct(*ranked, *[F.col(c) for c in rest])
-    picked = df.groupBy(*keys).agg(pick(row).alias("_row"))
+    picked = df.groupBy(*keys).agg(F.max(F.struct(*ranked, *[F.col(c) for c in rest])).alias("_row"))
     return picked.select(*[F.col(k) if k in keys else F.col(f"_row.{k}").alias(k) for k in df.columns])
 
 
-def attach_stats(rows: DataFrame, stats: DataFrame, keys: Sequence[str], size: str,
-                 spread_on: Sequence[ColumnLike], how: str = "inner",
-                 hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Join every row with the one-per-key `stats` frame.
+def attach_stats(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Every row whose key is in the one-per-key `stats` frame, with the figures of its key.
 
-    `size` names the stats column with the number of rows of the key. Stats of hot keys are
-    broadcast (their number is bounded, see HOT_ROWS) and their rows are spread by `spread_on`
-    instead of by the key, so no task receives a whole hot group. All other keys meet in an
-    ordinary equi join whose strategy Spark chooses by size.
+    An inner equi join: rows of other keys are not moved further than the join, a small `stats` is broadcast
+    by its measured size, and the partitions of a hot key are split at run time.
     """
     figures = [c for c in stats.columns if c not in keys]
-    packed = stats.select(*keys, F.struct(*figures).alias("_s"))
-    hot = F.broadcast(packed.where(F.col(f"_s.{size}") > hot_rows).withColumnRenamed("_s", "_hot"))
-    cold = (packed.where(F.col(f"_s.{size}") <= hot_rows)
-            .withColumnRenamed("_s", "_cold").withColumn("_salt", F.lit(0)))
-    fan = F.ceil(F.col(f"_hot.{size}") / F.lit(hot_rows)).cast("int") * 8
-    salt = F.when(F.col("_hot").isNull(), F.lit(0)).otherwise(
-        F.lit(1) + F.pmod(F.hash(*[as_col(c) for c in spread_on]), fan))
-    joined = (rows.join(hot, list(keys), "left").withColumn("_salt", salt)
-              .join(cold, [*keys, "_salt"], "left"))
-    if how == "inner":
-        joined = joined.where(F.col("_hot").isNotNull() | F.col("_cold").isNotNull())
-    found = F.coalesce(F.col("_hot"), F.col("_cold"))
-    return joined.withColumn("_found", found).select(
-        *[F.col(c) for c in rows.columns], *[F.col(f"_found.{c}").alias(c) for c in figures])
+    return rows.join(stats, list(keys)).select(*rows.columns, *figures)
 
 
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "rows", *more: Column) -> DataFrame:

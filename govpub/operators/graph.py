@@ -77,7 +77,7 @@ def project_entities(star: Mapping[str, DataFrame], facility: DataFrame, candida
                              country_id="CountryCode"),
         "well": project(well, well_id="WellId", well_name="WellName", asset_id="AssetId", country_id="CountryCode",
                         stream_id="StreamId", wellbore_count="WellboreCount", completion_count="CompletionCount",
-                        alias_list="AliasList", well_status="WellStatus"),
+                        alias_count="AliasCount", well_status="WellStatus"),
         "wellbore": project(star["master_wellbore"], wellbore_id="WellboreId", well_id="WellId",
                             wellbore_name="WellboreName"),
         "completion": project(star["master_completion"], completion_id="CompletionId", wellbore_id="WellboreId",
@@ -97,8 +97,7 @@ def project_entities(star: Mapping[str, DataFrame], facility: DataFrame, candida
             star["source_decision"], decision_id="DecisionId", stream_id="StreamId", well_id="WellId",
             business_date="BusinessDate", commodity="Commodity", decision_status="DecisionStatus",
             selected_source_system="SelectedSourceSystem", selected_value_std="SelectedValueStd",
-            candidate_count="CandidateCount", reason="Reason", candidates_json="CandidatesJson",
-            authority_policy_version="AuthorityPolicyVersion"),
+            candidate_count="CandidateCount", reason="Reason", authority_policy_version="AuthorityPolicyVersion"),
         "publication": project(
             candidate, publication_id="PublicationId", batch_id="BatchId", dataset_version="DatasetVersion",
             authority_policy_version="AuthorityPolicyVersion", mapping_version="MappingVersion",

@@ -146,19 +146,21 @@ def measure_query(star: Mapping[str, DataFrame], names: Sequence[str], by: Seque
         if isinstance(measures[n], Base):
             by_fact.setdefault(measures[n].fact, []).append(n)
 
+    groups = [c.split(".")[1] for c in by]
+    if len(set(groups)) < len(groups):
+        raise ValueError(f"grouping columns of two dimensions have the same name: {sorted(groups)}")
     results = [_aggregate_fact(star, fact, {n: measures[n].expr() for n in ms}, by, where or {}, relations)
                for fact, ms in by_fact.items()]
     results.sort(key=lambda r: -len(r[1]))
     frame, present = results[0]
     for other, cols in results[1:]:
-        frame = _meet(frame, other, [c for c in cols if c in present])
+        frame = _meet(frame, other, [c for c in cols if c in present], cols, groups)
         present = present + [c for c in cols if c not in present]
     for n in needed:
         m = measures[n]
         if isinstance(m, Derived):
             frame = frame.withColumn(n, m.combine(*[F.col(f"`{p}`") for p in m.parts]))
     shown = reduce(lambda a, b: a | b, [F.col(f"`{n}`").isNotNull() for n in names])
-    groups = [c.split(".")[1] for c in by]
     return frame.where(shown).select(*groups, *[F.col(f"`{n}`") for n in names])
 
 
@@ -180,8 +182,11 @@ def _aggregate_fact(star, fact, exprs, by, where, relations) -> tuple[DataFrame,
     return out, groups
 
 
-def _meet(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-    """Full join on the shared grouping columns; without any, the one-row side is repeated."""
+def _meet(left: DataFrame, right: DataFrame, on: list[str], grouped: list[str], by: list[str]) -> DataFrame:
+    """Full join on the shared grouping columns; a side without grouping columns is one row and is repeated."""
+    if not on and grouped:
+        raise ValueError(f"no fact of these measures has both {[c for c in left.columns if c in by]} and {grouped}: "
+                         "ask for them in two queries")
     if not on:
         values = right.select(F.struct(*[F.col(f"`{c}`") for c in right.columns]).alias("s")).scalar()
         return left.withColumn("_one", values).select(

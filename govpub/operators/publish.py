@@ -72,6 +72,27 @@ def reconcile(sides: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, [one(*s) for s in sides])
 
 
+CHECKS = "serve.publication_reconciliation"
+
+
+def record_reconciliation(store: Store, publication_id: str, checks: DataFrame, broken: Sequence[Row] = ()) -> list[Row]:
+    """Store every check of a slice, contract violations as checks that failed; returns the failed ones."""
+    found = store.spark.createDataFrame(
+        [(f"{r['table_name']}.{r['column_name']} {r['problem']}", None, None, False) for r in broken],
+        "check_name string, left_value decimal(38,6), right_value decimal(38,6), ok boolean")
+    store.replace_slice(checks.unionByName(found).coalesce(1), CHECKS, {"PublicationId": publication_id})
+    return store.publication_slice(CHECKS, publication_id).where("NOT ok").orderBy("check_name").collect()
+
+
+def verified(store: Store, publication_id: str) -> bool:
+    """Whether the rows now in the slice were checked and no check failed."""
+    if not store.exists(CHECKS):
+        return False
+    row = store.publication_slice(CHECKS, publication_id).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(~F.col("ok")).alias("bad")).first()
+    return row["n"] > 0 and row["bad"] == 0
+
+
 # --- candidate -------------------------------------------------------------------------
 
 def write_candidate(store: Store, tables: Mapping[str, DataFrame], publication_id: str) -> None:
@@ -80,6 +101,21 @@ def write_candidate(store: Store, tables: Mapping[str, DataFrame], publication_i
                 list(tables.items()))
 
 
+def withdraw(store: Store, publication_id: str, reason: str) -> None:
+    """Take back a registration that waits for approval; it has to be staged again."""
+    state = _state(store, publication_id)
+    if state and state["Status"] == "APPROVAL_PENDING":
+        _commit(store, [_entry(state.asDict(), "WITHDRAWN", "pipeline", reason, utc_now(), Status="WITHDRAWN")])
+
+
+def wrong_counts(store: Store, publication_id: str) -> bool:
+    """Whether the stored rows of any table differ from the counts registered for the candidate."""
+    expected = store.publication_slice("serve.publication_row_count", publication_id)
+    wrong = (expected.join(table_counts(store, publication_id), "TableName", "full")
+             .where(~F.col("ExpectedRows").eqNullSafe(F.col("ActualRows"))))
+    return not wrong.isEmpty() or expected.count() != len(STAR_TABLES)
+
+
 def table_counts(store: Store, publication_id: str, tables: Sequence[str] = tuple(STAR_TABLES),
                  namespace: str = "serve") -> DataFrame:
     parts = [store.table(f"{namespace}.{t}").where(F.col("PublicationId") == publication_id)
@@ -172,11 +208,10 @@ def stage(store: Store, publication_id: str, run_id: str = "manual") -> Row | st
                   if store.exists("serve.publication_candidate") else [])
     if len(candidates) != 1:
         raise LifecycleError(50010, f"{publication_id} has no single publication candidate")
-    expected = store.publication_slice("serve.publication_row_count", publication_id)
-    wrong = (expected.join(table_counts(store, publication_id), "TableName", "full")
-             .where(~F.col("ExpectedRows").eqNullSafe(F.col("ActualRows"))).count())
-    if wrong or expected.count() != len(STAR_TABLES):
+    if wrong_counts(store, publication_id):
         raise LifecycleError(50011, f"{publication_id}: stored rows differ from the candidate's row counts")
+    if not verified(store, publication_id):
+        raise LifecycleError(50012, f"{publication_id}: its rows did not pass the reconciliation")
     now = utc_now()
     c = candidates[0].asDict()
     entries = [_entry(r.asDict(), "SUPERSEDED_BEFORE_APPROVAL", "system", f"Superseded by {publication_id}", now,
@@ -209,7 +244,8 @@ def decide(store: Store, publication_id: str, actor: str, decision: str = "APPRO
 
 
 def publish(store: Store, publication_id: str, run_id: str = "manual") -> Row:
-    """Make an approved publication the current one. All six control totals are compared first."""
+    """Make an approved publication the current one, after its reconciliation, row counts and all six control
+    totals were compared once more."""
     state = _state(store, publication_id)
     if state and state["Status"] == "PUBLISHED":
         return state
@@ -218,6 +254,8 @@ def publish(store: Store, publication_id: str, run_id: str = "manual") -> Row:
     stored, manifest = control_totals(store, publication_id), json.loads(state["ControlTotalsJson"] or "{}")
     if stored != manifest:
         raise LifecycleError(50031, f"{publication_id}: control totals {stored} differ from the manifest {manifest}")
+    if wrong_counts(store, publication_id) or not verified(store, publication_id):
+        raise LifecycleError(50032, f"{publication_id}: its rows are not those that were checked")
     now = utc_now()
     entries = [_entry(r.asDict(), "SUPERSEDED", "system", f"Superseded by {publication_id}", now,
                       Status="SUPERSEDED", SupersededBy=publication_id)
@@ -235,7 +273,7 @@ def sync_evidence(store: Store, batch_id: str, run_id: str = "manual") -> DataFr
     synced = F.lit(now).cast("timestamp").alias("SyncedAtUtc")
     status = store.table("ops.batch_status").where(F.col("BatchId") == batch_id)
     store.replace_slice(status.select("Stage", "Status", "PublicationId", "BlockerCount", "WarningCount", "InfoCount",
-                                      F.substring("Message", 1, 4000).alias("Message"), "RunId", "UpdatedAtUtc",
+                                      "Message", "RunId", "UpdatedAtUtc",
                                       synced), "ops.quality_evidence", slice_)
     found = issue_summary(store.table("ops.dq_issue").where(F.col("BatchId") == batch_id))
     store.replace_slice(found.select("Stage", "RuleId", "Severity", "IssueCount", synced),

@@ -8,10 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from govpub.functions.columns import ColumnLike, as_col, project, stable_key
-from govpub.functions.skew import attach_stats, group_size
-
-# Above this many aliases a key's list is read from the registry rows, not kept as one text.
-LISTED = 1_000
 
 
 def conform_registry(df: DataFrame, columns: Sequence[str], batch_id: str, mapping_version: str) -> DataFrame:
@@ -56,17 +52,9 @@ def child_counts(child: DataFrame, parent_key: str, name: str) -> DataFrame:
     return child.groupBy(parent_key).agg(F.count(F.lit(1)).cast("int").alias(name))
 
 
-def alias_lists(alias: DataFrame, key: str, *parts: str, limit: int = LISTED) -> DataFrame:
-    """The aliases of a key as one sorted text 'a:b, c:d'.
-
-    A key with more than `limit` aliases gets no text (null): its aliases are not gathered into
-    one value but stay rows of the registry.
-    """
-    text = F.concat_ws(":", *[F.col(p) for p in parts])
-    sized = attach_stats(alias, group_size(alias, [key], "_n"), [key], "_n", parts)
-    short = F.when(F.col("_n") <= limit, text)
-    return sized.groupBy(key).agg(F.max("_n").alias("_n"), F.sort_array(F.collect_list(short)).alias("_list")).select(
-        key, F.when(F.col("_n") <= limit, F.concat_ws(", ", "_list")).alias("AliasList"))
+def alias_rows(alias: DataFrame, key: str, *parts: str) -> DataFrame:
+    """The aliases of every key, one row each: a key may have any number of them."""
+    return alias.select(key, *parts).distinct()
 
 
 # --- dimensions ------------------------------------------------------------------------
@@ -90,7 +78,7 @@ def dim_well(well: DataFrame, stream: DataFrame, field: DataFrame, wellbore: Dat
     bore_of = wellbore.select("wellbore_id", "well_id")
     completions = completion.join(bore_of, "wellbore_id").select("well_id")
     children = [child_counts(bore_of, "well_id", "bores"), child_counts(completions, "well_id", "completions"),
-                alias_lists(alias, "well_id", "source_system", "source_well_id")]
+                child_counts(alias_rows(alias, "well_id", "source_system", "source_well_id"), "well_id", "aliases")]
     out = well.join(field.select("field_id", "country_id"), "field_id").join(
         stream.select("well_id", "stream_id"), "well_id")
     for child in children:
@@ -98,7 +86,7 @@ def dim_well(well: DataFrame, stream: DataFrame, field: DataFrame, wellbore: Dat
     return project(out, WellKey=stable_key("WELL", "well_id"), WellId="well_id", WellName="well_name",
                    AssetKey=asset_key(), AssetId="field_id", CountryCode="country_id", StreamId="stream_id",
                    WellboreCount=F.coalesce("bores", F.lit(0)), CompletionCount=F.coalesce("completions", F.lit(0)),
-                   AliasList="AliasList", WellStatus="well_status")
+                   AliasCount=F.coalesce("aliases", F.lit(0)), WellStatus="well_status")
 
 
 def dim_equipment(equipment: DataFrame, facility: DataFrame, field: DataFrame) -> DataFrame:

@@ -85,7 +85,7 @@ def one_day(star: Star, well_id: str, day: date) -> DataFrame:
 
 def well_passport(star: Star, well_id: str) -> DataFrame:
     return star["dim_well"].where(F.col("WellId") == well_id).select(
-        "WellId", "WellName", "AssetId", "WellboreCount", "CompletionCount", "AliasList", "WellStatus")
+        "WellId", "WellName", "AssetId", "WellboreCount", "CompletionCount", "AliasCount", "WellStatus")
 
 
 def well_series(star: Star, well_id: str) -> DataFrame:

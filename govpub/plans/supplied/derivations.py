@@ -288,22 +288,72 @@ def dense_completeness(t: Tables) -> DataFrame:
 
 @query("""
 WITH suppliers AS (SELECT s_nationkey AS k, count(*) AS n FROM supplier GROUP BY 1),
-customers AS (SELECT c_nationkey AS k, count(*) AS n, string_agg(DISTINCT 'SEG:' || c_mktsegment, ', '
-               ORDER BY 'SEG:' || c_mktsegment) AS list FROM customer GROUP BY 1)
-SELECT n_name, r_name, coalesce(s.n, 0) AS suppliers, coalesce(c.n, 0) AS customers, c.list AS "AliasList"
+customers AS (SELECT c_nationkey AS k, count(*) AS n, count(DISTINCT c_mktsegment) AS aliases FROM customer GROUP BY 1)
+SELECT n_name, r_name, coalesce(s.n, 0) AS suppliers, coalesce(c.n, 0) AS customers, coalesce(c.aliases, 0) AS aliases
 FROM nation JOIN region ON r_regionkey = n_regionkey LEFT JOIN suppliers s ON s.k = n_nationkey
 LEFT JOIN customers c ON c.k = n_nationkey
 """)
 def dims_with_counts(t: Tables) -> DataFrame:
-    """Nations with child counts and a list folded in; children are counted before the join."""
+    """Nations with child and alias counts; children are counted before the join."""
     nations = t.nations()
     suppliers = registry.child_counts(t.raw("supplier").withColumnRenamed("s_nationkey", "n_nationkey"), "n_nationkey",
                                       "suppliers")
     customer = t.raw("customer").withColumnRenamed("c_nationkey", "n_nationkey")
     customers = registry.child_counts(customer, "n_nationkey", "customers")
-    segments = customer.select("n_nationkey", F.lit("SEG").alias("kind"), "c_mktsegment").distinct()
-    lists = registry.alias_lists(segments, "n_nationkey", "kind", "c_mktsegment")
+    aliases = registry.child_counts(registry.alias_rows(customer, "n_nationkey", "c_mktsegment"), "n_nationkey",
+                                    "aliases")
     out = nations.join(suppliers, "n_nationkey", "left").join(customers, "n_nationkey", "left").join(
-        lists, "n_nationkey", "left")
+        aliases, "n_nationkey", "left")
     return out.select("n_name", "r_name", out_int(F.coalesce("suppliers", F.lit(0))).alias("suppliers"),
-                      out_int(F.coalesce("customers", F.lit(0))).alias("customers"), "AliasList")
+                      out_int(F.coalesce("customers", F.lit(0))).alias("customers"),
+                      out_int(F.coalesce("aliases", F.lit(0))).alias("aliases"))
+
+
+@query("SELECT DISTINCT p_brand, ps.l_suppkey AS supplier FROM part JOIN lineitem ps ON ps.l_partkey = p_partkey")
+def alias_rows(t: Tables) -> DataFrame:
+    """Every supplier a brand is known by, one row each; at larger sizes a brand has thousands."""
+    known = t.raw("part").select(F.col("p_partkey").alias("l_partkey"), "p_brand").join(
+        t.lineitem().select("l_partkey", F.col("l_suppkey").alias("supplier")), "l_partkey")
+    return registry.alias_rows(known, "p_brand", "supplier")
+
+
+@query("""
+WITH e AS (SELECT event_id, user_id, CAST(ts AS TIMESTAMP) AS s,
+                  CASE WHEN event_id % 5 = 0 THEN NULL WHEN event_id % 7 = 0 THEN CAST(ts AS TIMESTAMP)
+                       ELSE CAST(ts AS TIMESTAMP) + INTERVAL 30 MINUTE END AS e FROM events),
+k AS (SELECT *, NOT (user_id % 10 < 8 AND coalesce(e > s, false)) AS invalid FROM e)
+SELECT invalid, count(*) AS events, CAST(sum(CASE WHEN NOT invalid THEN 0.5 END) AS DOUBLE) AS hours FROM k GROUP BY invalid
+""")
+def downtime_events(t: Tables) -> DataFrame:
+    """Events as downtimes; every fifth has no end, every seventh no duration, a fifth of the users no equipment."""
+    users = t.raw("events").select("user_id").distinct().where("user_id % 10 < 8")
+    equipment = users.select(F.col("user_id").alias("equipment_id"), F.lit("F").alias("facility_id"))
+    facility = t.spark.createDataFrame([("F", "A")], "facility_id string, field_id string")
+    start = F.col("ts").cast("timestamp")
+    end = F.when(F.col("event_id") % 5 == 0, None).when(F.col("event_id") % 7 == 0, start).otherwise(
+        start + F.expr("INTERVAL 30 MINUTES"))
+    events = t.raw("events").select("event_id", F.col("user_id").alias("equipment_id"), F.lit(1).alias("change_seq"),
+                                    start.alias("start_utc"), end.alias("end_utc"))
+    return derive.downtime_events(events, equipment, facility).groupBy("invalid").agg(
+        out_int(count()).alias("events"), out_num(F.sum("duration_hours")).alias("hours"))
+
+
+@query("""
+SELECT CASE WHEN o_custkey % 3 = 0 OR l_linenumber % 4 = 0 OR l_linenumber % 5 = 0 OR CAST(o_orderdate AS DATE) IS NULL
+            OR CAST(o_orderdate AS DATE) <> CAST(o_orderdate AS DATE) + CAST(l_linenumber = 3 AS INT) THEN true ELSE false END
+       AS invalid, count(*) AS losses
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1
+""")
+def loss_events(t: Tables) -> DataFrame:
+    """Lines as losses of their order's outage: unknown wells, missing dates and dates a day off are invalid."""
+    orders = t.orders()
+    wells = orders.where("o_custkey % 3 <> 0").select(F.col("o_custkey").alias("well_id"), F.lit("A").alias("field_id")).distinct()
+    downtime = orders.select(F.col("o_orderkey").alias("event_id"), F.col("o_orderkey").alias("incident_id"),
+                             F.lit("E").alias("equipment_id"), F.col("o_orderdate").alias("start_utc"))
+    line = F.col("l_linenumber")
+    day = F.when((line % 4 == 0) | (line % 5 == 0), None).otherwise(F.date_add("o_orderdate", (line == 3).cast("int")))
+    losses = t.lineitem().join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate").alias("loss_id"),
+        F.monotonically_increasing_id().alias("change_seq"), F.col("o_custkey").alias("well_ref"),
+        F.col("o_orderkey").alias("event_id"), day.alias("business_date"))
+    return derive.loss_candidates(losses, wells, downtime).groupBy("invalid").agg(out_int(count()).alias("losses"))

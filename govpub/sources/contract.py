@@ -116,14 +116,14 @@ SOURCE_TABLES = [
 SOURCE_BY_NAME = {t.name: t for t in SOURCE_TABLES}
 SOURCE_BY_ENTITY = {t.entity: t for t in SOURCE_TABLES}
 
-# The fifteen published tables ('?' = nullable); each also carries PublicationId.
+# The published tables ('?' = nullable); each also carries PublicationId.
 _STAR = {
     "dim_date": ("DateKey int; Date date; Year int; MonthNumber int; MonthName string; YearMonth string; "
                  "MonthStart date; DayOfMonth int; DaysInMonth int", ("DateKey",)),
     "dim_asset": ("AssetKey bigint; AssetId string; AssetName string; CountryCode string; CountryName string; "
                   "FacilityId string?", ("AssetKey",)),
     "dim_well": ("WellKey bigint; WellId string; WellName string; AssetKey bigint; AssetId string; "
-                 "CountryCode string; StreamId string; WellboreCount int; CompletionCount int; AliasList string?; "
+                 "CountryCode string; StreamId string; WellboreCount int; CompletionCount int; AliasCount int; "
                  "WellStatus string", ("WellKey",)),
     "dim_equipment": ("EquipmentKey bigint; EquipmentId string; EquipmentName string; EquipmentType string; "
                       "FacilityId string; AssetKey bigint; AssetId string; CountryCode string", ("EquipmentKey",)),
@@ -151,13 +151,18 @@ _STAR = {
         "WiShare decimal(9,6); LostBoeNetWi decimal(19,6); ValueUsdGross decimal(19,4); "
         "ValueUsdNetWi decimal(19,4)", ("LossId",)),
     "master_wellbore": ("WellboreId string; WellId string; WellboreName string", ("WellboreId",)),
+    "master_alias": ("SourceSystem string; SourceWellId string; WellId string", ("SourceSystem", "SourceWellId")),
     "master_completion": ("CompletionId string; WellboreId string; StreamId string; CompletionName string",
                           ("CompletionId",)),
     "source_decision": (
         "DecisionId string; CanonicalKey string; StreamId string; WellId string; BusinessDate date; "
         "Commodity string; CandidateCount int; DecisionStatus string; SelectedSourceSystem string?; "
         "SelectedObservationId string?; SelectedRevision int?; SelectedValueStd decimal(19,6)?; Reason string?; "
-        "CandidatesJson string?; AuthorityPolicyVersion string", ("DecisionId",)),
+        "AuthorityPolicyVersion string", ("DecisionId",)),
+    "source_decision_candidate": (
+        "DecisionId string; SourceSystem string; ObservationId string; Revision int; ReportStatus string?; "
+        "Eligible boolean; Priority int?; ObservationStatus string; ValueStd decimal(19,6)?",
+        ("DecisionId", "SourceSystem", "ObservationId")),
 }
 STAR_TABLES = {name: Table(f"serve.{name}", "STAR", _columns(spec), key) for name, (spec, key) in _STAR.items()}
 
@@ -239,10 +244,5 @@ def decimal_misfits(df: DataFrame, types: dict[str, str]) -> DataFrame:
     return counts.unpivot([], list(types), "column_name", "misfits")
 
 
-def key_violations(df: DataFrame, key: tuple[str, ...]) -> DataFrame:
-    """Keys that occur more than once."""
-    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from govpub.operators.ingest import append_new
 from govpub.sources.contract import SOURCE_TABLES, Table, read_csv
 from govpub.sources.store import Store
 
@@ -29,9 +30,13 @@ def read_sequence_range(df: DataFrame, sequence: str, low: int, high: int) -> Da
     return df.where((F.col(sequence) > low) & (F.col(sequence) <= high))
 
 
-def load_csv(store: Store, path: str, table: Table) -> None:
-    """Append a CSV delivery to a table partitioned by batch, every value exactly as delivered."""
-    store.append(read_csv(store.spark, path, table), f"bronze.{table.entity}", ["batch_id"])
+def load_csv(store: Store, path: str, table: Table, batch_id: str, run_id: str = "manual") -> int:
+    """Append one batch of a CSV delivery, every value exactly as delivered; returns how many rows were new.
+
+    The same append as a landing: a file that is loaded again, or that was landed before, adds nothing.
+    """
+    rows = read_csv(store.spark, path, table).where(F.col("batch_id") == batch_id)
+    return append_new(store, rows, f"bronze.{table.entity}", batch_id, run_id, path)
 
 
 def entity_config(spark: SparkSession) -> DataFrame:

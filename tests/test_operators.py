@@ -11,11 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from govpub.functions.columns import (date_key, hours_between, json_hash, numbers_in, safe_ratio, stable_key)
-from govpub.functions.skew import attach_stats, earliest_by, group_size, latest_by
-from govpub.operators import derive, ingest, quality, recon, registry, resolve
+from govpub.functions.skew import attach_stats, group_size, latest_by
+from govpub.operators import derive, ingest, measures, quality, recon, registry, resolve
 from govpub.sources import contract
 from govpub.sources.extract import copy_batch, entity_config, load_csv, read_sequence_range
-from govpub.sources.registers import save_contracts
+from govpub.sources.registers import REGISTERS, save_contracts
 from govpub.sources.store import Store, fingerprint, read_landed
 from govpub.streaming.bronze import append_stream
 
@@ -36,10 +36,9 @@ def test_columns(spark):
     assert row["n"] == [D("12345.5"), D(7), D("1.2"), D(3)] and row["h"] == D("0.833")
 
 
-@pytest.mark.parametrize("hot_rows", [5, 10_000])
-def test_attach_stats_with_a_hot_key(spark, hot_rows):
+def test_attach_stats_with_a_hot_key(spark):
     rows = spark.range(3000).select("id", F.when(F.col("id") < 2000, 0).otherwise(F.col("id") % 50).alias("k"))
-    out = attach_stats(rows, group_size(rows, ["k"]), ["k"], "rows", ["id"], hot_rows=hot_rows)
+    out = attach_stats(rows, group_size(rows, ["k"]), ["k"])
     sizes = defaultdict(int)
     for r in rows.collect():
         sizes[r["k"]] += 1
@@ -50,7 +49,6 @@ def test_attach_stats_with_a_hot_key(spark, hot_rows):
 def test_extremes_are_total(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 2, "y"), ("a", 2, "z"), ("b", 5, None)], "k string, s int, v string")
     assert {tuple(r) for r in latest_by(df, ["k"], ["s"]).collect()} == {("a", 2, "z"), ("b", 5, None)}
-    assert {tuple(r) for r in earliest_by(df, ["k"], ["s"]).collect()} == {("a", 1, "x"), ("b", 5, None)}
 
 
 # --- contract and store ----------------------------------------------------------------
@@ -76,7 +74,8 @@ def test_csv_load_loses_nothing(spark, scratch):
     store = Store(spark, "csv_")
     store.ensure("bronze")
     (scratch / "a.csv").write_text(f"{header}\nB0,2025-01-01,USD,1.123456789\nB0,2025-01-02,USD,2\n")
-    load_csv(store, str(scratch / "a.csv"), table)
+    assert load_csv(store, str(scratch / "a.csv"), table, "B0") == 2
+    assert load_csv(store, str(scratch / "a.csv"), table, "B0") == 0  # loaded again, nothing is added
     assert sorted(r["usd_per_unit"] for r in store.table("bronze.ref__fx_rate").collect()) == [D("1.123456789"), D(2)]
     (scratch / "b.csv").write_text(f"{header}\nB0,2025-01-01,USD,1.1234567891\n")
     with pytest.raises(Exception, match="more digits than its type"):
@@ -86,19 +85,20 @@ def test_csv_load_loses_nothing(spark, scratch):
 def test_registers_are_kept_per_version(spark):
     store = Store(spark, "reg_")
     store.ensure("ops")
-    save_contracts(store)
-    save_contracts(store)
-    save_contracts(store, "KPI-2.0", "SA-2026.1")
+    registers = {name: spark.createDataFrame([tuple(f"{c} {k}" for c in columns) for k in range(3)], columns)
+                 for name, (_, _, columns) in REGISTERS.items()}
+    for version in ("1.0", "1.0", "2.0"):
+        save_contracts(store, registers, dict.fromkeys(registers, version), version)
     sizes = {t: store.table(f"ops.{t}").count() for t in ("kpi_contract", "data_product", "dq_rule",
                                                           "source_authority_policy")}
-    assert sizes == {"kpi_contract": 14, "data_product": 14, "dq_rule": 36, "source_authority_policy": 20}
+    assert sizes == {"kpi_contract": 6, "data_product": 6, "dq_rule": 36, "source_authority_policy": 6}
 
 
-def test_alias_lists(spark):
-    rows = [("w", "A", "2"), ("w", "A", "1"), ("v", "B", "3"), ("big", "C", "1"), ("big", "C", "2"), ("big", "C", "3")]
+def test_alias_rows(spark):
+    rows = [("w", "A", "2"), ("w", "A", "1"), ("w", "A", "1"), *[("big", "C", str(k)) for k in range(1500)]]
     df = spark.createDataFrame(rows, "well string, s string, r string")
-    got = {r["well"]: r["AliasList"] for r in registry.alias_lists(df, "well", "s", "r", limit=2).collect()}
-    assert got == {"w": "A:1, A:2", "v": "B:3", "big": None}
+    got = registry.alias_rows(df, "well", "s", "r").groupBy("well").count().collect()
+    assert {r["well"]: r["count"] for r in got} == {"w": 2, "big": 1500}
 
 
 def test_schema_and_decimal_checks(spark):
@@ -237,9 +237,8 @@ ROWS = [("S", "clean", 1, 1, "c1", "x"), ("S", "clean", 2, 2, "c2", "y"), ("S",
         ("S", "clash", 2, 7, "c7", "z"), ("S", "nulls", 1, 8, "c8", None), ("S", "nulls", 1, 9, "c9", "n")]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10_000])
-def test_r06_r10_latest(spark, hot_rows):
-    out = revisions(spark, ROWS, hot_rows=hot_rows)
+def test_r06_r10_latest(spark):
+    out = revisions(spark, ROWS)
     assert [(r["observation_id"], r["change_id"]) for r in out.latest.collect()] == [("clean", "c2")]
     assert {(r["observation_id"], r["revision"], r["deliveries"]) for r in out.conflicts.collect()} == {
         ("clash", 2, 2), ("nulls", 1, 2)}
@@ -279,7 +278,7 @@ POLICY = [("P", "A", "C", 1, "FINAL"), ("P", "B", "ALL", 1, "FINAL"), ("P", "B",
           ("P", "L", "ALL", 9, "NONE"), ("P", "N", "ALL", None, "FINAL")]
 
 
-def authority(spark, rows, hot_rows=10_000, json_candidates=1000):
+def authority(spark, rows):
     df = spark.createDataFrame([(k, s, o, st, D(v) if v else None, "CURRENT" if v else "RETRACTED", "C", DAY)
                                 for k, s, o, st, v in rows],
                                "k string, source_system string, observation_id string, report_status string, "
@@ -292,8 +291,7 @@ def authority(spark, rows, hot_rows=10_000, json_candidates=1000):
     out = resolve.select_authoritative(scored, ["k"], ["observation_status", "value_std"],
                                        ["source_system", "observation_id"])
     evidence = resolve.decision_evidence(out, ["k"], ["source_system", "observation_id", "eligible", "priority"], "P",
-                                         {"selected": "observation_id"}, ["observation_id"],
-                                         json_candidates=json_candidates, hot_rows=hot_rows)
+                                         {"selected": "observation_id"})
     return out, evidence
 
 
@@ -305,9 +303,8 @@ CANDIDATES = [("one", "A", "o1", "FINAL", "5"), ("agree", "A", "o3", "FINAL", "5
               ("nopriority", "N", "o12", "FINAL", "1"), ("nopriority", "A", "o13", "FINAL", "2")]
 
 
-@pytest.mark.parametrize("hot_rows", [1, 10_000])
-def test_authority(spark, hot_rows):
-    out, evidence = authority(spark, CANDIDATES, hot_rows)
+def test_authority(spark):
+    out, evidence = authority(spark, CANDIDATES)
     status = {r["k"]: (r["decision_status"], r["candidate_count"]) for r in out.key_status.collect()}
     assert status == {"one": ("SELECTED", 1), "agree": ("SELECTED", 2), "differ": ("REVIEW_REQUIRED", 2),
                       "late": ("SELECTED", 2), "none": ("NO_AUTHORITATIVE_SOURCE", 1),
@@ -318,18 +315,61 @@ def test_authority(spark, hot_rows):
     decisions = {r["k"]: r for r in evidence.decisions.collect()}
     assert set(decisions) == set(status) - {"one"}
     assert decisions["late"]["reason"].startswith("Selected A (priority 1, FINAL) under P.")
-    assert decisions["differ"]["selected"] is None and '"B"' in decisions["differ"]["candidates_json"]
+    assert decisions["differ"]["selected"] is None
+    assert {r["source_system"] for r in evidence.candidates.where("k = 'differ'").collect()} == {"A", "B"}
+    assert decisions["late"]["authority_policy_version"] == "P"
     assert evidence.candidates.count() == len(CANDIDATES) - 1
 
 
-def test_large_evidence_stays_in_rows(spark):
-    rows = [("big", "A", f"o{i}", "FINAL", "5") for i in range(40)] + [("small", "A", "p", "FINAL", "1"),
-                                                                      ("small", "B", "q", "FINAL", "1")]
-    _, evidence = authority(spark, rows, json_candidates=10)
-    decisions = {r["k"]: r for r in evidence.decisions.collect()}
-    assert decisions["big"]["candidates_json"] is None and decisions["big"]["candidate_count"] == 40
-    assert decisions["small"]["candidates_json"] is not None
-    assert evidence.candidates.where("k = 'big'").count() == 40
+def test_large_evidence_is_whole(spark):
+    rows = [("big", "A", f"o{i}", "FINAL", "5") for i in range(1200)] + [("small", "A", "p", "FINAL", "1"),
+                                                                        ("small", "B", "q", "FINAL", "1")]
+    _, evidence = authority(spark, rows)
+    counts = {r["k"]: r["candidate_count"] for r in evidence.decisions.collect()}
+    assert counts == {"big": 1200, "small": 2}
+    assert evidence.candidates.where("k = 'big'").count() == 1200
+
+
+def test_repeats_of_a_revision_are_counted(spark):
+    rows = [("o", 1, 7, "c1", "B0", "x"), ("o", 1, 7, "c1", "B1", "x"), ("o", 1, 7, "c1", "B1", "x"), ("o", 1, 9, "c2", "B1", "x"),
+            ("p", 1, 1, "c3", "B0", "x"), ("q", 1, 1, "c4", "B0", "x"), ("q", 1, 2, "c5", "B0", "y")]
+    df = spark.createDataFrame(rows, "obs string, rev int, seq long, change string, batch string, v string")
+    found = resolve.resolve_revisions(df, ["obs"], "rev", "seq", "change", ["v"])
+    assert sorted(r["change"] for r in found.duplicates.collect()) == ["c1", "c1", "c2"]  # four deliveries
+    assert [(r["obs"], r["deliveries"]) for r in found.conflicts.collect()] == [("q", 2)]
+
+
+def test_a_missing_end_or_date_is_an_issue_not_a_loss(spark):
+    events = spark.createDataFrame([("e1", "q", 1, "2025-01-01 00:00:00", None), ("e2", "q", 1, None, "2025-01-01 02:00:00"),
+                                    ("e3", "q", 1, "2025-01-01 00:00:00", "2025-01-01 02:00:00")],
+                                   "event_id string, equipment_id string, change_seq int, start_utc string, end_utc string")
+    equipment = spark.createDataFrame([("q", "f")], "equipment_id string, facility_id string")
+    facility = spark.createDataFrame([("f", "a")], "facility_id string, field_id string")
+    got = {r["event_id"]: (r["invalid"], r["duration_hours"]) for r in
+           derive.downtime_events(events, equipment, facility).collect()}
+    assert got == {"e1": (True, None), "e2": (True, None), "e3": (False, D(2))}
+
+
+def test_rates_given_twice_do_not_double_an_amount(spark):
+    cost = spark.createDataFrame([("c1", "2025-01-01", "USD", D(10)), ("c2", "2025-01-01", "EUR", D(10)),
+                                  ("c3", "2025-01-01", "XXX", D(10))], "id string, m string, cur string, a decimal(19,4)")
+    fx = spark.createDataFrame([("2025-01-01", "USD", D(2)), ("2025-01-01", "USD", D(2)), ("2025-01-01", "EUR", D(2)),
+                                ("2025-01-01", "EUR", D(3))], "d string, cur string, r decimal(18,9)")
+    got = {r["id"]: (r["amount_usd"], r["dq_status"]) for r in
+           derive.convert_currency(cost, fx, {"m": "d", "cur": "cur"}, "a", "r").collect()}
+    assert got == {"c1": (D(20), "VALID"), "c2": (None, "AMBIGUOUS_FX"), "c3": (None, "MISSING_FX")}
+
+
+def test_measures_of_facts_without_a_shared_dimension_are_refused(spark):
+    star = {"f1": spark.createDataFrame([(1, 1), (2, 2)], "k int, v int"), "f2": spark.createDataFrame([(1, 1)], "k int, v int"),
+            "d1": spark.createDataFrame([(1, "a"), (2, "b")], "k int, n1 string"),
+            "d2": spark.createDataFrame([(1, "x")], "k int, n2 string")}
+    own = {"A": measures.Base("f1", lambda: F.sum("v")), "B": measures.Base("f2", lambda: F.sum("v"))}
+    relations = [("f1", "k", "d1", "k"), ("f2", "k", "d2", "k")]
+    ask = lambda by: measures.measure_query(star, ["A", "B"], by, measures=own, relations=relations)
+    with pytest.raises(ValueError, match="two queries"):
+        ask(["d1.n1", "d2.n2"])
+    assert {tuple(r) for r in ask(["d1.n1"]).collect()} == {("a", 1, 1), ("b", 2, 1)}
 
 
 # --- business rules --------------------------------------------------------------------

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 from decimal import Decimal as D
+from pathlib import Path
 
 import packs as P
 import pytest
@@ -27,7 +28,9 @@ def feed():
 def chain(spark, feed, tmp_path_factory):
     """Run every batch; stage, approve and publish what passes, and keep the outcome of each."""
     store = Store(spark, "e2e_")
-    settings = pipeline.Settings(landing=str(tmp_path_factory.mktemp("landing")))
+    concepts = tmp_path_factory.mktemp("registers") / "alignment.csv"
+    concepts.write_text("SilverTable,SourceTable,Concept,AlignmentStatus\nsilver.well,ref.well,Well,ALIGNED\n")
+    settings = pipeline.Settings(landing=str(tmp_path_factory.mktemp("landing")), alignment=str(concepts))
     store.ensure()
     publish.save_approvers(store, [(APPROVER, "Data owner", "PRODUCTION", True),
                                    ("old@example.org", "Former owner", "PRODUCTION", False)])
@@ -110,8 +113,10 @@ def test_provisional_loses_and_is_recorded(chain):
     assert oil(chain, "QS1") == oil(chain, "HX1")
     decision = chain["store"].publication_slice("serve.source_decision", "PUB-QS1").collect()
     assert len(decision) == 1 and decision[0]["CandidateCount"] == 2
-    assert decision[0]["SelectedSourceSystem"] == "SRC_MY_PROD" and "SRC_MY_OPS" in decision[0]["CandidatesJson"]
-    assert chain["store"].table("ops.source_decision_candidate").count() == 2
+    assert decision[0]["SelectedSourceSystem"] == "SRC_MY_PROD"
+    rows = chain["store"].publication_slice("serve.source_decision_candidate", "PUB-QS1").collect()
+    assert {(r["DecisionId"], r["SourceSystem"]) for r in rows} == {(decision[0]["DecisionId"], "SRC_MY_PROD"),
+                                                                    (decision[0]["DecisionId"], "SRC_MY_OPS")}
 
 
 def test_final_correction(chain):
@@ -176,6 +181,11 @@ def test_refused_transitions(chain):
         assert error.value.code == code
 
 
+def test_alignment_is_input(chain):
+    rows = chain["store"].table("ops.concept_alignment").collect()
+    assert [(r["Concept"], r["MappingVersion"], r["MasterSnapshotBatchId"]) for r in rows] == [("Well", "ALIGN-1.0", "S2")]
+
+
 def test_rerun_adds_nothing_and_order_is_kept(chain):
     assert set(chain["rerun"].values()) == {0}
     log = chain["store"].table("ops.ingestion_log").where("BatchId = 'S2'")
@@ -280,3 +290,50 @@ def test_report_queries(chain):
     assert page["publications"].count() == 6 and page["decisions"].count() == 1
     assert reports.current(store).first()["PublicationId"] == "PUB-S2"
     assert reports.event_trail(store).first()["EventType"] == "STAGED"
+
+
+def test_failed_rerun_of_a_pending_candidate_is_refused(chain):
+    """Runs after the chain: S2's candidate is built once more under another id, staged, spoilt, and built again."""
+    store = chain["store"]
+    publication = "PUB-T"
+    for name in (*STAR_TABLES, "publication_row_count", "publication_candidate"):
+        rows = store.publication_slice(f"serve.{name}", "PUB-S2").withColumn("PublicationId", F.lit(publication))
+        store.append(rows, f"serve.{name}")
+    with pytest.raises(publish.LifecycleError) as error:
+        publish.stage(store, publication)  # its rows were never checked
+    assert error.value.code == 50012
+    checks = store.publication_slice(publish.CHECKS, "PUB-S2").drop("PublicationId")
+    checks = store.spark.createDataFrame(checks.collect(), checks.schema)  # not read from the table it is written to
+    assert publish.record_reconciliation(store, publication, checks) == []
+    publish.stage(store, publication)
+    publish.withdraw(store, publication, "built again")
+    spoilt = checks.withColumns({"ok": F.col("check_name") != "water"})
+    assert [r["check_name"] for r in publish.record_reconciliation(store, publication, spoilt)] == ["water"]
+    for code, call in ((50022, lambda: publish.decide(store, publication, APPROVER)),
+                       (50012, lambda: publish.stage(store, publication)), (50030, lambda: publish.publish(store, publication))):
+        with pytest.raises(publish.LifecycleError) as error:
+            call()
+        assert error.value.code == code
+    publish.record_reconciliation(store, publication, checks)
+    publish.stage(store, publication)
+    publish.decide(store, publication, APPROVER)
+    publish.record_reconciliation(store, publication, spoilt)
+    with pytest.raises(publish.LifecycleError) as error:
+        publish.publish(store, publication)
+    assert error.value.code == 50032
+    assert [r["PublicationId"] for r in publish.current_publication(store).collect()] == ["PUB-S2"]
+
+
+def test_changed_replay_is_refused(chain, spark):
+    store, settings = chain["store"], chain["settings"]
+    other = pipeline.Settings(landing=f"{settings.landing}-changed")
+    for path in Path(f"{settings.landing}/S2").iterdir():
+        df = spark.read.parquet(str(path))
+        if path.name == "ref__country":
+            df = df.withColumn("country_name", F.concat("country_name", F.lit("!")))
+        df.write.parquet(f"{other.landing}/S2/{path.name}")
+    before = store.table("bronze.ref__country").count()
+    with pytest.raises(PipelineError) as error:
+        pipeline.land(store, other, "S2")
+    assert error.value.status == "RESEND_CHANGED" and "ref__country" in str(error.value)
+    assert store.table("bronze.ref__country").count() == before
