@@ -16,7 +16,7 @@ def spark():
                .config("spark.ui.showConsoleProgress", "false").config("spark.log.level", "ERROR")
                .config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g")
                .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
-               .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={scratch} -XX:TieredStopAtLevel=1 -XX:+UseSerialGC")
+               .config("spark.driver.extraJavaOptions", f"-Dderby.system.home={scratch} -XX:TieredStopAtLevel=1 -XX:ReservedCodeCacheSize=400m -XX:+UseSerialGC")
                .config("spark.sql.catalogImplementation", "in-memory")
                .getOrCreate())
     yield session
