@@ -1,31 +1,36 @@
 """Line dedup by pairwise alignment.
 
-Lines are hashed (128 bits; white space at the ends does not count). A line that more than one document holds pairs each
-of its later holders with the first one (smallest id): rare or frequent, a line with n holders gives n - 1 pairs, never
-n^2, and no line is too frequent to pair. Each pair of line sequences is aligned by patience diff: lines that are unique in both
-are anchors, the longest increasing run of anchors splits the pair, and equal lines next to anchors extend the match.
-Aligned runs of consecutive lines with at least `MIN_WORDS` words are deleted from the later document. Every
-deletion has a witness in a document with a smaller id, so the first copy of a block always remains.
-
-Frequent lines alone carry no proof that documents overlap, but a block of them is still a repeated block; the corpus
-frequency only orders the anchors of a pair: among anchors the rarest ones are kept first if they cross
-(`anchors`).
+Lines are hashed (128 bits; white space at the ends does not count). Documents that overlap are found through the hashes
+of their shortest runs of consecutive lines with `MIN_WORDS` words, one run from and one up to every line that has words; a
+line of so many words is a run of its own. A run that more than one document holds pairs each of its later holders
+with the first one (smallest id): a run with n holders gives n - 1 pairs, never n^2, and no run is too frequent to pair.
+Every block that can be deleted is covered by such runs, so its document is paired with a holder of each part.
+
+Each pair of line sequences is aligned by patience diff: lines that are unique in both are anchors (where there are none, the
+k-th copy of a line is the anchor of the k-th), the longest increasing run of anchors splits the pair, and equal lines
+next to anchors extend the match. What stays unaligned because its order differs is aligned again by itself, until no
+`MIN_WORDS` words in common are left. Aligned runs of consecutive lines with at least `MIN_WORDS` words are deleted from the
+later document. Every deletion has a witness in a document with a smaller id, so the first copy of a block always remains.
 
 Defined results: documents without an id have no order, so they are neither changed nor compared; a null text stays
-null; rows with the same id are each compared with smaller ids, never with each other; lines without a word are deleted only inside a
-longer block; a text whose lines all go becomes empty. Extra columns stay as they are.
+null; rows with the same id are each compared with smaller ids, never with each other; a line of either document is aligned
+at most once, so more copies in the later document than in the earlier one stay; lines without a word are deleted only
+inside a longer block; a text whose lines all go becomes empty. Extra columns stay as they are.
 
-Scale: line hashes are shuffled once to find holders and once to pair. Sequences of hashes, not texts, travel to the
+Scale: run hashes are shuffled once to find holders and once to pair. Sequences of hashes, not texts, travel to the
 pairs, through equi joins that AQE splits when a first holder is popular. Texts move once, to meet their deletions.
 """
 
 from __future__ import annotations
 
+import struct
+from array import array
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +38,7 @@ from govpub.llm.base import batch, map_batches, same, staged, text_hash
 
 #: Words of the shortest block that is deleted.
 MIN_WORDS = 10
-#: Lines with fewer words pair no documents on their own.
-MIN_LINE_WORDS = 3
+
 
 def sequences(docs: DataFrame) -> DataFrame:
     """doc_id, text hash and, per line, two hashes and the number of words."""
@@ -46,13 +50,58 @@ def sequences(docs: DataFrame) -> DataFrame:
                       F.expr(r"transform(lines, l -> if(l = '', 0, size(split(l, '[ \\t\\r]+'))))").alias("w"))
 
 
-def partners(seq: DataFrame, min_line_words: int = MIN_LINE_WORDS) -> DataFrame:
-    """(doc_id, th, of): a document and the first holder of one of its lines."""
-    lines = seq.select("doc_id", "th", F.explode(F.arrays_zip("h", "g", "w")).alias("l")).where(
-        F.col("l.w") >= min_line_words).select("doc_id", "th", F.col("l.h").alias("h"), F.col("l.g").alias("g"))
-    first = lines.groupBy("h", "g").agg(F.min("doc_id").alias("of"), F.max("doc_id").alias("last")).where(
+def runs(words: list[int], min_words: int = MIN_WORDS) -> set[tuple[int, int]]:
+    """(from, to) of the shortest runs with so many words from and up to every line that has words, ends included."""
+    spoken = [i for i, n in enumerate(words) if n]
+    found, k, total = set(), 0, 0
+    for i in spoken:  # up to the k-th line with words, without it
+        while k < len(spoken) and total < min_words:
+            total += words[spoken[k]]
+            k += 1
+        if total < min_words:
+            break
+        found.add((i, spoken[k - 1]))
+        total -= words[i]
+    k, total = len(spoken), 0
+    for j in reversed(spoken):
+        while k and total < min_words:
+            k -= 1
+            total += words[spoken[k]]
+        if total < min_words:
+            break
+        found.add((spoken[k], j))
+        total -= words[j]
+    return found
+
+
+_KEYS = pa.list_(pa.struct([("h", pa.int64()), ("g", pa.int64())]))
+
+
+def _run_keys(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        keys = []
+        for hs, gs, ws in zip(*(b.column(n).to_pylist() for n in ("h", "g", "w"))):
+            here = set()
+            for i, j in runs(ws, min_words):
+                if i == j:
+                    here.add((hs[i], gs[i]))
+                else:
+                    lines = array("q", hs[i:j + 1] + gs[i:j + 1]).tobytes()
+                    here.add(struct.unpack("<qq", xxhash.xxh3_128_digest(lines)))
+            keys.append([{"h": h, "g": g} for h, g in here])
+        yield batch(pa.schema([b.schema.field("doc_id"), ("th", pa.int64()), ("keys", _KEYS)]),
+                    b.column("doc_id"), b.column("th"), keys)
+
+
+def partners(seq: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, th, of): a document and the first holder of one of its runs."""
+    kind = seq.schema["doc_id"].dataType.simpleString()
+    keyed = map_batches(seq, lambda batches: _run_keys(batches, min_words),
+                        f"doc_id {kind}, th long, keys array<struct<h:long,g:long>>")
+    held = staged(keyed.select("doc_id", "th", F.explode("keys").alias("k")).select("doc_id", "th", "k.h", "k.g"), "runs")
+    first = held.groupBy("h", "g").agg(F.min("doc_id").alias("of"), F.max("doc_id").alias("last")).where(
         "of < last").drop("last")
-    return lines.join(first, ["h", "g"]).where("of < doc_id").select("doc_id", "th", "of").distinct()
+    return held.join(first, ["h", "g"]).where("of < doc_id").select("doc_id", "th", "of").distinct()
 
 
 def longest_increasing(values: list[int]) -> list[int]:
@@ -75,6 +124,14 @@ def longest_increasing(values: list[int]) -> list[int]:
     return out[::-1]
 
 
+def _numbered(lines: list) -> Iterator[tuple]:
+    """Every line with the number of its earlier copies."""
+    seen: Counter = Counter()
+    for line in lines:
+        yield line, seen[line]
+        seen[line] += 1
+
+
 def patience(a: list, b: list) -> list[tuple[int, int]]:
     """Aligned (i, j) of equal lines of a and b, increasing in both. An own stack, as documents can be long."""
     out: list[tuple[int, int]] = []
@@ -92,6 +149,9 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
         in_a, in_b = Counter(a[i0:i1]), Counter(b[j0:j1])
         place = {b[j]: j for j in range(j0, j1) if in_b[b[j]] == 1}
         pairs = [(i, place[a[i]]) for i in range(i0, i1) if in_a[a[i]] == 1 and a[i] in place]
+        if not pairs:
+            place = {line: j for line, j in zip(_numbered(b[j0:j1]), range(j0, j1))}
+            pairs = [(i, place[line]) for line, i in zip(_numbered(a[i0:i1]), range(i0, i1)) if line in place]
         if not pairs:
             continue
         kept = [pairs[k] for k in longest_increasing([j for _, j in pairs])]
@@ -105,15 +165,24 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 def blocks(earlier: list, later: list, words: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
     """(from, to) line ranges of `later`, ends included, that are aligned runs with enough words."""
-    out, run = [], []
-    for i, j in [*patience(earlier, later), (-2, -2)]:
-        if run and (i, j) == (run[-1][0] + 1, run[-1][1] + 1):
-            run.append((i, j))
-            continue
-        if run and sum(words[j] for _, j in run) >= min_words:
-            out.append((run[0][1], run[-1][1]))
-        run = [(i, j)]
-    return out
+    out = []
+    at_a, at_b = list(range(len(earlier))), list(range(len(later)))
+    while True:
+        common = {earlier[i] for i in at_a} & {later[j] for j in at_b}
+        at_a, at_b = [i for i in at_a if earlier[i] in common], [j for j in at_b if later[j] in common]
+        if sum(words[j] for j in at_b) < min_words:
+            return sorted(out)
+        aligned = [(at_a[i], at_b[j]) for i, j in patience([earlier[i] for i in at_a], [later[j] for j in at_b])]
+        run: list[tuple[int, int]] = []
+        for i, j in [*aligned, (-2, -2)]:
+            if run and (i, j) == (run[-1][0] + 1, run[-1][1] + 1):
+                run.append((i, j))
+                continue
+            if run and sum(words[j] for _, j in run) >= min_words:
+                out.append((run[0][1], run[-1][1]))
+            run = [(i, j)]
+        gone_a, gone_b = {i for i, _ in aligned}, {j for _, j in aligned}
+        at_a, at_b = [i for i in at_a if i not in gone_a], [j for j in at_b if j not in gone_b]
 
 
 _BLOCKS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
@@ -131,7 +200,7 @@ def _align(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Rec
 def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, th, gone): line ranges that an earlier document already has."""
     seq = staged(sequences(docs), "lines")
-    pairs = staged(partners(seq), "partners")
+    pairs = staged(partners(seq, min_words), "partners")
     own = pairs.join(seq, ["doc_id", "th"])
     other = seq.select(F.col("doc_id").alias("of"), F.col("h").alias("eh"), F.col("g").alias("eg"))
     kind = docs.schema["doc_id"].dataType.simpleString()

@@ -262,19 +262,28 @@ def test_patience_gives_increasing_equal_lines():
     assert line_align.longest_increasing([3, 1, 2, 5, 4]) == [1, 2, 4]
 
 
+def brute_runs(lines, min_words):
+    """Texts of all runs with enough words that no run with enough words lies in, straight from the docstring."""
+    words = [len(re.findall(r"[^ \t\r]+", x)) for x in lines]
+    enough = [(i, j) for i in range(len(lines)) for j in range(i, len(lines))
+              if words[i] and words[j] and sum(words[i:j + 1]) >= min_words]
+    shortest = {(i, min(j for x, j in enough if x == i)) for i, _ in enough}
+    shortest |= {(max(i for i, x in enough if x == j), j) for _, j in enough}
+    return {tuple(lines[i:j + 1]) for i, j in shortest}
+
+
 def brute_dedup(texts, min_words=line_align.MIN_WORDS):
-    """Every document against the first holder of each of its lines, straight from the docstring."""
+    """Every document against the first holder of each of its runs."""
     lines = [None if t is None else [x.strip(" \t\r") for x in t.split("\n")] for t in texts]
     words = lambda x: len(re.findall(r"[^ \t\r]+", x))
     first = {}
     for k, ls in enumerate(lines):
-        for x in ls or ():
-            if words(x) >= line_align.MIN_LINE_WORDS:
-                first.setdefault(x, k)
+        for x in brute_runs(ls or [], min_words):
+            first.setdefault(x, k)
     out = []
     for k, t in enumerate(texts):
         gone = set()
-        for e in {first[x] for x in lines[k] or () if x in first} - {k}:
+        for e in {first[x] for x in brute_runs(lines[k] or [], min_words)} - {k}:
             for a, b in line_align.blocks(lines[e], lines[k], [words(x) for x in lines[k]], min_words):
                 gone |= set(range(a, b + 1))
         out.append(t if not gone else "\n".join(x for i, x in enumerate(t.split("\n")) if i not in gone))
@@ -305,6 +314,26 @@ def test_first_copy_of_a_passage_stays(spark):
     assert got == {0: texts[0], 1: "own end of two", 2: "x\ny", 3: ""}
 
 
+def test_block_whose_lines_were_first_elsewhere_goes(spark):
+    x, y, z = ("one two three four", "five six seven eight", "nine ten eleven twelve")
+    texts = [x, "a\n" + y, "b\n" + z, f"{x}\n{y}\n{z}\nend", f"start\n{x}\n{y}\n{z}"]
+    got = {r["doc_id"]: r["text"] for r in line_align.dedup_lines(docs_of(spark, texts)).collect()}
+    assert got == {0: texts[0], 1: texts[1], 2: texts[2], 3: texts[3], 4: "start"}
+
+
+def test_blocks_in_other_order_and_of_repeated_lines_go(spark):
+    p, q = (" ".join(f"{c}{i}" for i in range(60)) for c in "pq")
+    texts = [f"{p}\n{q}\nown", f"{q}\nthis\n{p}", f"{p}\n-\n{q}\n-\n{p}", f"a\n{q}\nb\n{q}\nc"]
+    got = {r["doc_id"]: r["text"] for r in line_align.dedup_lines(docs_of(spark, texts)).collect()}
+    assert got[0] == texts[0] and got[1] == "this"
+    assert got[2].count(p) == 1 and q not in got[2]  # the second copy in one document has no partner
+    assert got[3].count(q) == 1
+    reverse = [f"line {k} of some thirty words " + "x " * 25 for k in range(40)]
+    assert line_align.blocks(reverse, reverse[::-1], [30] * 40) == [(k, k) for k in range(40)]
+    same = ["a b c d e f g h i j k"]
+    assert line_align.blocks(["u", *same * 2, "v"], ["s", *same * 3, "t"], [1, 11, 11, 11, 1]) == [(1, 2)]
+
+
 def test_word_hashes_forget_but_stay_equal():
     small, large = WordHashes(3), WordHashes()
     words = [f"w{k % 7}".encode() for k in range(50)]
