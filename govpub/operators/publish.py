@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from govpub.functions.skew import latest_by
@@ -54,22 +54,28 @@ class LifecycleError(RuntimeError):
 
 # --- reconciliation --------------------------------------------------------------------
 
-def reconcile(sides: Sequence[tuple[str, DataFrame, DataFrame]]) -> DataFrame:
-    """Compare one-row frames: (check_name, left_value, right_value, ok).
+def reconcile(sides: Sequence[tuple[str, tuple[DataFrame, Column], tuple[DataFrame, Column]]]) -> DataFrame:
+    """Compare figures of frames: (check_name, left_value, right_value, ok). Names are plain identifiers.
 
-    Each side is an aggregate with column `v`; all checks run as one job. A missing total is zero.
+    Each side is a frame and an aggregate over it. All figures of one frame come out of one aggregate, so a
+    frame is read once however many checks use it; all checks run as one job. A missing total is zero.
     """
-    zero = F.lit(0).cast("decimal(38,6)")
-
-    def value(df: DataFrame, alias: str) -> DataFrame:
-        return df.select(F.coalesce(F.col("v").cast("decimal(38,6)"), zero).alias(alias))
-
-    def one(name: str, left: DataFrame, right: DataFrame) -> DataFrame:
-        both = value(left, "left_value").withColumn("right_value", value(right, "right_value").scalar())
-        return both.select(F.lit(name).alias("check_name"), "left_value", "right_value",
-                           (F.col("left_value") == F.col("right_value")).alias("ok"))
-
-    return reduce(DataFrame.unionByName, [one(*s) for s in sides])
+    figures: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for name, left, right in sides:
+        for end, (frame, figure) in (("left", left), ("right", right)):
+            value = F.coalesce(figure.cast("decimal(38,6)"), F.lit(0).cast("decimal(38,6)"))
+            figures.setdefault(id(frame), (frame, []))[1].append(value.alias(f"{end}_{name}"))
+    rows = []
+    for frame, values in figures.values():
+        found = frame.agg(*values)
+        rows.append(found.unpivot([], found.columns, "figure", "value"))
+
+    def of(end: str) -> Column:
+        return F.max(F.when(F.col("figure").startswith(f"{end}_"), F.col("value"))).alias(f"{end}_value")
+
+    both = reduce(DataFrame.unionByName, rows).groupBy(
+        F.regexp_replace("figure", "^(left|right)_", "").alias("check_name")).agg(of("left"), of("right"))
+    return both.withColumn("ok", F.col("left_value") == F.col("right_value"))
 
 
 CHECKS = "serve.publication_reconciliation"

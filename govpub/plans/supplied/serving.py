@@ -107,23 +107,17 @@ SELECT check_name, CAST(a AS DOUBLE) AS left_value, CAST(b AS DOUBLE) AS right_v
 """)
 def reconciliation_totals(t: Tables) -> DataFrame:
     """Totals of the lines against totals by supplier, and key uniqueness."""
-    lines = t.lineitem()
+    lines, orders = t.lineitem(), t.orders()
     supplier = t.raw("supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_acctbal")
-    by_supplier = (lines.groupBy("l_suppkey").agg(F.sum("l_extendedprice").alias("p"), F.sum("l_quantity").alias("q"))
+    price, quantity = F.sum("l_extendedprice"), F.sum("l_quantity")
+    by_supplier = (lines.groupBy("l_suppkey").agg(price.alias("p"), quantity.alias("q"))
                    .join(supplier, "l_suppkey"))
-    approved = lines.join(supplier.where("s_acctbal >= 0"), "l_suppkey", "left_semi")
-
-    def total(df, column):
-        return df.agg(F.sum(column).alias("v"))
-
-    def unique(df, *keys):
-        return df.agg(count().alias("v")), df.agg(F.countDistinct(*keys).alias("v"))
-
-    sides = [("price", total(lines, "l_extendedprice"), total(by_supplier, "p")),
-             ("quantity", total(lines, "l_quantity"), total(by_supplier, "q")),
-             ("quantity_approved", total(lines, "l_quantity"), total(approved, "l_quantity")),
-             ("order_keys_unique", *unique(t.orders(), "o_orderkey")),
-             ("line_keys_unique", *unique(lines, "l_orderkey", "l_linenumber"))]
+    approved = F.sum(F.when(F.col("s_acctbal") >= 0, F.col("q")))
+    sides = [("price", (lines, price), (by_supplier, F.sum("p"))),
+             ("quantity", (lines, quantity), (by_supplier, F.sum("q"))),
+             ("quantity_approved", (lines, quantity), (by_supplier, approved)),
+             ("order_keys_unique", (orders, count()), (orders, F.countDistinct("o_orderkey"))),
+             ("line_keys_unique", (lines, count()), (lines, F.countDistinct("l_orderkey", "l_linenumber")))]
     return publish.reconcile(sides).select("check_name", out_num("left_value").alias("left_value"),
                                            out_num("right_value").alias("right_value"), "ok")
 
