@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from govpub.functions.columns import key_text
+from govpub.functions.columns import key_text, known_true
 from govpub.functions.skew import latest_by
 from govpub.operators import ingest, quality, registry, resolve
 from govpub.plans.supplied.base import Tables, count, out_int, out_num, out_text, query
@@ -165,9 +165,9 @@ def duplicate_deliveries(t: Tables) -> DataFrame:
         "revision", out_int("revision"))
 
 
-def _latest_columns(df: DataFrame) -> DataFrame:
+def _latest_columns(df: DataFrame, *more) -> DataFrame:
     return df.select("l_orderkey", out_int("l_linenumber").alias("l_linenumber"), out_int("revision").alias("revision"),
-                     "seq", "l_partkey", out_num("l_quantity").alias("quantity"))
+                     "seq", "l_partkey", out_num("l_quantity").alias("quantity"), *more)
 
 
 @query(f"""
@@ -202,6 +202,28 @@ def latest_clean_revision(t: Tables) -> DataFrame:
                                                      PAYLOAD, on_conflict="older").latest)
 
 
+@query(f"""
+WITH {_DELIVERIES},
+groups AS (SELECT l_orderkey, l_linenumber, revision, count(*) AS deliveries, count(DISTINCT payload) AS payloads
+           FROM deliveries GROUP BY ALL),
+top AS (SELECT l_orderkey, l_linenumber, max(revision) AS revision FROM deliveries GROUP BY ALL),
+ranked AS (SELECT d.*, row_number() OVER (PARTITION BY l_orderkey, l_linenumber, revision ORDER BY seq, record) AS r
+           FROM deliveries d)
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, revision, seq, l_partkey, CAST(qty AS DOUBLE) AS quantity,
+       deliveries
+FROM ranked JOIN groups USING (l_orderkey, l_linenumber, revision) SEMI JOIN top USING (l_orderkey, l_linenumber, revision)
+WHERE r = 1 AND payloads = 1
+""")
+def incremental_latest(t: Tables) -> DataFrame:
+    """Latest revisions after two batches (returned lines come later), the second resolved on top of the kept state of the
+    first: the same as all at once."""
+    sent, key = deliveries(t), (OBSERVATION, "revision", "seq", "record")
+    late = known_true(F.col("l_returnflag") == "R")
+    before = resolve.resolved(sent.where(~late), *key, PAYLOAD)
+    state = resolve.extended(before, resolve.touched(before, sent.where(late), OBSERVATION), *key, PAYLOAD)
+    return _latest_columns(resolve.latest_of(state, [*sent.columns, "deliveries"]), out_int("deliveries").alias("deliveries"))
+
+
 @query("""
 WITH ranked AS (SELECT user_id, event_id, event_type, CAST(value AS DECIMAL(19,6)) AS v,
   row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from datetime import date, datetime, timezone
 from decimal import Decimal as D
 
@@ -494,3 +494,27 @@ def test_gate(spark):
 def test_payload_hash_ignores_nothing_but_nulls(spark):
     df = spark.createDataFrame([("a", None), ("a", "b")], "x string, y string")
     assert df.select(json_hash(["x", "y"]).alias("h")).distinct().count() == 2
+
+
+def test_revisions_resolved_batch_by_batch(spark):
+    """Repeats, conflicts that a later batch brings, earlier sequences that come later, null keys and equal rows."""
+    draw = random.Random(3)
+    rows = [(draw.choice(["A", "B", None]), draw.choice(["o1", "o2", "o3", None]), draw.choice([1, 2, 3, None]),
+             draw.randint(1, 6), draw.choice(["c1", "c2", None]), draw.choice(["x", "y", None]), f"b{i % 3}")
+            for i in range(160)]
+    df = spark.createDataFrame(rows, "source string, obs string, revision int, seq int, record string, pay string, batch string")
+    key, obs = (["source", "obs"], "revision", "seq", "record", ["pay"]), ["source", "obs"]
+    whole = resolve.resolved(df, *key)
+    state = resolve.resolved(df.where("batch = 'b0'"), *key)
+    for batch in ("b1", "b2", "none"):
+        state = resolve.extended(state, resolve.touched(state, df.where(F.col("batch") == batch), obs), *key)
+        parts = [spark.createDataFrame(x.collect(), x.schema) for x in (state.firsts, state.further)]
+        state = resolve.Resolved(*parts)
+    for a, b in ((state.firsts, whole.firsts), (state.further, whole.further)):
+        assert Counter(map(tuple, a.collect())) == Counter(map(tuple, b.collect()))
+    assert whole.firsts.count() + whole.further.count() == len(rows)
+    full = df.where("revision IS NOT NULL")
+    for rule in ("unresolved", "older"):
+        want = resolve.latest_revisions(full, *key, on_conflict=rule).collect()
+        assert Counter(map(tuple, resolve.latest_of(resolve.resolved(full, *key), df.columns, rule).collect())) == Counter(
+            map(tuple, want))
