@@ -10,11 +10,14 @@ Each pair of line sequences is aligned by patience diff: lines that are unique i
 k-th copy of a line is the anchor of the k-th), the longest increasing run of anchors splits the pair, and equal lines
 next to anchors extend the match. What stays unaligned because its order differs is aligned again by itself, until no
 `MIN_WORDS` words in common are left. Aligned runs of consecutive lines with at least `MIN_WORDS` words are deleted from the
-later document. Every deletion has a witness in a document with a smaller id, so the first copy of a block always remains.
+later document. With `every_copy` (as op7 and the pipeline have it) the shortest runs that the alignment leaves are then
+looked up in the earlier document, and every copy that it holds goes, however often it is repeated. The first holder
+is partner enough for that: a line with words goes exactly if it lies in `MIN_WORDS` words of consecutive lines that any
+earlier document holds. Every deletion has a witness in a document with a smaller id, so the first copy of a block always remains.
 
 Defined results: documents without an id have no order, so they are neither changed nor compared; a null text stays
-null; rows with the same id are each compared with smaller ids, never with each other; a line of either document is aligned
-at most once, so more copies in the later document than in the earlier one stay; lines without a word are deleted only
+null; rows with the same id are each compared with smaller ids, never with each other; without `every_copy` a line of
+either document is aligned at most once, so more copies in the later document than in its first holder stay; lines without a word are deleted only
 inside a longer block; a text whose lines all go becomes empty. Extra columns stay as they are.
 
 Scale: run hashes are shuffled once to find holders and once to pair. Sequences of hashes, not texts, travel to the
@@ -163,8 +166,38 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
-def blocks(earlier: list, later: list, words: list[int], min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """(from, to) line ranges of `later`, ends included, that are aligned runs with enough words."""
+def remaining(earlier: list, later: list, words: list[int], found: list[tuple[int, int]],
+              min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
+    """(from, to) line ranges of `later`, ends included, of its shortest runs that `earlier` holds and `found` leaves."""
+    gone = set()
+    for i, j in found:
+        gone.update(range(i, j + 1))
+    wanted: dict[tuple, list[tuple[int, int]]] = {}
+    sizes: dict[object, set[int]] = {}
+    for i, j in sorted(runs(words, min_words)):
+        if not all(k in gone for k in range(i, j + 1)):
+            wanted.setdefault(tuple(later[i:j + 1]), []).append((i, j))
+            sizes.setdefault(later[i], set()).add(j + 1 - i)
+    held = {run for i, line in enumerate(earlier) for n in sizes.get(line, ()) if (run := tuple(earlier[i:i + n])) in wanted}
+    out: list[tuple[int, int]] = []
+    for i, j in sorted(r for run, places in wanted.items() if run in held for r in places):
+        if out and i <= out[-1][1]:
+            out[-1] = (out[-1][0], max(j, out[-1][1]))
+        else:
+            out.append((i, j))
+    return out
+
+
+def blocks(earlier: list, later: list, words: list[int], min_words: int = MIN_WORDS,
+           every_copy: bool = False) -> list[tuple[int, int]]:
+    """(from, to) line ranges of `later`, ends included, that are aligned runs with enough words; with `every_copy` also
+    what the alignment leaves of runs that `earlier` holds."""
+    found = aligned_blocks(earlier, later, words, min_words)
+    return sorted(found + remaining(earlier, later, words, found, min_words)) if every_copy else found
+
+
+def aligned_blocks(earlier: list, later: list, words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(from, to) of aligned runs with enough words. A line of either is aligned at most once."""
     out = []
     at_a, at_b = list(range(len(earlier))), list(range(len(later)))
     while True:
@@ -188,16 +221,16 @@ def blocks(earlier: list, later: list, words: list[int], min_words: int = MIN_WO
 _BLOCKS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
-def _align(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
+def _align(batches: Iterator[pa.RecordBatch], min_words: int, every_copy: bool) -> Iterator[pa.RecordBatch]:
     for b in batches:
         found = []
         for h, g, w, eh, eg in zip(*(b.column(n).to_pylist() for n in ("h", "g", "w", "eh", "eg"))):
-            found.append([{"a": x, "b": y} for x, y in blocks(list(zip(eh, eg)), list(zip(h, g)), w, min_words)])
+            found.append([{"a": x, "b": y} for x, y in blocks(list(zip(eh, eg)), list(zip(h, g)), w, min_words, every_copy)])
         yield batch(pa.schema([b.schema.field("doc_id"), ("th", pa.int64()), ("blocks", _BLOCKS)]),
                     b.column("doc_id"), b.column("th"), found)
 
 
-def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def deletions(docs: DataFrame, min_words: int = MIN_WORDS, every_copy: bool = False) -> DataFrame:
     """(doc_id, th, gone): line ranges that an earlier document already has."""
     seq = staged(sequences(docs), "lines")
     pairs = staged(partners(seq, min_words), "partners")
@@ -205,16 +238,16 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     other = seq.select(F.col("doc_id").alias("of"), F.col("h").alias("eh"), F.col("g").alias("eg"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = map_batches(own.join(other, "of").select("doc_id", "th", "h", "g", "w", "eh", "eg"),
-                        lambda batches: _align(batches, min_words),
+                        lambda batches: _align(batches, min_words, every_copy),
                         f"doc_id {kind}, th long, blocks array<struct<a:int,b:int>>")
     each = found.select("doc_id", "th", F.explode("blocks").alias("r")).distinct()
     return each.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list("r")).alias("gone"))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, lines: str = "n_lines",
-                deleted: str = "n_deleted") -> DataFrame:
+                deleted: str = "n_deleted", every_copy: bool = False) -> DataFrame:
     """All documents and columns, repeated blocks taken out of the text; the columns `lines` and `deleted` are set."""
-    gone = staged(deletions(docs.select("doc_id", "text"), min_words), "deletions").select(
+    gone = staged(deletions(docs.select("doc_id", "text"), min_words, every_copy), "deletions").select(
         F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "gone")
     row = docs.select(F.struct(*docs.columns).alias("_row"))
     text = F.col("_row.text")

@@ -307,6 +307,30 @@ def test_line_dedup_equals_brute_force(spark):
         assert got[k]["n_lines"] == n
 
 
+def brute_left(texts, min_words=line_align.MIN_WORDS):
+    """Lines with words that stay when every run that any earlier document holds goes."""
+    lines = [[x.strip(" \t\r") for x in t.split("\n")] for t in texts]
+    held, out = set(), []
+    for ls in lines:
+        words = [len(x.split()) for x in ls]
+        every = {(i, j) for i in range(len(ls)) for j in range(i, len(ls)) if sum(words[i:j + 1]) >= min_words}
+        gone = {k for i, j in every if tuple(ls[i:j + 1]) in held for k in range(i, j + 1)}
+        out.append([x for k, x in enumerate(ls) if k not in gone and words[k]])
+        held |= {tuple(ls[i:j + 1]) for i, j in every}
+    return out
+
+
+def test_every_copy_that_an_earlier_document_has_goes(spark):
+    rng = random.Random(12)
+    p = " ".join(f"p{i}" for i in range(60))
+    pool = [" ".join(f"v{rng.randrange(99)}" for _ in range(n)) for n in (1, 2, 4, 6, 12, 15, 30) for _ in range(5)]
+    texts = [f"{p}\nown", f"b\n{p}\nc\n{p}", f"{p}\nd\n{p}\ne"]
+    texts += ["\n".join(rng.choice(["", *pool]) for _ in range(rng.randrange(30))) for _ in range(80)]
+    got = {r["doc_id"]: r["text"] for r in line_align.dedup_lines(docs_of(spark, texts), every_copy=True).collect()}
+    assert [got[k] for k in range(3)] == [texts[0], "b\nc", "d\ne"]
+    assert [[x for x in got[k].split("\n") if x] for k in range(len(texts))] == brute_left(texts)
+
+
 def test_first_copy_of_a_passage_stays(spark):
     passage = "\n".join(" ".join(f"p{k}_{i}" for i in range(20)) for k in range(3))
     texts = ["own start of one\n" + passage, passage + "\nown end of two", "x\n" + passage + "\ny", passage]
