@@ -10,14 +10,14 @@ Each pair of line sequences is aligned by patience diff: lines that are unique i
 k-th copy of a line is the anchor of the k-th), the longest increasing run of anchors splits the pair, and equal lines
 next to anchors extend the match. What stays unaligned because its order differs is aligned again by itself, until no
 `MIN_WORDS` words in common are left. Aligned runs of consecutive lines with at least `MIN_WORDS` words are deleted from the
-later document. With `every_copy` (as op7 and the pipeline have it) the shortest runs that the alignment leaves are then
-looked up in the earlier document, and every copy that it holds goes, however often it is repeated. The first holder
+later document. Matches too short to delete can use up the lines of a longer block, so the shortest runs that the alignment
+leaves are then looked up in the earlier document, and as many copies go as it holds of each; with `every_copy` (as op7 and the
+pipeline have it) every copy goes, however often it is repeated. The first holder
 is partner enough for that: a line with words goes exactly if it lies in `MIN_WORDS` words of consecutive lines that any
 earlier document holds. Every deletion has a witness in a document with a smaller id, so the first copy of a block always remains.
 
 Defined results: documents without an id have no order, so they are neither changed nor compared; a null text stays
-null; rows with the same id are each compared with smaller ids, never with each other; without `every_copy` a line of
-either document is aligned at most once, so more copies in the later document than in its first holder stay; lines without a word are deleted only
+null; rows with the same id are each compared with smaller ids, never with each other; without `every_copy` more copies in the later document than in its first holder stay; lines without a word are deleted only
 inside a longer block; a text whose lines all go becomes empty. Extra columns stay as they are.
 
 Scale: run hashes are shuffled once to find holders and once to pair. Sequences of hashes, not texts, travel to the
@@ -167,20 +167,27 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
 
 
 def remaining(earlier: list, later: list, words: list[int], found: list[tuple[int, int]],
-              min_words: int = MIN_WORDS) -> list[tuple[int, int]]:
-    """(from, to) line ranges of `later`, ends included, of its shortest runs that `earlier` holds and `found` leaves."""
+              min_words: int = MIN_WORDS, every_copy: bool = False) -> list[tuple[int, int]]:
+    """(from, to) line ranges of `later`, ends included, of its shortest runs that `earlier` holds and `found` leaves: all of
+    them, or with those in `found` as many of each as `earlier` holds."""
     gone = set()
     for i, j in found:
         gone.update(range(i, j + 1))
     wanted: dict[tuple, list[tuple[int, int]]] = {}
     sizes: dict[object, set[int]] = {}
+    taken: Counter = Counter()
     for i, j in sorted(runs(words, min_words)):
-        if not all(k in gone for k in range(i, j + 1)):
-            wanted.setdefault(tuple(later[i:j + 1]), []).append((i, j))
+        run = tuple(later[i:j + 1])
+        if all(k in gone for k in range(i, j + 1)):
+            taken[run] += 1
+        else:
+            wanted.setdefault(run, []).append((i, j))
             sizes.setdefault(later[i], set()).add(j + 1 - i)
-    held = {run for i, line in enumerate(earlier) for n in sizes.get(line, ()) if (run := tuple(earlier[i:i + n])) in wanted}
+    held = Counter(run for i, line in enumerate(earlier) for n in sizes.get(line, ())
+                   if (run := tuple(earlier[i:i + n])) in wanted)
     out: list[tuple[int, int]] = []
-    for i, j in sorted(r for run, places in wanted.items() if run in held for r in places):
+    for i, j in sorted(r for run, n in held.items()
+                       for r in (wanted[run] if every_copy else wanted[run][:max(0, n - taken[run])])):
         if out and i <= out[-1][1]:
             out[-1] = (out[-1][0], max(j, out[-1][1]))
         else:
@@ -190,10 +197,10 @@ def remaining(earlier: list, later: list, words: list[int], found: list[tuple[in
 
 def blocks(earlier: list, later: list, words: list[int], min_words: int = MIN_WORDS,
            every_copy: bool = False) -> list[tuple[int, int]]:
-    """(from, to) line ranges of `later`, ends included, that are aligned runs with enough words; with `every_copy` also
-    what the alignment leaves of runs that `earlier` holds."""
+    """(from, to) line ranges of `later`, ends included, that are aligned runs with enough words, and what the
+    alignment leaves of shared runs because their lines were used up by shorter matches."""
     found = aligned_blocks(earlier, later, words, min_words)
-    return sorted(found + remaining(earlier, later, words, found, min_words)) if every_copy else found
+    return sorted(found + remaining(earlier, later, words, found, min_words, every_copy))
 
 
 def aligned_blocks(earlier: list, later: list, words: list[int], min_words: int) -> list[tuple[int, int]]:

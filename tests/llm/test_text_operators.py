@@ -331,6 +331,27 @@ def test_every_copy_that_an_earlier_document_has_goes(spark):
     assert [[x for x in got[k].split("\n") if x] for k in range(len(texts))] == brute_left(texts)
 
 
+def test_short_matches_do_not_use_up_a_block(spark):
+    l, u = ([f"{c}{k} " + "x " * 6 + "y" for k in range(7)] for c in "lu")
+    mixed = [x for pair in zip(l, u) for x in pair]
+    a, b, x = (" ".join(f"{c}{k}" for k in range(5)) for c in "abx")
+    for earlier, later, left in ((mixed + l + ["w"], ["z", *l], ["z"]), ([a, x, a, b], [a, b], [])):
+        words = [len(line.split()) for line in later]
+        for every in (False, True):
+            gone = {k for i, j in line_align.blocks(earlier, later, words, 10, every) for k in range(i, j + 1)}
+            assert [line for k, line in enumerate(later) if k not in gone] == left
+        got = {r["doc_id"]: r["text"] for r in line_align.dedup_lines(docs_of(spark, map("\n".join, (earlier, later)))).collect()}
+        assert got[1] == "\n".join(left)
+    rng = random.Random(6)
+    for _ in range(500):  # of every shared run as many copies go as the earlier document holds
+        earlier, later = ([rng.choice("abcdef") for _ in range(rng.randrange(25))] for _ in range(2))
+        gone = {k for i, j in line_align.blocks(earlier, later, [4] * len(later), 10) for k in range(i, j + 1)}
+        at = lambda lines, run: [i for i in range(len(lines) - 2) if tuple(lines[i:i + 3]) == run]
+        for run in {tuple(later[i:i + 3]) for i in range(len(later) - 2)}:
+            n = sum({i, i + 1, i + 2} <= gone for i in at(later, run))
+            assert n >= min(len(at(earlier, run)), len(at(later, run)))
+
+
 def test_first_copy_of_a_passage_stays(spark):
     passage = "\n".join(" ".join(f"p{k}_{i}" for i in range(20)) for k in range(3))
     texts = ["own start of one\n" + passage, passage + "\nown end of two", "x\n" + passage + "\ny", passage]
