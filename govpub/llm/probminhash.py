@@ -8,7 +8,9 @@ agree in a place with the probability Jaccard similarity of their weighted shing
 
 Steps:
 
-1. One scan makes, per document, a digest of its words and `BANDS` keys of `ROWS` places each. Documents with equal words are
+1. One scan makes, per document, a digest of its words and `BANDS` keys of `ROWS` places each, once with these weights and
+   once with all weights 1, where agreement is the Jaccard similarity of the sets, by which links are defined. The keys of a
+   text that holds no shingle twice are the same both times and kept once. Documents with equal words are
    one text from here on, so copies cost one row each and never a pair.
 2. Texts that share a key are compared with the bucket's pivot (its smallest text), which gives n - 1 pairs per
    bucket, not n^2. Pairs whose shingle counts rule out the threshold are left out. Pairs are verified exactly, by the Jaccard
@@ -18,7 +20,8 @@ Steps:
    texts that are both unlike their pivots, and such a pair must share a rare shingle.
 4. Connected components of the verified links are the classes.
 
-At similarity 0.8 a pair shares no key with probability (1 - 0.8^5)^24, less than 1 in 10,000.
+At set similarity 0.8 a pair shares no key of equal weights with probability (1 - 0.8^5)^24, less than 1 in 10,000, however
+often either text repeats its shingles.
 
 Defined results: a text without words is in no class but its own; class_id is the smallest id of the class, a document without an id
 belongs to a class by its text and gets the smallest id there (null if there is none); rows with equal ids are
@@ -79,6 +82,22 @@ def band_keys(winners: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.n
     return key.view(np.int64)
 
 
+def keys_of(sets: list[tuple[np.ndarray, np.ndarray]]) -> list[list[int]]:
+    """Distinct band keys of every text, with its weights and with equal ones, from its shingles and weights."""
+    unequal = [k for k, (_, c) in enumerate(sets) if len(c) and c.max() > 1.0]
+    both = sets + [(sets[k][0], np.ones(len(sets[k][0]))) for k in unequal]
+    if not both:
+        return []
+    found = signatures(np.repeat(np.arange(len(both)), [len(s) for s, _ in both]),
+                       np.concatenate([s for s, _ in both]).astype(np.uint64),
+                       np.concatenate([c for _, c in both]).astype(np.float64), len(both), COMPONENTS)
+    keys = band_keys(found)
+    out = [k.tolist() if len(s) else [] for k, (s, _) in zip(keys, sets)]
+    for n, k in enumerate(unequal, len(sets)):
+        out[k] = list({*out[k], *keys[n].tolist()})
+    return out
+
+
 def signed(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """`keep`, digest of the words (null without words), number of distinct shingles, band keys."""
     frame = docs.select(*keep, F.col(text).alias("_text"))
@@ -89,13 +108,11 @@ def signed(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
             words = [plain_words(t or b"") for t in texts_as_bytes(b.column(b.num_columns - 1))]
             sets = [weighted(w, hashes) for w in words]
             sizes = [len(s) for s, _ in sets]
-            found = signatures(np.repeat(np.arange(len(sets)), sizes), np.concatenate([s for s, _ in sets] or [[]]).astype(np.uint64),
-                               np.concatenate([c for _, c in sets] or [[]]).astype(np.float64), len(sets), COMPONENTS)
-            keys = band_keys(found) if len(sets) else []
+            keys = keys_of(sets)
             digests = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() if w else None for w in words]
             schema = pa.schema([*list(b.schema)[:-1], ("digest", pa.binary()), ("size", pa.int64()),
                                 ("keys", pa.list_(pa.int64()))])
-            yield batch(schema, *b.columns[:-1], digests, sizes, [k.tolist() if n else [] for k, n in zip(keys, sizes)])
+            yield batch(schema, *b.columns[:-1], digests, sizes, keys)
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
     return map_batches(frame, task, f"{fields}, digest binary, size long, keys array<long>")

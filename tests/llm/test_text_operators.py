@@ -184,6 +184,19 @@ def test_classes_equal_brute_force(spark):
     assert [got[k] for k in range(len(texts))] == brute_classes(texts)
 
 
+def test_repeated_lines_do_not_hide_a_pair(spark):
+    rng = random.Random(15)
+    texts = []
+    for k in range(120):
+        w = [f"w{rng.randrange(10**6)}" for _ in range(50)]
+        line = " ".join(w[20:40])
+        texts += [" ".join(w), " ".join([*w[:20], *[line] * (10, 50, 200)[k % 3], *w[40:]])]
+    got = {r["doc_id"]: r["class_id"] for r in probminhash.classes(docs_of(spark, texts)).collect()}
+    want = brute_classes(texts)
+    assert want == [k - k % 2 for k in range(240)]
+    assert [got[k] for k in range(240)] == want
+
+
 def test_classes_of_supplied_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id")
     texts = [r["text"] for r in docs.collect()]
