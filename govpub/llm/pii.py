@@ -7,21 +7,26 @@ Entities are found by type; each is replaced by a keyed surrogate of the same ty
   Feistel permutation, so different entities get different surrogates without looking at each other. Country codes and
   mail top-level domains stay; the last digit of a card is set so that a valid checksum stays valid and an invalid one
   invalid; addresses stay valid and private ones private;
-* given names and surnames (found after a title) are built from syllables of their script, given names with an ending of the title's
-  gender.
+* given names and surnames are built from syllables of their script, given names with an ending of their gender; in scripts
+  other than Latin, Cyrillic and Greek from letters of that script, without such endings. They are found after a listed title, and
+  then wherever else the same document has the same word with a capital (or in a script without case). A name that no title
+  introduces in its document is not found.
 
 Coreference: the surrogate depends on the entity's canonical form (digits only, lower case), not on how or where it is written, so
-all mentions in the corpus get the same one, each in its own format and case.
+all mentions in the corpus get the same one, each in its own format and case. A name is one entity whatever its title and place:
+where mentions differ, it is a given name rather than a surname, and its gender is a known one rather than none (female
+where titles of both occur), first over the document, then over the corpus.
 
 Distinctness: all distinct entities of the corpus are drawn once; surrogates that two entities share, or that are
 themselves entities of the corpus, are drawn again with the next attempt number until none are left. Only entities whose attempt
-is above zero have to be looked up when texts are rewritten, all others are computed in place.
+is above zero, and names that the corpus takes for another kind than their document, have to be looked up when texts are rewritten;
+all others are computed in place.
 
 Defined results: a null text stays null, a text without entities stays as it is; overlapping finds go to the type
 listed first, then to the earliest; rows with equal ids are rewritten one by one; extra columns are not read.
 
 Scale: two scans over the texts. Entities are made distinct before the shuffle, so one that a third of all documents mention is
-one row per task. Texts are joined only with the few entities drawn again.
+one row per task. Texts are joined only with the few entities looked up.
 """
 
 from __future__ import annotations
@@ -29,7 +34,9 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -66,6 +73,9 @@ _PATTERNS = {
 _FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()))
 _HINT = re.compile(r"[0-9@]|(?<!\w)(?:" + "|".join(t for g in TITLES.values() for t in g) + r")(?!\w)")
 _GENDER = {t: g for g, titles in TITLES.items() for t in titles}
+_WORD = re.compile(rf"(?<!\w){_NAME}(?!\w)")
+#: Kinds of names. Of several that a name is found as, the first in this order (and in the alphabet's) holds.
+NAMES = ("given_f", "given_m", "given_u", "surname")
 
 
 def mentions(text: str) -> list[tuple[int, int, str, str, str]]:
@@ -83,6 +93,23 @@ def mentions(text: str) -> list[tuple[int, int, str, str, str]]:
             what = "surname" if k == len(parts) - 1 else "given_" + _GENDER[m["title"]]
             out.append((at, at + len(part), what, part.lower(), part))
             at += len(part) + 1
+    return with_untitled(text, out) if any(x[2] in NAMES for x in out) else out
+
+
+def with_untitled(text: str, found: list[tuple[int, int, str, str, str]]) -> list[tuple[int, int, str, str, str]]:
+    """The finds with one kind per name, and the other mentions of the names in the text between them."""
+    kinds: dict[str, str] = {}
+    for _, _, kind, form, _ in found:
+        if kind in NAMES:
+            kinds[form] = min(kind, kinds.get(form, kind))
+    out, at = [], 0
+    for a, b, kind, form, mention in [*found, (len(text), len(text), "", "", "")]:
+        for m in _WORD.finditer(text, at, a):
+            if m[0].lower() in kinds:
+                out.append((m.start(), m.end(), kinds[m[0].lower()], m[0].lower(), m[0]))
+        if mention:
+            out.append((a, b, kinds[form] if kind in NAMES else kind, form, mention))
+        at = b
     return out
 
 
@@ -147,8 +174,19 @@ def is_private(value: int) -> bool:
 
 
 def script_of(text: str) -> str:
+    """latin, cyrillic, greek, or the first word of the Unicode names of another script's letters."""
     c = text[0]
-    return "cyrillic" if "Ѐ" <= c <= "ӿ" else "greek" if "Ͱ" <= c <= "Ͽ" else "latin"
+    if "Ѐ" <= c <= "ӿ" or "Ͱ" <= c <= "Ͽ":
+        return "cyrillic" if c >= "Ѐ" else "greek"
+    script = unicodedata.name(c, "LATIN").partition(" ")[0]
+    return script if len(letters(script)) > 15 and script not in ("LATIN", "CYRILLIC", "GREEK") else "latin"
+
+
+@lru_cache(None)
+def letters(script: str) -> str:
+    """Letters of the basic plane whose Unicode names begin with that word, lower case where there is case."""
+    return "".join(c for c in map(chr, range(0x10000)) if c.isalpha() and len(c.lower()) == 1 and c.lower() == c
+                   and unicodedata.name(c, "").partition(" ")[0] == script)
 
 
 def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
@@ -177,6 +215,10 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
         return permute_text(key, tweak, form)
     script = script_of(form)
     drawn = hmac.digest(key, f"{tweak}/{form}".encode(), "sha256")
+    if script not in SYLLABLES:
+        own = letters(script)
+        size = min(16, max(2, len(form)) + attempt // 4)
+        return "".join(own[int.from_bytes(drawn[2 * k:2 * k + 2], "big") % len(own)] for k in range(size))
     parts = [SYLLABLES[script][b % 16] for b in drawn[: 2 + attempt // 4 + (kind == "surname")]]
     return "".join(parts) + ENDINGS[script]["s" if kind == "surname" else kind[-1]]
 
@@ -188,8 +230,8 @@ def in_format(kind: str, form: str, mention: str) -> str:
         return "".join(next(digits) if c.isdigit() else c for c in mention)
     if mention.isupper():
         return form.upper()
-    if kind == "surname" or kind.startswith("given"):
-        return form[0].upper() + form[1:]
+    if kind in NAMES:
+        return form if mention[0].islower() else form[0].upper() + form[1:]
     if kind in ("mail", "secret") and len(form) == len(mention):
         return "".join(c.upper() if m.isupper() else c for c, m in zip(form, mention))
     return form
@@ -245,10 +287,13 @@ def assigned(entities: DataFrame, draw: Callable[[str, str, int], str]) -> DataF
         table = staged(kept.unionByName(drawn(redo, draw)), "drawn")
 
 
-def rewrite(text: str, draw: Callable[[str, str, int], str], attempts: dict[tuple[str, str], int]) -> tuple[str, int]:
+def rewrite(text: str, draw: Callable[[str, str, int], str], attempts: dict[tuple[str, str], int],
+            kinds: dict[tuple[str, str], str] | None = None) -> tuple[str, int]:
+    """Text with surrogates, number of mentions. kinds: what the corpus takes an entity (kind, form) for, if for another kind."""
     out, at, n = [], 0, 0
     for a, b, kind, form, mention in mentions(text):
-        out += [text[at:a], in_format(kind, draw(kind, form, attempts.get((kind, form), 0)), mention)]
+        to = (kinds or {}).get((kind, form), kind)
+        out += [text[at:a], in_format(to, draw(to, form, attempts.get((kind, form), 0)), mention)]
         at, n = b, n + 1
     return "".join([*out, text[at:]]), n
 
@@ -259,9 +304,16 @@ def pseudonymised(docs: DataFrame, key: bytes, text: str = "text",
     draw = draw or (lambda kind, form, attempt: surrogate(key, kind, form, attempt))
     per_doc = staged(detected(docs, text), "mentions")
     each = per_doc.select("doc_id", "th", F.explode("entities").alias("e")).select("doc_id", "th", "e.kind", "e.form")
-    again = assigned(each, draw).where("attempt > 0").select("kind", "form", "attempt")
-    redrawn = staged(each.join(again, ["kind", "form"]).distinct().groupBy("doc_id", "th").agg(
-        F.collect_list(F.struct("kind", "form", "attempt")).alias("redrawn")), "redrawn").select(
+    known = staged(each.select("kind", "form").distinct(), "entities")
+    kinds = known.where(F.col("kind").isin(*NAMES)).groupBy("form").agg(F.min("kind").alias("to"))
+    moved = staged(known.where(F.col("kind").isin(*NAMES)).join(kinds, "form").where("kind <> to"), "moved")  # few
+    resolved = known.join(moved, ["kind", "form"], "left").select(F.coalesce("to", "kind").alias("to"), "kind", "form")
+    again = assigned(resolved.select(F.col("to").alias("kind"), "form"), draw).where("attempt > 0").select(
+        F.col("kind").alias("to"), "form", "attempt")
+    other = staged(resolved.join(again, ["to", "form"], "left").where("attempt > 0 OR kind <> to").select(
+        "kind", "form", "to", F.coalesce("attempt", F.lit(0)).alias("attempt")), "looked-up")
+    redrawn = staged(each.join(other, ["kind", "form"]).distinct().groupBy("doc_id", "th").agg(
+        F.collect_list(F.struct("kind", "form", "to", "attempt")).alias("redrawn")), "redrawn").select(
             F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "redrawn")
     frame = docs.select("doc_id", F.col(text).alias("text"))
     frame = frame.join(redrawn, same(frame["doc_id"], F.col("_id")) & (text_hash(frame["text"]) == F.col("_th")),
@@ -272,7 +324,8 @@ def pseudonymised(docs: DataFrame, key: bytes, text: str = "text",
             texts, counts = [], []
             for t, other in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 made, n = (None, 0) if t is None else rewrite(
-                    t, draw, {(x["kind"], x["form"]): x["attempt"] for x in other or ()})
+                    t, draw, {(x["kind"], x["form"]): x["attempt"] for x in other or ()},
+                    {(x["kind"], x["form"]): x["to"] for x in other or ()})
                 texts.append(made)
                 counts.append(n)
             schema = pa.schema([b.schema.field(0), ("text", pa.string()), ("n_entities", pa.int64())])

@@ -114,6 +114,26 @@ def test_redrawn_entities_reach_the_text(spark):
     assert got == {0: "Mr Same and Mr Samex", 1: "Mr Samex and Frau Same", 2: "nothing here", 3: None}
 
 
+def test_a_name_has_one_surrogate_whatever_its_title(spark):
+    texts = ["Mr John Smith came. John Smith left; SMITH, John's and smith stayed, mail Smith@example.com. Johnson too.",
+             "Dr John Smith or Mr John", "Frau Smith and Prof Ada Smith", "Mrs Ada Smith", "John alone, untitled",
+             "Dr 田中太郎 said. 田中太郎 left. Dr דויד left, דויד too"]
+    got = {r["doc_id"]: (r["text"], r["n_entities"]) for r in pii.pseudonymised(docs_of(spark, texts), b"k").collect()}
+    john, smith = re.match(r"Mr (\w+) (\w+) came", got[0][0]).groups()
+    mail = re.search(r"\S+@\S+\.com", got[0][0])[0]
+    assert john.endswith("n") and john != "John" and smith.endswith("rd") and "Smith@" not in mail
+    assert got[0] == (f"Mr {john} {smith} came. {john} {smith} left; {smith.upper()}, {john}'s and smith stayed, mail {mail}."
+                      " Johnson too.", 7)
+    assert got[1] == (f"Dr {john} {smith} or Mr {john}", 3)
+    ada = got[3][0].split()[1]
+    assert got[3][0] == f"Mrs {ada} {smith}" and ada.endswith("na")
+    assert got[2] == (f"Frau {smith} and Prof {ada} {smith}", 3)
+    assert got[4] == (texts[4], 0)
+    a, b, c, d = re.match(r"Dr (\w+) said\. (\w+) left\. Dr (\w+) left, (\w+) too", got[5][0]).groups()
+    assert a == b != "田中太郎" and c == d != "דויד"
+    assert pii.script_of(a) == "CJK" and {pii.script_of(x) for x in c} == {"HEBREW"}
+
+
 # --- near duplicates -------------------------------------------------------------------
 
 def shingles(text):
