@@ -59,6 +59,10 @@ SYLLABLES = {
 ENDINGS = {"latin": {"m": "n", "f": "na", "u": "l", "s": "rd"}, "cyrillic": {"m": "н", "f": "на", "u": "ль", "s": "рд"},
            "greek": {"m": "νος", "f": "να", "u": "λι", "s": "ρδης"}}
 
+#: Country codes of two digits; 1 and 7 have one digit, all others three. No code begins with another.
+COUNTRY_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+                          "81 82 84 86 90 91 92 93 94 95 98".split())
+
 _NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+"
 _PATTERNS = {
     "mail": r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
@@ -209,7 +213,7 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
         first = permute_text(key, tweak, form[:-1])
         return first + str((luhn(form) - luhn(first + "0")) % 10)
     if kind == "phone" and form[0] == "+":
-        keep = max(2, len(form) - 10)
+        keep = 1 + (1 if form[1] in "17" else 2 if form[1:3] in COUNTRY_CODES else 3)
         return form[:keep] + permute_text(key, tweak, form[keep:])
     if kind in ("phone", "person_no"):
         return permute_text(key, tweak, form)

@@ -114,6 +114,17 @@ def test_redrawn_entities_reach_the_text(spark):
     assert got == {0: "Mr Same and Mr Samex", 1: "Mr Samex and Frau Same", 2: "nothing here", 3: None}
 
 
+def test_country_codes_stay_and_nothing_else():
+    for code, rest in (("1", "8875552355"), ("7", "9161234567"), ("49", "30123456"), ("49", "17012345678"),
+                       ("44", "2071234567"), ("353", "861234567"), ("971", "501234567")):
+        made = [pii.surrogate(b"k%d" % k, "phone", f"+{code}{rest}") for k in range(200)]
+        assert all(m.startswith(f"+{code}") and len(m) == 1 + len(code) + len(rest) for m in made)
+        assert all(len({m[1 + len(code) + k] for m in made}) == 10 for k in range(len(rest)))
+    draw = lambda kind, form, attempt: pii.surrogate(b"k", kind, form, attempt)
+    made = [pii.rewrite(t, draw, {})[0] for t in ("+49 301 234 567", "+4930 1234 567")]
+    assert re.sub(r"\D", "", made[0]) == re.sub(r"\D", "", made[1]) and made[0].startswith("+49 ")
+
+
 def test_a_name_has_one_surrogate_whatever_its_title(spark):
     texts = ["Mr John Smith came. John Smith left; SMITH, John's and smith stayed, mail Smith@example.com. Johnson too.",
              "Dr John Smith or Mr John", "Frau Smith and Prof Ada Smith", "Mrs Ada Smith", "John alone, untitled",
