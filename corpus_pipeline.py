@@ -17,12 +17,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Blocks that an earlier document has are taken out; a document of which no word is left goes."""
+    """Blocks that an earlier document has are taken out; a document of which only white space is left goes."""
     lines, deleted = (next(n for k in range(len(docs.columns) + 1) if (n := f"{name}_{k}") not in docs.columns)
                       for name in ("lines", "deleted"))  # names that no column has
     found = line_align.dedup_lines(docs, lines=lines, deleted=deleted, every_copy=True)
     changed = F.col(deleted) > 0
-    found = found.where(~(changed & (F.trim("text") == "")))
+    found = found.where(~changed | F.col("text").rlike(r"[^\s]"))
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         found = found.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))

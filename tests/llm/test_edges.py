@@ -99,6 +99,13 @@ def test_stages_keep_columns(spark, tmp_path):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == len(ROWS)
 
 
+def test_documents_with_only_blank_lines_left_go(spark):
+    texts = [PASSAGE, f"\n\t\n{PASSAGE}\n \n\t", f"{PASSAGE}\n\n", f"x\n{PASSAGE}\n", "\n\n", None]
+    docs = spark.createDataFrame([(k, t, "en", "a", 1) for k, t in enumerate(texts)], DOCS)
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert got == {0: PASSAGE, 3: "x\n", 4: "\n\n", 5: None}  # what was blank or null before stays
+
+
 def test_pipeline_on_edges(spark, tmp_path):
     items(spark).write.parquet(f"{tmp_path}/benchmark.parquet")
     documents(spark, False).write.parquet(f"{tmp_path}/documents.parquet")
