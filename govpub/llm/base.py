@@ -17,6 +17,8 @@ ORACLES: dict[str, str] = {}
 
 #: Rows of an Arrow batch. Texts are long, so a task holds few of them at a time.
 BATCH_ROWS = 256
+#: Bytes of text that a task works on together.
+PORTION = 1_000_000
 
 
 def query(sql: str | None = None) -> Callable:
@@ -42,6 +44,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def valid(text: str | Column) -> Column:
+    """The text with every ill-formed UTF-8 sequence replaced by U+FFFD, as Python would decode it."""
+    return F.make_valid_utf8(F.col(text) if isinstance(text, str) else text)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/govpub-{name}-{uuid.uuid4().hex}"
 
@@ -73,6 +80,18 @@ def same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
+def portions(texts: list, size: int = PORTION) -> Iterator[slice]:
+    """Neighbouring texts of about `size` bytes together; a longer text stays alone."""
+    begin = held = 0
+    for k, text in enumerate(texts):
+        if k > begin and held + len(text) > size:
+            yield slice(begin, k)
+            begin, held = k, 0
+        held += len(text)
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
 # --- words -----------------------------------------------------------------------------
 
 #: Bytes of `[^\x00-\x2F\x3A-\x60\x7B-\x7F]+` after lower-casing A-Z; all other bytes separate words. A byte of a

@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from govpub.llm import (chat, decontam, fst_bpe, host_quality, langid, line_align, pii, probminhash, url_rules, warc)
+from govpub.llm import (chat, decontam, fst_bpe, host_quality, langid, line_align, pii, probminhash, recompress, resample,
+                        toxicity, url_rules, warc)
 from govpub.llm.base import ORACLES, QUERIES, query, table  # noqa: F401
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -193,3 +194,62 @@ def op10_host_quality(spark: SparkSession, folder: str) -> DataFrame:
     found = host_quality.judged(table(spark, folder, "documents").select("doc_id", "text", "source"), ["doc_id"])
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                         "host_verdict", F.col("kept"))
+
+
+@query()
+def op11_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every whole text, learned from the labels of the part that is not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    found = toxicity.scored(docs.withColumn("held_out", toxicity.held_out()),
+                            toxicity.train(docs, table(spark, folder, "labels")), ["doc_id", "held_out"])
+    return found.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+_CRC_STEP = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+
+
+@query(rf"""
+WITH crc AS (SELECT list(list_reduce(range(8), lambda c, x: {_CRC_STEP}, n) ORDER BY n) AS t FROM range(256) r(n)),
+d AS (SELECT 0 AS side, doc_id, row_number() OVER () AS r, text FROM documents
+      UNION ALL SELECT 1, NULL, row_number() OVER (), text FROM benchmark),
+w AS (SELECT side, doc_id, r, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{_WORDS}') AS w FROM d),
+f AS (SELECT side, r, unnest(list_concat(w, list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]))) AS f FROM w),
+g AS (SELECT side, r, f, count(*) AS n FROM f GROUP BY ALL),
+b AS (SELECT f, xor(list_reduce(list_transform(range(CAST(length(h) / 2 AS BIGINT)), lambda k:
+                    16 * (instr('0123456789ABCDEF', h[2 * k + 1]) - 1) + instr('0123456789ABCDEF', h[2 * k + 2]) - 1),
+                    lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295), 4294967295) % {resample.BUCKETS} AS bucket
+      FROM (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM g)), crc),
+p AS (SELECT side, r, bucket, n FROM g JOIN b USING (f)),
+s AS (SELECT bucket, sum(n) FILTER (side = 0) AS s, sum(n) FILTER (side = 1) AS t FROM p GROUP BY bucket),
+tot AS (SELECT coalesce(sum(s), 0) AS all_s, coalesce(sum(t), 0) AS all_t FROM s),
+gain AS (SELECT bucket, CAST(floor(1000 * ln(CAST((coalesce(t, 0) + 1) * (all_s + {resample.BUCKETS}) AS DOUBLE)
+                / CAST((coalesce(s, 0) + 1) * (all_t + {resample.BUCKETS}) AS DOUBLE))) AS BIGINT) AS gain FROM s, tot),
+m AS (SELECT r, CAST(sum(n) AS BIGINT) AS n_features, CAST(floor(sum(n * gain) / sum(n)) AS BIGINT) AS weight
+      FROM p JOIN gain USING (bucket) WHERE side = 0 GROUP BY r),
+h AS (SELECT doc_id, r, len(w) AS n_words, list_reduce(range(1, 9), lambda c, k: c * 16 + instr('0123456789abcdef', x[k]) - 1, 0) AS h
+      FROM (SELECT *, sha256('{resample.KEY}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM w WHERE side = 0)),
+z AS (SELECT doc_id, n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+             coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+      FROM h LEFT JOIN m USING (r)),
+o AS (SELECT *, row_number() OVER (PARTITION BY n_words >= {resample.MIN_WORDS}
+                                   ORDER BY score DESC, doc_id NULLS LAST, weight, n_features) AS place,
+             count(*) FILTER (n_words >= {resample.MIN_WORDS}) OVER () AS n FROM z)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_words >= {resample.MIN_WORDS} AND place <= {resample.PERCENT} * n // 100 THEN place END AS rank FROM o
+""")
+def op12_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and place in the draw of every document, with the benchmark's texts as the target."""
+    found = resample.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+@query()
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of every document (a tenth of them with a periodic tail), the longest one, and digests of runs and rest."""
+    docs = recompress.with_tails(table(spark, folder, "documents").select("doc_id", "text"))
+    best, runs = F.col("longest"), F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    return recompress.periodic(docs, ["doc_id"]).withColumn("longest", recompress.longest()).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(runs, lambda r: F.concat(r, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"))

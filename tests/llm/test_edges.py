@@ -112,5 +112,5 @@ def test_pipeline_on_edges(spark, tmp_path):
     assert [r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()] == [5]  # only LONG passes all
 
 
-def test_ten_queries():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_queries():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
