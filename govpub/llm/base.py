@@ -49,6 +49,12 @@ def valid(text: str | Column) -> Column:
     return F.make_valid_utf8(F.col(text) if isinstance(text, str) else text)
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where a column has them already."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for k in range(len(taken) + 1) if (n := name + "_" * k).lower() not in taken) for name in names]
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/govpub-{name}-{uuid.uuid4().hex}"
 

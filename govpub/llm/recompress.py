@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govpub.llm.base import batch, map_batches, mix, portions, texts_as_bytes, valid
+from govpub.llm.base import batch, free_names, map_batches, mix, portions, texts_as_bytes, valid
 
 #: Words of the shortest run; grid points looked at together.
 MIN_LENGTH, GRID = 12, 1_000_000
@@ -263,10 +263,18 @@ def longest(runs: str = "runs") -> Column:
 def with_tails(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, every tenth (by the CRC of its id) with a periodic tail made of its own words; a document without
     an id stays as it is."""
-    words = F.regexp_extract_all(valid(text), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
     h = F.crc32(F.col(doc_id).cast("string").cast("binary"))
-    g, n = F.floor(h / 10).cast("long"), F.size(words).cast("long")
-    a = g % n
-    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("long")
-    tail = F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + (i - a) % p).cast("int"))))
-    return docs.withColumn(text, F.when((h % 10 == 0) & (n > 0), F.array_join(tail, " ")).otherwise(F.col(text)))
+    names = free_names(docs, "_g", "_words", "_a", "_p")
+    g, words, a, p = map(F.col, names)
+    marked = docs.withColumn(names[0], F.when(h % 10 == 0, F.floor(h / 10).cast("long")))
+    # columns of their own, so that the words are looked for once
+    split = marked.withColumn(names[1], F.when(g.isNotNull(), F.regexp_extract_all(
+        valid(text), F.lit(r"([^\x20\x09-\x0D]+)"), 1)))
+    n = F.size(words).cast("long")
+    sized = split.withColumn(names[2], F.when(n > 0, g % n)).withColumn(
+        names[3], 1 + F.floor((n - a) / (3 + g % 8)).cast("long"))
+    begin, rest = a.cast("int"), (n - a).cast("int")
+    period = F.slice(words, begin + 1, p.cast("int"))
+    tail = F.slice(F.flatten(F.array_repeat(period, F.ceil(rest / p).cast("int"))), F.lit(1), rest)
+    made = F.array_join(F.concat(F.slice(words, F.lit(1), begin), tail), " ")
+    return sized.withColumn(text, F.when(a.isNotNull(), made).otherwise(F.col(text))).drop(*names)

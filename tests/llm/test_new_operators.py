@@ -223,7 +223,9 @@ def test_toxicity_edges(spark):
 
 def test_ill_formed_texts(spark):
     docs = spark.range(1, 41).selectExpr("id AS doc_id", f"{ILL} AS text", "'en' AS lang")
-    assert recompress.periodic(recompress.with_tails(docs), ["doc_id"]).count() == 40
+    clash = docs.withColumns({c: F.lit(c) for c in ("_g", "_words", "_a", "_p", "_text", "runs")})
+    assert recompress.with_tails(clash).columns == clash.columns
+    assert recompress.periodic(recompress.with_tails(clash), ["doc_id", "_a"]).where("_a = '_a'").count() == 40
     assert resample.resampled(docs, docs).where("n_words = 4").count() == 40
     labels = docs.selectExpr("doc_id", "CAST(doc_id % 2 AS INT) AS toxic")
     assert toxicity.scored(docs, toxicity.train(docs, labels), ["doc_id"]).where("score BETWEEN 0 AND 1").count() == 40
