@@ -119,8 +119,7 @@ sub AS (SELECT bad, list_filter(tokens, lambda t, i: (mask >> (i - 1)) & 1 = 1)
         FROM (SELECT *, unnest(range(1, CAST(pow(2, len(tokens)) AS BIGINT))) AS mask FROM tx)),
 counted AS (SELECT combination, count(*) AS c, sum(bad) AS b FROM sub GROUP BY combination),
 rules AS (SELECT combination FROM counted, n
-          WHERE b >= ceil(greatest({url_rules.MIN_SUPPORT}, least(1.0, {url_rules.MIN_PAGES}.0 / n.n)) * n.n - 1e-9)
-            AND b / c >= {url_rules.MIN_CONFIDENCE} AND (b / c) / (n.bad / n.n) >= {url_rules.MIN_LIFT}),
+          WHERE b >= {url_rules.MIN_PAGES} AND b / c >= {url_rules.MIN_CONFIDENCE} AND (b / c) / (n.bad / n.n) >= {url_rules.MIN_LIFT}),
 hit AS (SELECT DISTINCT r FROM tok, rules WHERE list_has_all(tokens, combination))
 SELECT page_id, host, path, CASE {_RULE} END AS rule,
        CASE {_SAYS} WHEN hit.r IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict

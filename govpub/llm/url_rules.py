@@ -3,8 +3,16 @@ r"""URL filtering by association rules, with DataFrame and SQL functions only.
 A URL becomes a set of tokens (host, site, subdomain, path words, ending, query keys, fragment). Labelled pages are the
 transactions; Spark's FP-growth finds the token combinations that are frequent with the item `bad`; rules from a
 combination to `bad` stay if they have the support, the confidence and the lift asked for and no more general rule
-remains. Rules are matched by an inverted index: each is filed under its rarest token in the corpus, a page looks up
-its tokens and then tests whether the whole combination is present.
+remains. Before mining
+
+* tokens on too few bad pages go, as no combination with them has the support;
+* a token that alone is a rule goes into the rule list and out of the transactions: every combination with it is less general;
+* tokens of exactly the same labelled pages become one class, mined as one item: any of them says the same, and without
+  this each of them would double the number of combinations (a host, its site and the keys its pages share).
+
+A rule is a set of classes and holds for a page that has a token of each. Rules are matched by an inverted index: each is
+filed under its rarest class in the corpus, a page looks up its classes and then tests whether all of the rule are present. The
+same index finds the more general rules.
 
 Listed prefixes (host and path) come first: a page that one fits takes the verdict of the longest.
 
@@ -15,7 +23,8 @@ read.
 
 Scale: pages are scanned once, only tokens travel. FP-growth distributes its conditional trees by item. A host
 with a third of all pages is one token like others: it costs its pages one row per rule filed under it, and rules are few, as each
-needs `min_support` of the labelled pages to itself.
+needs `min_pages` bad pages. What still multiplies combinations are many tokens that each say little about `bad`, lie on
+different pages and occur together often; nothing is cut off then.
 """
 
 from __future__ import annotations
@@ -29,8 +38,8 @@ from govpub.llm.base import staged
 #: Listed prefixes and their verdicts.
 LISTED = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"),
           ("net/fr/", "block")]
-#: Least share and number of labelled pages that are bad and hold the combination; least confidence and lift.
-MIN_SUPPORT, MIN_PAGES, MIN_CONFIDENCE, MIN_LIFT = 0.001, 10, 0.5, 1.2
+#: Least number of labelled pages that are bad and hold the combination; least confidence and lift.
+MIN_PAGES, MIN_CONFIDENCE, MIN_LIFT = 10, 0.5, 1.2
 BAD = "bad"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -93,52 +102,82 @@ def bad_documents(labels: DataFrame) -> DataFrame:
 
 
 def transactions(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """Token sets of labelled pages, with the item `bad` where the label says so. The number in a path names the
-    document whose label the page has."""
+    """row, tokens, bad of the labelled pages. The number in a path names the document whose label the page has."""
     number = F.expr("try_cast(regexp_extract(path, '^/[a-z]+/([0-9]+)', 1) as bigint)")
-    found = pages.where(F.size("tokens") > 0).select(number.alias("doc_id"), "tokens").join(
-        bad_documents(labels), "doc_id")
-    return found.select(F.when(F.col("bad") == 1, F.concat("tokens", F.array(F.lit(BAD)))).otherwise(
-        F.col("tokens")).alias("items"))
+    return pages.where(F.size("tokens") > 0).select("row", number.alias("doc_id"), "tokens").join(
+        bad_documents(labels), "doc_id").select("row", "tokens", "bad")
+
+
+def token_classes(taught: DataFrame, min_pages: int = MIN_PAGES) -> DataFrame:
+    """token, class, n, b: tokens on enough bad pages, with the class of those on the same pages (its first token),
+    and its numbers of pages and of bad pages. Page sets are compared by count and two 64 bit sums."""
+    h = F.xxhash64("row").cast("decimal(38,0)")
+    g = F.xxhash64(F.lit("g"), F.col("row"))
+    seen = taught.select("row", "bad", F.explode("tokens").alias("token")).groupBy("token").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("bad").alias("b"), F.sum(h).alias("h"), F.bit_xor(g).alias("g")).where(
+        F.col("b") >= min_pages)
+    named = seen.groupBy("n", "b", "h", "g").agg(F.min("token").alias("class"))
+    return seen.join(named, ["n", "b", "h", "g"]).select("token", "class", "n", "b")
 
 
-def mined_rules(items: DataFrame, min_support: float = MIN_SUPPORT, min_pages: int = MIN_PAGES,
+def filed(rules: DataFrame, frequency: DataFrame) -> DataFrame:
+    """combination, class: every rule under its rarest class. `frequency` has class and n."""
+    each = rules.select("combination", F.explode("combination").alias("class")).join(frequency, "class")
+    return each.groupBy("combination").agg(F.min(F.struct("n", "class")).alias("m")).select(
+        "combination", F.col("m.class").alias("class"))
+
+
+def mined_rules(taught: DataFrame, classes: DataFrame, min_pages: int = MIN_PAGES,
                 min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT) -> DataFrame:
-    """combination (sorted tokens), confidence, support: the most general rules to `bad`."""
-    n = items.count()
+    """combination (sorted classes), confidence, support: the most general rules to `bad`."""
+    total = taught.agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")).first()
     schema = "combination array<string>, confidence double, support double"
-    if n == 0:
-        return items.sparkSession.createDataFrame([], schema)
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min(1.0, min_pages / n)),
-                     minConfidence=min_confidence).fit(items)
-    rules = model.associationRules.where(
+    if not total["bad"]:
+        return taught.sparkSession.createDataFrame([], schema)
+    n, share = total["n"], total["bad"] / total["n"]
+    whole = classes.where("token = class").withColumn("confidence", F.col("b") / F.col("n"))
+    good = (F.col("confidence") >= min_confidence) & (F.col("confidence") / share >= min_lift)
+    single = whole.where(good).select(F.array("class").alias("combination"), "confidence",
+                                      (F.col("b") / n).alias("support"))
+    open_ = whole.where(~good).select("class", F.lit(True).alias("open"))
+    used = classes.select("token", "class").join(open_, "class")
+    spread = taught.select("row", F.explode("tokens").alias("token")).join(used, "token")
+    sets = spread.groupBy("row").agg(F.collect_set("class").alias("items"))  # tokens of one URL
+    items = staged(taught.join(sets, "row", "left").select(F.concat(
+        F.coalesce("items", F.array().cast("array<string>")),
+        F.when(F.col("bad") == 1, F.array(F.lit(BAD))).otherwise(F.array().cast("array<string>"))).alias("items")), "items")
+    # the support is a number of pages; half a page less keeps the share from rounding above it
+    model = FPGrowth(itemsCol="items", minSupport=(min_pages - 0.5) / n, minConfidence=min_confidence).fit(items)
+    joint = model.associationRules.where(
         (F.size("consequent") == 1) & (F.col("consequent")[0] == BAD) & (F.col("lift") >= min_lift)).select(
             F.array_sort("antecedent").alias("combination"), "confidence", "support")
-    rules = staged(rules, "rules")
-    filed = rules.select(F.col("combination").alias("general"), F.element_at("combination", 1).alias("token"))
-    wider = rules.select("combination", F.explode("combination").alias("token")).join(filed, "token").where(
+    rules = staged(joint, "rules")
+    index = filed(rules, rules.select(F.explode("combination").alias("class")).groupBy("class").agg(
+        F.count(F.lit(1)).alias("n"))).withColumnRenamed("combination", "general")
+    wider = rules.select("combination", F.explode("combination").alias("class")).join(index, "class").where(
         (F.size("general") < F.size("combination")) & (F.size(F.array_except("general", "combination")) == 0))
-    return rules.join(wider.select("combination").distinct(), "combination", "left_anti")
+    return rules.join(wider.select("combination").distinct(), "combination", "left_anti").unionByName(single)
 
 
-def fired(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Rows of the pages that hold the whole combination of a rule."""
-    looked = pages.select("row", "tokens", F.explode("tokens").alias("token"))
-    frequency = looked.groupBy("token").agg(F.count(F.lit(1)).alias("n"))
-    each = rules.select("combination", F.explode("combination").alias("token")).join(frequency, "token")
-    index = each.groupBy("combination").agg(F.min(F.struct("n", "token")).alias("m")).select(
-        "combination", F.col("m.token").alias("token"))
-    return looked.join(index, "token").where(F.size(F.array_except("combination", "tokens")) == 0).select(
-        "row").distinct()
+def fired(pages: DataFrame, rules: DataFrame, classes: DataFrame) -> DataFrame:
+    """Rows of the pages that hold a token of every class of a rule."""
+    asked = classes.join(rules.select(F.explode("combination").alias("class")).distinct(), "class", "left_semi")
+    has = pages.select("row", F.explode("tokens").alias("token")).join(asked.select("token", "class"), "token").groupBy(
+        "row").agg(F.collect_set("class").alias("has"))  # classes of one URL
+    looked = staged(has, "looked").select("row", "has", F.explode("has").alias("class"))
+    frequency = looked.groupBy("class").agg(F.count(F.lit(1)).alias("n"))
+    return looked.join(filed(rules, frequency), "class").where(
+        F.size(F.array_except("combination", "has")) == 0).select("row").distinct()
 
 
-def judged(pages: DataFrame, labels: DataFrame, listed: list[tuple[str, str]] = LISTED, **limits) -> DataFrame:
+def judged(pages: DataFrame, labels: DataFrame, listed: list[tuple[str, str]] = LISTED, min_pages: int = MIN_PAGES,
+           **limits) -> DataFrame:
     """page_id, host, path, rule, verdict of every page."""
     rows = staged(parsed(pages, listed), "urls")
-    rules = staged(mined_rules(staged(transactions(rows, labels), "transactions"), **limits), "rules")
-    hit = fired(rows, rules).withColumn("hit", F.lit(True))
+    taught = staged(transactions(rows, labels), "transactions")
+    classes = staged(token_classes(taught, min_pages), "classes")
+    rules = staged(mined_rules(taught, classes, min_pages, **limits), "rules")
+    hit = fired(rows, rules, classes).withColumn("hit", F.lit(True))
     return rows.join(hit, "row", "left").select(
         "page_id", "host", "path", "rule",
         F.coalesce("listed", F.when(F.col("hit"), "block").otherwise("allow")).alias("verdict"))
-
-

@@ -73,14 +73,64 @@ def test_rules_are_learned_pruned_and_matched(spark):
         labels.append((k, 0 if spam or k % 50 == 1 else 1, 0))
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     labels = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    parsed = url_rules.parsed(pages)
-    rules = url_rules.mined_rules(url_rules.transactions(parsed, labels)).collect()
-    found = {tuple(r["combination"]) for r in rules}
+    taught = url_rules.transactions(url_rules.parsed(pages), labels)
+    classes = url_rules.token_classes(taught)
+    found = {tuple(r["combination"]) for r in url_rules.mined_rules(taught, classes).collect()}
     assert ("host=spam.bad.org",) in found and all(len(c) == 1 for c in found if "host=spam.bad.org" in c)
     got = url_rules.judged(pages, labels, min_confidence=0.9).collect()
     assert all((r["verdict"] == "block") == (r["host"] == "spam.bad.org") for r in got)
 
 
+def brute_block(tokens, bad, all_tokens, min_pages, min_confidence, min_lift):
+    """Pages that hold some combination with support, confidence and lift, every subset of a labelled page tried."""
+    from itertools import combinations
+    subsets = {}
+    for own, b in zip(tokens, bad):
+        for size in range(1, len(own) + 1):
+            for c in combinations(sorted(own), size):
+                n, k = subsets.get(c, (0, 0))
+                subsets[c] = (n + 1, k + b)
+    share = sum(bad) / len(bad)
+    good = [set(c) for c, (n, k) in subsets.items() if k >= min_pages and k / n >= min_confidence and k / n / share >= min_lift]
+    return [any(c <= set(own) for c in good) for own in all_tokens]
+
+
+def test_rules_are_those_of_brute_force(spark):
+    rng = random.Random(8)
+    rows, labels = [], []
+    for k in range(300):
+        keys = {c for c in "abcd" if rng.random() < 0.4}
+        keys |= {"e", "f"} if "a" in keys else set()  # three keys of the same pages
+        url = f"http://h{k % 2}.net/p/{k}" + ("?" + "&".join(f"{c}=1" for c in sorted(keys)) if keys else "")
+        bad = ({"a", "b"} <= keys and rng.random() < 0.9) or ({"c", "d"} <= keys and k % 2 == 0) or rng.random() < 0.05
+        rows.append((k, url, ""))
+        if k < 260:
+            labels.append((k, 0 if bad else 1, 0))
+    rows += [(1000 + k, f"http://h0.net/p/{5000 + k}?{q}", "") for k, q in enumerate(("e=1&b=1", "f=1", "a=1&b=1", "c=1&d=1"))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    parsed = {r["page_id"]: r["tokens"] for r in url_rules.parsed(pages, []).collect()}
+    for confidence in (0.4, 0.7):
+        got = {r["page_id"]: r["verdict"] == "block" for r in url_rules.judged(
+            pages, marks, [], min_pages=5, min_confidence=confidence).collect()}
+        want = brute_block([parsed[k] for k, _, _ in labels], [1 - q for _, q, _ in labels], [parsed[p] for p, _, _ in rows],
+                           5, confidence, url_rules.MIN_LIFT)
+        assert [got[p] for p, _, _ in rows] == want and any(want) and not all(want)
+
+
+def test_many_shared_keys_take_seconds(spark):
+    import time
+    keys = "&".join(f"k{n}=1" for n in range(40))
+    rows = [(k, f"http://s{k % 2}.shop.org/x/{k}?{keys}" if k < 40 else f"http://g.org/x/{k}?q=1&{keys if k < 200 else ''}", "")
+            for k in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    labels = spark.createDataFrame([(k, int(k >= 40), 0) for k in range(400)], "doc_id long, quality int, toxic int")
+    start = time.time()
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judged(pages, labels, []).collect()}
+    assert time.time() - start < 60
+    assert [p for p, v in sorted(got.items()) if v == "block"] == list(range(40))
+
+
 # --- archives --------------------------------------------------------------------------
 
 def some_records(rng, n=40):
