@@ -15,7 +15,11 @@ from pyspark.sql import types as T
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
-#: Rows of an Arrow batch. Texts are long, so a task holds few of them at a time.
+#: Folders of local sessions that name none, by application.
+_OWN: dict[str, str] = {}
+
+#: Rows of an Arrow batch. Texts are long, so a task holds few of them at a time; Spark also ends a batch at
+#: `spark.sql.execution.arrow.maxBytesPerBatch` (64 MB unless the session says otherwise).
 BATCH_ROWS = 256
 #: Bytes of text that a task works on together.
 PORTION = 1_000_000
@@ -36,12 +40,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of our own only where the session names none."""
+    """The folder that driver and executors share: `spark.checkpoint.dir`. Where the session names none, a local master
+    gets a folder of its own; a cluster has to name one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="govpub-shared-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder.rstrip("/")
+    if folder:
+        return folder.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; it has to name a folder that driver and executors share")
+    if context.applicationId not in _OWN:
+        _OWN[context.applicationId] = tempfile.mkdtemp(prefix="govpub-shared-")
+    return _OWN[context.applicationId]
 
 
 def valid(text: str | Column) -> Column:

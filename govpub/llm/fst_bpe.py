@@ -17,7 +17,8 @@ pattern, where a piece that is itself a token is that token.
 Decoding joins the tokens' bytes chunk by chunk; an incremental UTF-8 machine holds back the bytes of an unfinished
 character, so text can be read while tokens arrive.
 
-Defined results: a null text encodes as the empty one, to no tokens; ill-formed bytes decode to U+FFFD; repeated
+Defined results: a null text encodes as the empty one, to no tokens; ill-formed bytes of a text are read as U+FFFD, and
+those of ids decode to U+FFFD; repeated
 rows are encoded one by one; no rows give no rows. Texts are read whole. Rows never move: one scan, no shuffle.
 """
 
@@ -32,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from govpub.llm.base import batch, map_batches
+from govpub.llm.base import batch, map_batches, valid
 
 #: Steps and pieces that a process keeps before it starts anew.
 MAX_STEPS, MAX_PIECES = 500_000, 400_000
@@ -228,7 +229,7 @@ def codec(path: str, pattern: str) -> Codec:
 
 def encoded(docs: DataFrame, path: str, pattern: str, keep: str = "doc_id", text: str = "text") -> DataFrame:
     """`keep` and the token ids (array of long) of every text."""
-    frame = docs.select(keep, F.col(text).alias("_text"))
+    frame = docs.select(keep, valid(text).alias("_text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)
@@ -255,7 +256,7 @@ def decoded(tokens: DataFrame, path: str, pattern: str, keep: str = "doc_id", id
 
 def round_trip(docs: DataFrame, path: str, pattern: str, keep: str = "doc_id", text: str = "text") -> DataFrame:
     """Digests of the ids and of the bytes they decode to, per document; ids and text never leave the task."""
-    frame = docs.select(keep, F.col(text).alias("_text"))
+    frame = docs.select(keep, valid(text).alias("_text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(path, pattern)

@@ -10,7 +10,7 @@ towards the corpus by a beta prior fitted to all hosts, and each host's verdict
   that fails no rule is kept on every host.
 
 Defined results: a null or empty text has no words and fails the base rules; documents without a source form one host
-of their own; repeated rows count and are judged one by one; no documents give no rows. Other columns of the table do not
+of their own; repeated rows count and are judged one by one; ill-formed UTF-8 counts as U+FFFD; no documents give no rows. Other columns of the table do not
 matter and are not read.
 
 Scale: the measures are taken in one scan. Hosts meet in a partially aggregated group-by (a host with a third of all
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govpub.llm.base import batch, map_batches, same, staged, text_hash
+from govpub.llm.base import batch, map_batches, same, staged, text_hash, valid
 
 #: Shrunk rate of failing documents from which a host is strict.
 HOST_LIMIT = 0.1
@@ -84,7 +84,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measured(docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
     """The columns `keep` and the measures of every document."""
-    frame = docs.select(*keep, F.col(text).alias("_text"))
+    frame = docs.select(*keep, valid(text).alias("_text"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema.fields[:-1])
     return map_batches(frame, _measure, f"{fields}, {MEASURES}")
 

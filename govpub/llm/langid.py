@@ -14,7 +14,7 @@ is the only part of the operator that does not read all rows; every document is
 
 Defined results: `und` with score 0 for a null text or one without a letter; rows whose lang is null are scored but not
 learned from; if nothing can be learned, every document is `und`; ties go to the language that sorts first; repeated
-rows are scored one by one.
+rows are scored one by one; ill-formed UTF-8 is replaced by U+FFFD, which is no letter.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from govpub.llm.base import batch, map_batches
+from govpub.llm.base import batch, map_batches, valid
 
 #: Training documents and landmarks per language.
 PER_LANG, LANDMARKS = 300, 64
@@ -137,7 +137,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
     for of in (["lang", part], ["lang"]):
         order = Window.partitionBy(*of).orderBy(F.xxhash64("doc_id", "lang"), "doc_id")
         chosen = chosen.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_lang).drop("_rank")
-    sample = rows.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
+    sample = rows.select("doc_id", "lang", valid("text").alias("text")).join(F.broadcast(chosen), ["doc_id", "lang"], "left_semi")
     sample = sample.groupBy("doc_id", "lang").agg(F.min("text").alias("text"))  # of a repeated id, one row
     got = sample.orderBy("lang", F.xxhash64("doc_id", "lang"), "doc_id").select("text", "lang").collect()
     return fit([r["text"] for r in got], [r["lang"] for r in got])
@@ -145,7 +145,7 @@ def train(docs: DataFrame, per_lang: int = PER_LANG) -> Model | None:
 
 def identified(docs: DataFrame, model: Model | None, keep: list[str], text: str = "text") -> DataFrame:
     """`keep`, lang_pred and score of every document."""
-    frame = docs.select(*keep, F.col(text).alias("_text"))
+    frame = docs.select(*keep, valid(text).alias("_text"))
     shared = frame.sparkSession.sparkContext.broadcast(model)  # 2^18 numbers and a weight per n-gram and language
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,8 @@ is above zero, and names that the corpus takes for another kind than their docum
 all others are computed in place.
 
 Defined results: a null text stays null, a text without entities stays as it is; overlapping finds go to the type
-listed first, then to the earliest; rows with equal ids are rewritten one by one; extra columns are not read.
+listed first, then to the earliest; rows with equal ids are rewritten one by one; ill-formed UTF-8 comes out as
+U+FFFD; extra columns are not read.
 
 Scale: two scans over the texts. Entities are made distinct before the shuffle, so one that a third of all documents mention is
 one row per task. Texts are joined only with the few entities looked up.
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from govpub.llm.base import batch, map_batches, same, staged, text_hash
+from govpub.llm.base import batch, map_batches, same, staged, text_hash, valid
 
 # Titles by gender, and syllables by script.
 TITLES = {
@@ -249,7 +250,7 @@ _KIND = "array<struct<kind:string,form:string>>"
 
 def detected(docs: DataFrame, text: str = "text") -> DataFrame:
     """doc_id, th, entities (distinct per document) of the documents that hold any."""
-    frame = docs.select("doc_id", text_hash(text).alias("th"), F.col(text).alias("_text"))
+    frame = docs.select("doc_id", text_hash(text).alias("th"), valid(text).alias("_text"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -321,7 +322,7 @@ def pseudonymised(docs: DataFrame, key: bytes, text: str = "text",
             F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "redrawn")
     frame = docs.select("doc_id", F.col(text).alias("text"))
     frame = frame.join(redrawn, same(frame["doc_id"], F.col("_id")) & (text_hash(frame["text"]) == F.col("_th")),
-                       "left").select("doc_id", "text", "redrawn")
+                       "left").select("doc_id", valid("text").alias("text"), "redrawn")
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -11,7 +11,7 @@ of `REVISIT_FROM` bytes or more are stored once: the record with the smallest pa
 are revisits that refer to it.
 
 Defined results: a null html is an empty payload; a null url has an empty target; rows that share the smallest page id of a
-payload are all responses; a row without a page id is a revisit if any row with an id has its payload, else a response; no pages
+payload are all responses; ill-formed UTF-8 of a url is replaced by U+FFFD; a row without a page id is a revisit if any row with an id has its payload, else a response; no pages
 give no archives; extra columns are not read. Control characters of a url are percent-encoded.
 
 Recovery: a task attempt writes under a name of its own and reports it in its rows; the rows are a written table, so only
@@ -33,7 +33,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from govpub.llm.base import batch, map_batches, new_folder, staged
+from govpub.llm.base import batch, map_batches, new_folder, staged, valid
 
 #: Payload bytes from which equal payloads are stored once; bytes of an archive before the next one begins.
 REVISIT_FROM, ROLL = 100, 64 << 20
@@ -215,7 +215,7 @@ def written(records: DataFrame, folder: str, roll: int = ROLL, level: int = LEVE
         if out is not None:
             yield close()
 
-    frame = records.select("page_id", "url", "payload", "digest", "refers_to")
+    frame = records.select("page_id", valid("url").alias("url"), "payload", "digest", "refers_to")
     return map_batches(frame, task, "archive string, records long")
 
 

@@ -49,6 +49,30 @@ def test_every_document_has_a_result(spark, clash):
         assert df.count() == len(ROWS), name
 
 
+ILL = "CAST(unhex('476F6F64FF20776F726473E282206F66206120746578742E') AS STRING)"  # two ill-formed sequences
+
+
+def test_ill_formed_texts(spark, tmp_path):
+    """Bytes that are no UTF-8 fail no operator and no stage; they are read as U+FFFD."""
+    words = " ".join(f"word{k}" for k in range(60))
+    docs = spark.range(1, 9).selectExpr("id AS doc_id", f"concat({ILL}, ' {words} ', id) AS text", "'en' AS lang",
+                                        f"concat('s', {ILL}) AS source", "10L AS n_chars")
+    for name, df in on_documents(spark, docs).items():
+        assert df.count() == 8, name
+    assert langid.identified(docs, langid.train(docs), ["doc_id"]).where("lang_pred = 'en'").count() == 8
+    got = fst_bpe.decoded(fst_bpe.encoded(docs.where("doc_id = 1"), VOCABULARY, PATTERN), VOCABULARY, PATTERN).first()["text"]
+    assert got == "Good\ufffd words\ufffd of a text. " + words + " 1"
+    items(spark, [(1, "something else")]).write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == (1 if name == "near dedup" else 8), name
+    pages = docs.selectExpr("doc_id AS page_id", f"concat('http://h/', {ILL}) AS url", "text AS html")
+    assert warc.archived(pages).count() == 8
+    labels = docs.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    assert url_rules.judged(pages, labels).count() == 8
+    turns = docs.selectExpr("doc_id AS conv_id", "1L AS turn", f"{ILL} AS role", "text")
+    assert chat.rendered(turns).count() == 8
+
+
 def test_empty_documents(spark):
     for name, df in on_documents(spark, documents(spark, rows=[])).items():
         assert df.count() == 0, name
