@@ -110,7 +110,3 @@ def numbers_in(text: ColumnLike) -> Column:
     raw = F.regexp_extract_all(as_col(text), F.lit(NUMBER_PATTERN), F.lit(0))
     parsed = F.transform(raw, lambda t: F.regexp_replace(t, ",", "").try_cast("decimal(38,6)"))
     return F.filter(parsed, lambda v: v.isNotNull())
-
-
-def sql_literal(value: object) -> str:
-    return "'" + str(value).replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govpub.functions.columns import safe_ratio
+from govpub.functions.columns import ColumnLike, as_col, safe_ratio
 
 
 @dataclass(frozen=True)
@@ -33,6 +33,27 @@ class Derived:
     combine: Callable[..., Column]
 
 
+def distinct_rollup(df: DataFrame, levels: Sequence[str], ids: Mapping[str, ColumnLike]) -> DataFrame:
+    """Exact distinct counts of numbered things at every level of a rollup, in one pass over the rows.
+
+    `ids` maps output names to columns of numbers from 0 up, such as places in a dimension. The rows are folded once into
+    bitmaps of 32,768 numbers per lowest group; the levels above unite these bitmaps, so a number that several groups
+    share counts once at each level. `level` is the grouping id: 0 the groups, then the subtotals, all bits the total.
+    """
+    things = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), as_col(c).cast("long").alias("number"))
+                                 for n, c in ids.items()]))
+    spread = df.select(*levels, things.alias("_t")).select(*levels, "_t.name", "_t.number").where("number IS NOT NULL")
+    folded = spread.groupBy(*levels, "name", F.bitmap_bucket_number("number").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("number")).alias("bits"))
+    sets = [[*levels[:k], "name", "bucket"] for k in range(len(levels), -1, -1)]
+    united = folded.groupingSets([[F.col(c) for c in s] for s in sets], *levels, "name", "bucket").agg(
+        F.grouping_id().alias("_id"), F.bitmap_or_agg("bits").alias("bits"))
+    counted = united.withColumn("level", F.shiftright("_id", 2)).groupBy("level", *levels, "name").agg(
+        F.sum(F.bitmap_count("bits")).alias("n"))
+    return counted.groupBy("level", *levels).agg(*[
+        F.coalesce(F.sum(F.when(F.col("name") == n, F.col("n"))), F.lit(0)).alias(n) for n in ids])
+
+
 def total(fact: str, column: str) -> Base:
     return Base(fact, lambda: F.sum(column))
 

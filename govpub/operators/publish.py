@@ -1,16 +1,20 @@
 """Publication lifecycle over write-once slices and one append-only ledger.
 
 A publication's rows are one partition of every published table and never change after the
-candidate is written. Approval, publication and supersession only append to the ledger. All
-rows of one transition go in one file, so a transition becomes visible as a whole or not at
-all, and readers resolve the current publication from the ledger first.
+candidate is written. Approval, publication and supersession only append to the ledger. A transition is
+one numbered commit with all its rows, so it becomes visible as a whole or not at all, and readers
+resolve the current publication from the ledger first.
+
+Any number of writers may work at once. Each decides on the ledger as it stands and tries to add the next number; who
+comes second decides again on the ledger with the other's commit, and is refused if its transition is no longer
+allowed. A publication is also refused if another one became current since it was compared.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping, Sequence
-from datetime import datetime
+from collections.abc import Callable, Mapping, Sequence
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row
@@ -22,6 +26,7 @@ from govpub.operators.quality import issue_summary
 from govpub.sources.contract import STAR_TABLES
 from govpub.sources.extract import in_parallel
 from govpub.sources.store import Store
+from govpub.sources.versions import CommitLog, instant
 
 LEDGER = "ops.publication_ledger"
 STATE_DDL = ("BatchId string, ParentBatchId string, DatasetVersion string, AuthorityPolicyVersion string, "
@@ -109,9 +114,13 @@ def write_candidate(store: Store, tables: Mapping[str, DataFrame], publication_i
 
 def withdraw(store: Store, publication_id: str, reason: str) -> None:
     """Take back a registration that waits for approval; it has to be staged again."""
-    state = _state(store, publication_id)
-    if state and state["Status"] == "APPROVAL_PENDING":
-        _commit(store, [_entry(state.asDict(), "WITHDRAWN", "pipeline", reason, utc_now(), Status="WITHDRAWN")])
+    def entries(open_: dict) -> list[dict]:
+        state = open_.get(publication_id)
+        if not state or state["Status"] != "APPROVAL_PENDING":
+            return []
+        return [_entry(state, "WITHDRAWN", "pipeline", reason, utc_now(), Status="WITHDRAWN")]
+
+    _commit(store, entries)
 
 
 def wrong_counts(store: Store, publication_id: str) -> bool:
@@ -124,7 +133,7 @@ def wrong_counts(store: Store, publication_id: str) -> bool:
 
 def table_counts(store: Store, publication_id: str, tables: Sequence[str] = tuple(STAR_TABLES),
                  namespace: str = "serve") -> DataFrame:
-    parts = [store.table(f"{namespace}.{t}").where(F.col("PublicationId") == publication_id)
+    parts = [store.table(f"{namespace}.{t}", only={"PublicationId": [publication_id]})
              .agg(F.count(F.lit(1)).alias("ActualRows")).select(F.lit(t).alias("TableName"), "ActualRows")
              for t in tables if store.exists(f"{namespace}.{t}")]
     return reduce(DataFrame.unionByName, parts)
@@ -170,15 +179,27 @@ def register_candidate(store: Store, publication_id: str, manifest: Mapping[str,
 
 # --- ledger ----------------------------------------------------------------------------
 
+def ledger_log(store: Store) -> CommitLog:
+    return CommitLog(store.spark, f"{store.folder(LEDGER)}/log")
+
+
+def ledger(store: Store) -> DataFrame:
+    """Every row of the ledger; Seq orders them."""
+    log = ledger_log(store)
+    if not log.numbers():
+        return store.spark.createDataFrame([], LEDGER_DDL)
+    commits = store.spark.read.schema(f"entries array<struct<{LEDGER_DDL.replace(' ', ': ').replace(',: ', ', ')}>>").json(
+        log.folder)
+    return commits.select(F.inline("entries"))
+
+
 def publications(store: Store) -> DataFrame:
     """Present state of every publication: its last ledger row."""
-    if not store.exists(LEDGER):
-        return store.spark.createDataFrame([], f"PublicationId string, {STATE_DDL}")
-    return latest_by(store.table(LEDGER), ["PublicationId"], ["Seq"]).select("PublicationId", *STATE_COLUMNS)
+    return latest_by(ledger(store), ["PublicationId"], ["Seq"]).select("PublicationId", *STATE_COLUMNS)
 
 
 def publication_events(store: Store) -> DataFrame:
-    return store.table(LEDGER).select("PublicationId", "EventType", "Actor", "Detail", "EventAtUtc", "Seq")
+    return ledger(store).select("PublicationId", "EventType", "Actor", "Detail", "EventAtUtc", "Seq")
 
 
 def current_publication(store: Store) -> DataFrame:
@@ -193,18 +214,48 @@ def _state(store: Store, publication_id: str) -> Row | None:
     return publications(store).where(F.col("PublicationId") == publication_id).first()
 
 
-def _commit(store: Store, entries: Sequence[dict]) -> None:
-    """Append all ledger rows of one transition as one file."""
-    last = store.table(LEDGER).agg(F.max("Seq")).first()[0] if store.exists(LEDGER) else None
+def _current_ids(store: Store) -> list[str]:
+    return sorted(r["PublicationId"] for r in current_publication(store).collect())
+
+
+# States that a transition can start from; a commit carries the rows of these publications along.
+OPEN = ("APPROVAL_PENDING", "APPROVED", "PUBLISHED")
+
+
+def _commit(store: Store, entries: Callable[[dict[str, dict]], Sequence[dict]]) -> None:
+    """Add the ledger rows of one transition as one commit.
+
+    `entries` gets the open publications as of the last commit and raises if the transition is not allowed; it is asked
+    again whenever another commit took the number. No rows means there is nothing left to do.
+    """
     names = [part.split()[0] for part in LEDGER_DDL.split(", ")]
-    rows = [tuple({**e, "Seq": (last or 0) + i + 1}.get(n) for n in names) for i, e in enumerate(entries)]
-    store.append(store.spark.createDataFrame(rows, LEDGER_DDL).coalesce(1), LEDGER)
+
+    def plain(value):
+        return instant(value) if isinstance(value, datetime) else value.isoformat() if isinstance(value, date) else value
+
+    def build(last: dict | None) -> dict | None:
+        open_ = last["open"] if last else {}
+        seq = last["entries"][-1]["Seq"] if last else 0
+        rows = [{n: plain({**e, "Seq": seq + i}.get(n)) for n in names} for i, e in enumerate(entries(open_), 1)]
+        after = {**open_, **{r["PublicationId"]: r for r in rows}}
+        return {"entries": rows, "open": {k: r for k, r in after.items() if r["Status"] in OPEN}} if rows else None
+
+    ledger_log(store).add(build)
+
+
+def _of(open_: Mapping[str, dict], *statuses: str, but: str | None = None) -> list[dict]:
+    return [r for k, r in sorted(open_.items()) if r["Status"] in statuses and k != but]
 
 
 def _entry(state: Mapping, event: str, actor: str, detail: str | None, at: datetime, **changes) -> dict:
     return {**state, **changes, "EventType": event, "Actor": actor, "Detail": detail, "EventAtUtc": at}
 
 
+def _superseded(rows: Sequence[dict], event: str, publication_id: str, now: datetime) -> list[dict]:
+    return [_entry(r, event, "system", f"Superseded by {publication_id}", now, Status="SUPERSEDED",
+                   SupersededBy=publication_id) for r in rows]
+
+
 def stage(store: Store, publication_id: str, run_id: str = "manual") -> Row | str:
     """Verify a candidate and put it up for approval; another pending candidate is superseded."""
     state = _state(store, publication_id)
@@ -218,15 +269,17 @@ def stage(store: Store, publication_id: str, run_id: str = "manual") -> Row | st
         raise LifecycleError(50011, f"{publication_id}: stored rows differ from the candidate's row counts")
     if not verified(store, publication_id):
         raise LifecycleError(50012, f"{publication_id}: its rows did not pass the reconciliation")
-    now = utc_now()
     c = candidates[0].asDict()
-    entries = [_entry(r.asDict(), "SUPERSEDED_BEFORE_APPROVAL", "system", f"Superseded by {publication_id}", now,
-                      Status="SUPERSEDED", SupersededBy=publication_id)
-               for r in publications(store).where((F.col("Status") == "APPROVAL_PENDING")
-                                                  & (F.col("PublicationId") != publication_id)).collect()]
     fresh = {k: c.get(k) for k in STATE_COLUMNS if k in c}
-    entries.append(_entry({"PublicationId": publication_id, **fresh}, "STAGED", "pipeline", f"Run {run_id}", now,
-                          Status="APPROVAL_PENDING", StagedAtUtc=now, RunId=run_id or c["RunId"]))
+
+    def entries(open_: dict) -> list[dict]:
+        if publication_id in open_ and open_[publication_id]["Status"] == "PUBLISHED":
+            return []
+        now, pending = utc_now(), _of(open_, "APPROVAL_PENDING", but=publication_id)
+        return [*_superseded(pending, "SUPERSEDED_BEFORE_APPROVAL", publication_id, now),
+                _entry({"PublicationId": publication_id, **fresh}, "STAGED", "pipeline", f"Run {run_id}", now,
+                       Status="APPROVAL_PENDING", StagedAtUtc=now, RunId=run_id or c["RunId"])]
+
     _commit(store, entries)
     return _state(store, publication_id)
 
@@ -240,18 +293,23 @@ def decide(store: Store, publication_id: str, actor: str, decision: str = "APPRO
                 .where((F.lower("ApproverUpn") == actor.lower()) & F.col("IsActive") & (F.col("DataDomain") == domain)))
     if approver.isEmpty():
         raise LifecycleError(50021, f"{actor} is no active approver for {domain}")
-    state = _state(store, publication_id)
-    if not state or state["Status"] != "APPROVAL_PENDING":
-        raise LifecycleError(50022, f"{publication_id} is not waiting for approval")
-    now, status = utc_now(), "APPROVED" if decision == "APPROVE" else "REJECTED"
-    _commit(store, [_entry(state.asDict(), status, actor, comment, now, Status=status, DecidedBy=actor,
-                           DecidedAtUtc=now, DecisionComment=comment)])
+    status = "APPROVED" if decision == "APPROVE" else "REJECTED"
+
+    def entries(open_: dict) -> list[dict]:
+        state, now = open_.get(publication_id), utc_now()
+        if not state or state["Status"] != "APPROVAL_PENDING":
+            raise LifecycleError(50022, f"{publication_id} is not waiting for approval")
+        return [_entry(state, status, actor, comment, now, Status=status, DecidedBy=actor, DecidedAtUtc=now,
+                       DecisionComment=comment)]
+
+    _commit(store, entries)
     return _state(store, publication_id)
 
 
 def publish(store: Store, publication_id: str, run_id: str = "manual") -> Row:
     """Make an approved publication the current one, after its reconciliation, row counts and all six control
-    totals were compared once more."""
+    totals were compared once more. Refused if another publication became the current one meanwhile."""
+    before = _current_ids(store)
     state = _state(store, publication_id)
     if state and state["Status"] == "PUBLISHED":
         return state
@@ -262,16 +320,41 @@ def publish(store: Store, publication_id: str, run_id: str = "manual") -> Row:
         raise LifecycleError(50031, f"{publication_id}: control totals {stored} differ from the manifest {manifest}")
     if wrong_counts(store, publication_id) or not verified(store, publication_id):
         raise LifecycleError(50032, f"{publication_id}: its rows are not those that were checked")
-    now = utc_now()
-    entries = [_entry(r.asDict(), "SUPERSEDED", "system", f"Superseded by {publication_id}", now,
-                      Status="SUPERSEDED", SupersededBy=publication_id)
-               for r in current_publication(store).collect()]
-    entries.append(_entry(state.asDict(), "PUBLISHED", "pipeline", f"Run {run_id}", now, Status="PUBLISHED",
-                          PublishedAtUtc=now))
+    def entries(open_: dict) -> list[dict]:
+        present, current, now = open_.get(publication_id), _of(open_, "PUBLISHED"), utc_now()
+        if present and present["Status"] == "PUBLISHED":
+            return []
+        if not present or present["Status"] != "APPROVED":
+            raise LifecycleError(50030, f"{publication_id} is not approved any more")
+        if [r["PublicationId"] for r in current] != before:
+            raise LifecycleError(50033, f"{publication_id} was compared with {before}, but another one is current now")
+        return [*_superseded(current, "SUPERSEDED", publication_id, now),
+                _entry(present, "PUBLISHED", "pipeline", f"Run {run_id}", now, Status="PUBLISHED", PublishedAtUtc=now)]
+
     _commit(store, entries)
     return _state(store, publication_id)
 
 
+def announce(store: Store, publication_id: str, totals: Mapping[str, str], actor: str = "pipeline") -> None:
+    """Stage and publish a version whose rows another system keeps: it supersedes whatever is current when it is its turn."""
+    def staged(open_: dict) -> list[dict]:
+        if publication_id in open_:
+            return []
+        now = utc_now()
+        return [_entry({"PublicationId": publication_id, "ControlTotalsJson": json.dumps(dict(totals))}, "STAGED", actor,
+                       None, now, Status="APPROVED", StagedAtUtc=now)]
+
+    def published(open_: dict) -> list[dict]:
+        state, now = open_.get(publication_id), utc_now()
+        if not state or state["Status"] != "APPROVED":
+            return []
+        return [*_superseded(_of(open_, "PUBLISHED"), "SUPERSEDED", publication_id, now),
+                _entry(state, "PUBLISHED", actor, None, now, Status="PUBLISHED", PublishedAtUtc=now)]
+
+    _commit(store, staged)
+    _commit(store, published)
+
+
 def sync_evidence(store: Store, batch_id: str, run_id: str = "manual") -> DataFrame:
     """Copy stage statuses and issue counts of a batch, and register a failed batch in the ledger."""
     now = utc_now()
@@ -281,17 +364,23 @@ def sync_evidence(store: Store, batch_id: str, run_id: str = "manual") -> DataFr
     store.replace_slice(status.select("Stage", "Status", "PublicationId", "BlockerCount", "WarningCount", "InfoCount",
                                       "Message", "RunId", "UpdatedAtUtc",
                                       synced), "ops.quality_evidence", slice_)
-    found = issue_summary(store.table("ops.dq_issue").where(F.col("BatchId") == batch_id))
-    store.replace_slice(found.select("Stage", "RuleId", "Severity", "IssueCount", synced),
-                        "ops.dq_issue_summary", slice_)
+    if store.exists("ops.dq_issue"):
+        found = issue_summary(store.table("ops.dq_issue").where(F.col("BatchId") == batch_id))
+        store.replace_slice(found.select("Stage", "RuleId", "Severity", "IssueCount", synced),
+                            "ops.dq_issue_summary", slice_)
     evidence = store.table("ops.quality_evidence").where(F.col("BatchId") == batch_id)
     publication_id = f"PUB-{batch_id}"
     bad = evidence.where("Status = 'QUALITY_FAILED'").first()
-    if bad and _state(store, publication_id) is None:
+
+    def entries(open_: dict) -> list[dict]:
+        if not bad or _state(store, publication_id) is not None:
+            return []
         state = {"PublicationId": publication_id, "BatchId": batch_id, "RunId": run_id,
                  **{c: bad[c] for c in ("BlockerCount", "WarningCount", "InfoCount")}}
-        _commit(store, [_entry(state, "QUALITY_FAILED", "pipeline", "The previous publication stays current", now,
-                               Status="QUALITY_FAILED")])
+        return [_entry(state, "QUALITY_FAILED", "pipeline", "The previous publication stays current", now,
+                       Status="QUALITY_FAILED")]
+
+    _commit(store, entries)
     return evidence.orderBy("UpdatedAtUtc")
 
 
@@ -323,7 +412,7 @@ def gold(store: Store, publication_id: str | None = None) -> dict[str, DataFrame
         if len(rows) != 1:
             raise LifecycleError(50040, "There is no single current publication")
         publication_id = rows[0]["PublicationId"]
-    return {t: store.table(f"serve.{t}").where(F.col("PublicationId") == publication_id) for t in STAR_TABLES}
+    return {t: store.table(f"serve.{t}", only={"PublicationId": [publication_id]}) for t in STAR_TABLES}
 
 
 def validity_intervals(log: DataFrame, id_: str, at: str, successor: str, open_end: datetime | None = None) -> DataFrame:

@@ -50,14 +50,14 @@ def rule_register(spark) -> DataFrame:
 # --- issues ----------------------------------------------------------------------------
 
 def issues(df: DataFrame, rule: str, entity: str, key: ColumnLike, source: ColumnLike | None = None,
-           message: str | Column | None = None) -> DataFrame:
-    """Every row of `df` as one issue of `rule`."""
+           message: str | Column | None = None, also: Sequence[Column] = ()) -> DataFrame:
+    """Every row of `df` as one issue of `rule`, with further columns of the row."""
     severity, _, text = RULES[rule]
     return df.select(
         F.lit(rule).alias("RuleId"), F.lit(severity).alias("Severity"),
         (as_col(source) if source is not None else F.lit(None)).cast("string").alias("SourceSystem"),
         F.lit(entity).alias("EntityName"), as_col(key).cast("string").alias("RecordKey"),
-        (message if isinstance(message, Column) else F.lit(message or text)).alias("Message"))
+        (message if isinstance(message, Column) else F.lit(message or text)).alias("Message"), *also)
 
 
 def evaluate_rules(df: DataFrame, rules: Mapping[str, Column], into: str = "failed_rules") -> DataFrame:
@@ -75,7 +75,7 @@ def passed(df: DataFrame, array: str = "failed_rules") -> DataFrame:
 
 
 def rule_issues(flagged: DataFrame, entity: str, key: ColumnLike, source: ColumnLike | None = None,
-                array: str = "failed_rules") -> DataFrame:
+                array: str = "failed_rules", also: Sequence[Column] = ()) -> DataFrame:
     """One issue per (row, failed rule) of an evaluated frame."""
     severity = F.create_map(*[F.lit(x) for r, (s, _, _) in RULES.items() for x in (r, s)])
     text = F.create_map(*[F.lit(x) for r, (_, _, t) in RULES.items() for x in (r, t)])
@@ -83,7 +83,7 @@ def rule_issues(flagged: DataFrame, entity: str, key: ColumnLike, source: Column
         F.col("_rule").alias("RuleId"), severity[F.col("_rule")].alias("Severity"),
         (as_col(source) if source is not None else F.lit(None)).cast("string").alias("SourceSystem"),
         F.lit(entity).alias("EntityName"), as_col(key).cast("string").alias("RecordKey"),
-        text[F.col("_rule")].alias("Message")))
+        text[F.col("_rule")].alias("Message"), *also))
 
 
 def quarantine(flagged: DataFrame, batch_id: str, array: str = "failed_rules") -> DataFrame:

@@ -29,19 +29,48 @@ def crosswalk(alias: DataFrame, stream: DataFrame, well: DataFrame, field: DataF
             .select("source_system", "well_ref", "well_id", "stream_id", "field_id", "country_id"))
 
 
+#: Days of a bucket of the period index.
+BUCKET_DAYS = 32
+
+
+def period_index(register: DataFrame, start: str, end: str, first_day: Column, last_day: Column, bucket: str,
+                 width: int = BUCKET_DAYS) -> DataFrame:
+    """The register, every period once for each bucket of days it covers between two days; empty periods are left out.
+
+    An open period is cut at the last day that is asked for, so it takes as many rows as the asked days have buckets.
+    """
+    def number(day: Column) -> Column:
+        return F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / width).cast("int")
+
+    low, high = F.greatest(F.col(start).cast("date"), first_day), F.least(F.date_sub(F.col(end).cast("date"), 1), last_day)
+    covered = register.where(F.col(start) < F.col(end)).where(low <= high)
+    return covered.withColumn(bucket, F.explode(F.sequence(number(low), number(high))))
+
+
 def join_effective(df: DataFrame, register: DataFrame, on: Mapping[str, str], date: ColumnLike,
-                   start: str, end: str, take: Sequence[str], how: str = "left") -> DataFrame:
+                   start: str, end: str, take: Sequence[str], how: str = "left",
+                   span: tuple[object, object] | None = None, width: int = BUCKET_DAYS) -> DataFrame:
     """Join the register row valid on `date` (start <= date < end) for equal keys.
 
-    `on` maps columns of `df` to columns of the register. The equality is the join key and the
-    period a residual predicate; Spark broadcasts the register when it is below the configured
-    threshold and otherwise sort-merges on the key with skewed partitions split at run time.
+    `on` maps columns of `df` to columns of the register. Key and bucket of days are equality keys, so a row meets
+    the periods of its bucket only, however many its key has, and a hot key spreads over its buckets. The period
+    itself is the residual predicate. `span` is the first and last day of `df`; without it one pass over the date
+    finds them. Spark broadcasts the register when it is below the configured threshold and otherwise sort-merges with
+    skewed partitions split at run time.
     """
-    reg = register.select(*[F.col(r).alias(f"_k_{r}") for r in on.values()],
-                          F.col(start).alias("_from"), F.col(end).alias("_to"),
-                          *[F.col(t).alias(f"_t_{t}") for t in take])
     d = as_col(date)
-    condition: Column = (d >= F.col("_from")) & (d < F.col("_to"))
+    day = d.cast("date")
+    if span is None:
+        ends = df.agg(F.min(day).alias("first"), F.max(day).alias("last"))
+        first, last = ends.select("first").scalar(), ends.select("last").scalar()
+    else:
+        first, last = (F.lit(x).cast("date") for x in span)
+    indexed = period_index(register, start, end, first, last, "_bucket", width)
+    reg = indexed.select(*[F.col(r).alias(f"_k_{r}") for r in on.values()], "_bucket",
+                         F.col(start).alias("_from"), F.col(end).alias("_to"),
+                         *[F.col(t).alias(f"_t_{t}") for t in take])
+    bucket = F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / width).cast("int")
+    condition: Column = (bucket == F.col("_bucket")) & (d >= F.col("_from")) & (d < F.col("_to"))
     for left, right in on.items():
         condition = condition & (F.col(left) == F.col(f"_k_{right}"))
     return df.join(reg, condition, how).select(*[F.col(c) for c in df.columns],

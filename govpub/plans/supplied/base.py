@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +24,10 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def scratch(self, name: str) -> str:
+        """A new folder below the warehouse, which driver and executors share."""
+        return f"{self.spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/govpub-{name}-{uuid.uuid4().hex}"
+
     def lineitem(self) -> DataFrame:
         return self.raw("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus",

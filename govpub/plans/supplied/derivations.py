@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from govpub.functions.columns import MONEY, half_up, hours_between
@@ -52,6 +52,57 @@ def effective_dated_share(t: Tables) -> DataFrame:
         out_num(F.sum(half_up(F.col("o_totalprice") * F.col("share"), MONEY))).alias("net"))
 
 
+def stock_register(t: Tables) -> DataFrame:
+    """What a supplier had shipped up to each of its shipping days: one period per supplier and day, the last one open."""
+    daily = t.lineitem().groupBy("l_suppkey", "l_shipdate").agg(F.sum("l_quantity").alias("quantity"))
+    days = Window.partitionBy("l_suppkey").orderBy("l_shipdate")
+    return daily.select(F.col("l_suppkey").alias("supplier"), F.col("l_shipdate").alias("valid_from"),
+                        F.coalesce(F.lead("l_shipdate").over(days), F.lit("9999-12-31").cast("date")).alias("valid_to"),
+                        F.sum("quantity").over(days).alias("shipped"))
+
+
+@query("""
+WITH daily AS (SELECT l_suppkey AS k, CAST(l_shipdate AS DATE) AS a, sum(CAST(l_quantity AS DECIMAL(19,6))) AS q
+               FROM lineitem GROUP BY ALL),
+reg AS (SELECT k, a, coalesce(lead(a) OVER w, DATE '9999-12-31') AS b, sum(q) OVER w AS shipped FROM daily
+        WINDOW w AS (PARTITION BY k ORDER BY a)),
+asked AS (SELECT l_suppkey AS k, CAST(o_orderdate AS DATE) AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
+SELECT CAST(asked.k AS BIGINT) AS supplier, count(*) AS lines, count(*) FILTER (shipped IS NULL) AS before_first,
+       CAST(sum(shipped) AS DOUBLE) AS shipped_at_order
+FROM asked LEFT JOIN reg ON asked.k = reg.k AND d >= a AND d < b GROUP BY 1
+""")
+def effective_dated_stock(t: Tables) -> DataFrame:
+    """What the supplier of every line had shipped on the order's day, from a register with very many periods per key."""
+    order_day = t.orders().select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
+    asked = t.lineitem().select("l_orderkey", "l_suppkey").join(order_day, "l_orderkey")
+    dated = registry.join_effective(asked, stock_register(t), {"l_suppkey": "supplier"}, "o_orderdate", "valid_from",
+                                    "valid_to", ["shipped"])
+    return dated.groupBy(out_int("l_suppkey").alias("supplier")).agg(
+        out_int(count()).alias("lines"), out_int(F.count_if(F.col("shipped").isNull())).alias("before_first"),
+        out_num(F.sum("shipped")).alias("shipped_at_order"))
+
+
+@query("""
+WITH e AS (SELECT l_suppkey AS k, CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_partkey % 24 AS INTEGER)) AS a,
+                  CAST(l_shipdate AS TIMESTAMP) + to_hours(CAST(l_partkey % 24 + l_quantity AS INTEGER)) AS b FROM lineitem),
+m AS (SELECT *, max(b) OVER (PARTITION BY k ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+      FROM e WHERE b > a),
+g AS (SELECT *, sum(CASE WHEN before IS NULL OR a > before THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY a, b) AS no FROM m),
+u AS (SELECT k, no, min(a) AS a, max(b) AS b FROM g GROUP BY ALL)
+SELECT CAST(k AS BIGINT) AS supplier, count(*) AS outages, CAST(sum(date_diff('hour', a, b)) AS BIGINT) AS hours,
+       CAST(max(date_diff('hour', a, b)) AS BIGINT) AS longest FROM u GROUP BY k
+""")
+def merged_outages(t: Tables) -> DataFrame:
+    """Outages of a supplier (one per line, as many hours as its quantity) that overlap or touch, as one."""
+    hour = (F.datediff("l_shipdate", F.lit("1970-01-01").cast("date")) * 24 + F.col("l_partkey") % 24).cast("long")
+    events = t.lineitem().select("l_suppkey", F.timestamp_seconds(hour * 3600).alias("start_utc"),
+                                 F.timestamp_seconds((hour + F.col("l_quantity").cast("int")) * 3600).alias("end_utc"))
+    merged = derive.merged_intervals(events, ["l_suppkey"], "start_utc", "end_utc")
+    hours = hours_between("start_utc", "end_utc")
+    return merged.groupBy(out_int("l_suppkey").alias("supplier")).agg(
+        out_int(count()).alias("outages"), out_int(F.sum(hours)).alias("hours"), out_int(F.max(hours)).alias("longest"))
+
+
 # --- months and days -------------------------------------------------------------------
 
 def nation_months(t: Tables) -> DataFrame:

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from govpub.functions.columns import key_text, known_true
 from govpub.functions.skew import latest_by
 from govpub.operators import ingest, quality, registry, resolve
-from govpub.plans.supplied.base import Tables, count, out_int, out_num, out_text, query
+from govpub.plans.supplied.base import ORACLES, Tables, count, out_int, out_num, out_text, query
 from govpub.sources.contract import decimal_misfits
+from govpub.sources.store import Store
+from govpub.streaming import revisions
 
 # --- landing ---------------------------------------------------------------------------
 
@@ -73,7 +75,8 @@ _CONTENT = {
     "conversations": ["conv_id", "turn", "role", "text"],
 }
 _FOLD_SQL = " UNION ALL ".join(
-    f"SELECT '{e}' AS entity_name, sha256(concat_ws('|', {', '.join(c)})) AS h FROM {e}" for e, c in _CONTENT.items())
+    f"SELECT '{e}' AS entity_name, sha256(concat_ws('|', " + ", ".join(rf"coalesce(CAST({x} AS VARCHAR), '\N')" for x in c)
+    + f")) AS h FROM {e}" for e, c in _CONTENT.items())
 
 
 @query(f"""
@@ -82,7 +85,7 @@ FROM ({_FOLD_SQL}) GROUP BY entity_name
 """)
 def content_fingerprint(t: Tables) -> DataFrame:
     """Order-free content fingerprint of typed and text tables, reproducible by any engine that has SHA-256."""
-    frames = {e: t.raw(e).selectExpr(*[f"{c} AS c{k}" for k, c in enumerate(cols)]) for e, cols in _CONTENT.items()}
+    frames = {e: t.raw(e).selectExpr(*[f"{c} AS c{k:02d}" for k, c in enumerate(cols)]) for e, cols in _CONTENT.items()}
     return ingest.content_digests(frames).select("entity_name", out_int("row_count").alias("row_count"),
                                                  out_text("content").alias("content"))
 
@@ -121,6 +124,11 @@ def deliveries(t: Tables) -> DataFrame:
 OBSERVATION = ["l_orderkey", "l_linenumber"]
 PAYLOAD = ["l_partkey", "l_suppkey", "l_quantity", "l_shipdate"]
 
+
+def resolved_lines(sent: DataFrame) -> resolve.Resolved:
+    return resolve.resolved(sent, OBSERVATION, "revision", "seq", "record", PAYLOAD)
+
+
 _DELIVERIES = """
 deliveries AS (
  SELECT l_orderkey, l_linenumber, CAST(year(l_shipdate) AS BIGINT) AS revision,
@@ -140,7 +148,7 @@ FROM deliveries GROUP BY 1, 2, 3 HAVING count(DISTINCT payload) > 1
 """)
 def revision_conflicts(t: Tables) -> DataFrame:
     """Revisions delivered with different payloads."""
-    found = resolve.resolve_revisions(deliveries(t), OBSERVATION, "revision", "seq", "record", PAYLOAD).conflicts
+    found = resolve.conflicts_of(resolved_lines(deliveries(t)))
     return found.select("l_orderkey", out_int("l_linenumber").alias("l_linenumber"),
                         out_int("revision").alias("revision"), out_int("deliveries").alias("deliveries"))
 
@@ -158,8 +166,7 @@ FROM ranked WHERE delivery_rank > 1 GROUP BY 1, 2
 def duplicate_deliveries(t: Tables) -> DataFrame:
     """Every line is sent twice, unchanged; the deliveries after the first of each clean revision."""
     first = deliveries(t)
-    found = resolve.resolve_revisions(first.unionByName(first), OBSERVATION, "revision", "seq", "record",
-                                      PAYLOAD).duplicates
+    found = resolve.duplicates_of(resolved_lines(first.unionByName(first)))
     return found.groupBy("revision", "l_returnflag").agg(
         out_int(count()).alias("duplicates"), out_num(F.sum("l_quantity")).alias("quantity")).withColumn(
         "revision", out_int("revision"))
@@ -183,8 +190,8 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, revision, seq,
 """)
 def latest_revision(t: Tables) -> DataFrame:
     """First delivery of the highest revision; an observation in conflict stays unresolved."""
-    return _latest_columns(resolve.resolve_revisions(deliveries(t), OBSERVATION, "revision", "seq", "record",
-                                                     PAYLOAD).latest)
+    sent = deliveries(t)
+    return _latest_columns(resolve.latest_of(resolved_lines(sent), sent.columns))
 
 
 @query(f"""
@@ -198,8 +205,8 @@ SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, revision, seq,
 """)
 def latest_clean_revision(t: Tables) -> DataFrame:
     """The same with conflicts skipped: the highest revision that is clean."""
-    return _latest_columns(resolve.resolve_revisions(deliveries(t), OBSERVATION, "revision", "seq", "record",
-                                                     PAYLOAD, on_conflict="older").latest)
+    sent = deliveries(t)
+    return _latest_columns(resolve.latest_of(resolved_lines(sent), sent.columns, on_conflict="older"))
 
 
 @query(f"""
@@ -224,6 +231,21 @@ def incremental_latest(t: Tables) -> DataFrame:
     return _latest_columns(resolve.latest_of(state, [*sent.columns, "deliveries"]), out_int("deliveries").alias("deliveries"))
 
 
+@query(ORACLES["latest_revision"])
+def streamed_latest(t: Tables) -> DataFrame:
+    """Latest revisions by a stateful stream over files that arrive in three runs; the second run ends with a compaction,
+    and every run continues from the checkpoint of the one before."""
+    sent, folder = deliveries(t), t.scratch("stream")
+    store, landing = Store(t.spark, root=folder), f"{folder}/landing"
+    args = (OBSERVATION, "revision", "seq", "record", PAYLOAD, "silver.line_revision", f"{folder}/checkpoint")
+    for k, flag in enumerate(("R", "N", "A")):
+        sent.where(F.col("l_returnflag") == flag).write.mode("append").parquet(landing)
+        revisions.follow(store, landing, sent.schema, lambda rows: rows, "lines", *args).awaitTermination()
+        if k == 1:
+            revisions.compact(store, "silver.line_revision", [*OBSERVATION, "revision"])
+    return _latest_columns(revisions.latest(store, "silver.line_revision", OBSERVATION, "revision", sent.columns))
+
+
 @query("""
 WITH ranked AS (SELECT user_id, event_id, event_type, CAST(value AS DECIMAL(19,6)) AS v,
   row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS r FROM events)

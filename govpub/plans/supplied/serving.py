@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from govpub.functions.columns import VOLUME, half_up, key_text, safe_ratio
+from govpub.functions.columns import MONEY, VOLUME, half_up, key_text, safe_ratio
 from govpub.operators import derive, graph, measures, publish, recon, registry, resolve
 from govpub.operators.quality import passed
 from govpub.plans.supplied.base import Tables, count, money, out_int, out_num, out_text, query
 from govpub.plans.supplied.derivations import _SHARES, share_register
 from govpub.plans.supplied.governance import _CHECKED, _FEEDS, approved_places, two_feeds, unit_register
+from govpub.sources.extract import in_parallel
+from govpub.sources.store import Store
+from govpub.sources.versions import VersionedTable
 
 # --- the whole chain -------------------------------------------------------------------
 
@@ -289,6 +292,9 @@ def entitlement_filter(t: Tables) -> DataFrame:
 
 # --- publications ----------------------------------------------------------------------
 
+AS_OF = datetime(1999, 6, 1, tzinfo=timezone.utc)
+
+
 def publication_log(t: Tables) -> DataFrame:
     """Every order as a chain of versions: line n is superseded by line n + 1 of the order."""
     lines = t.lineitem().groupBy("l_orderkey", "l_linenumber").agg(
@@ -329,14 +335,55 @@ SELECT CAST(year(pub_at) AS BIGINT) AS published_year, count(*) AS versions, cou
 FROM iv WHERE pub_at <= TIMESTAMP '1999-06-01' AND valid_until >= TIMESTAMP '1999-06-01' GROUP BY 1
 """)
 def as_of_lookup(t: Tables) -> DataFrame:
-    """What was current at one past instant."""
-    at = F.lit("1999-06-01").cast("timestamp")
-    seen = intervals(t).where((F.col("published_at") <= at) & (F.col("valid_until") >= at))
+    """What was current at one past instant, read from the version that the log had then.
+
+    The log of versions is loaded in three commits dated 1995, 1999 and 2100; each adds what was published since.
+    """
+    log, table = publication_log(t), VersionedTable(t.spark, t.scratch("as-of"))
+    since = None
+    for until in (datetime(1995, 1, 1, tzinfo=timezone.utc), AS_OF, datetime(2100, 1, 1, tzinfo=timezone.utc)):
+        part = log.where(F.col("published_at") <= F.lit(until))
+        table.write(part if since is None else part.where(F.col("published_at") > F.lit(since)), "append", at=until)
+        since = until
+    seen = publish.validity_intervals(table.read(at=AS_OF + timedelta(hours=1)), "publication_id", "published_at",
+                                      "superseded_by", since)
+    seen = seen.where(F.col("valid_until") >= F.lit(AS_OF))
     return seen.groupBy(out_int(F.year("published_at")).alias("published_year")).agg(
         out_int(count()).alias("versions"), out_int(F.countDistinct("l_orderkey")).alias("orders"),
         out_num(F.sum("quantity")).alias("quantity"))
 
 
+WRITERS = 4
+
+
+@query("""
+WITH p AS (SELECT c_nationkey AS n, sum(CAST(o_totalprice AS DECIMAL(19,4))) AS total
+           FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY 1)
+SELECT count(*) AS publications, CAST(sum(total) AS DOUBLE) AS amount, CAST(3 * count(*) - 1 AS BIGINT) AS ledger_rows,
+       CAST(3 * count(*) - 1 AS BIGINT) AS last_number, CAST(count(*) - 1 AS BIGINT) AS superseded,
+       CAST(least(count(*), 1) AS BIGINT) AS current_ones FROM p
+""")
+def ledger_of_many_writers(t: Tables) -> DataFrame:
+    """Publications of all nations staged and published by several writers at once: every transition counts once, none is
+    lost, and exactly one publication is the current one."""
+    customer = t.raw("customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    totals = t.orders().join(customer, "o_custkey").groupBy("c_nationkey").agg(F.sum("o_totalprice").alias("total"))
+    store = Store(t.spark, root=t.scratch("ledger"))
+
+    def transitions(row) -> None:
+        publish.announce(store, f"PUB-{row['c_nationkey']}", {"GrossBoe": str(row["total"])})
+
+    in_parallel(transitions, totals.collect(), WRITERS)  # one row per nation
+    rows = publish.ledger(store)
+    total = F.get_json_object("ControlTotalsJson", "$.GrossBoe").cast(MONEY)
+    last = publish.publications(store).agg(
+        out_int(count()).alias("publications"), out_num(F.sum(total)).alias("amount"),
+        out_int(F.count_if(F.col("Status") == "SUPERSEDED")).alias("superseded"),
+        out_int(F.count_if(F.col("Status") == "PUBLISHED")).alias("current_ones"))
+    return rows.agg(out_int(F.countDistinct("Seq")).alias("ledger_rows"), out_int(F.max("Seq")).alias("last_number")
+                    ).join(last)
+
+
 @query("""
 WITH a AS (SELECT o_custkey AS k, sum(CAST(o_totalprice AS DECIMAL(19,4))) AS v FROM orders
            WHERE o_orderdate < TIMESTAMP '2000-01-01' GROUP BY 1),
@@ -346,9 +393,17 @@ FROM a FULL JOIN b USING (k) WHERE a.v IS DISTINCT FROM b.v
 """)
 def version_delta(t: Tables) -> DataFrame:
     """Customers whose total differs between two versions of the orders."""
+    table = VersionedTable(t.spark, t.scratch("delta"))
+    bucket = (F.col("o_custkey") % 16).cast("string").alias("bucket")
+    late = t.orders().where("o_orderdate >= '2000-01-01'").select("o_custkey").distinct()
+
     def version(df):
-        return df.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("amount"))
-    old, new = version(t.orders().where("o_orderdate < '2000-01-01'")), version(t.orders())
+        return df.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("amount")).withColumn("bucket", bucket)
+    table.write(version(t.orders().where("o_orderdate < '2000-01-01'")), "replace", ["bucket"])
+    moved = {r[0] for r in late.select(bucket).distinct().collect()}  # only the slices of customers with later orders
+    table.write(version(t.orders()).where(F.col("bucket").isin(list(moved))), "replace slices", ["bucket"],
+                lambda part: part["slice"]["bucket"] in moved)
+    old, new = table.changed(1, 2)
     return publish.delta(old, new, ["o_custkey"], ["amount"]).select(
         "o_custkey", out_num("amount_old").alias("amount_old"), out_num("amount_new").alias("amount_new"))
 
@@ -368,6 +423,49 @@ def candidate_vs_current(t: Tables) -> DataFrame:
                                  "CANDIDATE": version(t.orders())})
 
 
+# --- chains ----------------------------------------------------------------------------
+
+@query("""
+WITH o AS (SELECT o_custkey AS c, o_orderkey AS id, count(*) OVER w - row_number() OVER v AS after, last_value(o_orderkey) OVER w AS last
+           FROM orders WINDOW v AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey),
+           w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING))
+SELECT id AS o_orderkey, CASE WHEN c % 10 <> 0 THEN last END AS end_id, CAST(CASE WHEN c % 10 <> 0 THEN after END AS BIGINT) AS steps,
+       c % 10 = 0 AS cyclic FROM o
+""")
+def supersession_chains(t: Tables) -> DataFrame:
+    """Where the chain of every order ends: an order is superseded by the customer's next one. The last order of a tenth of
+    the customers points back at the first, so their chains are cycles."""
+    turn = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    back = F.when(F.col("o_custkey") % 10 == 0, F.first("o_orderkey").over(turn))
+    links = t.orders().select(F.col("o_orderkey").alias("id"), F.coalesce(F.lead("o_orderkey").over(turn), back).alias("next"))
+    store = Store(t.spark, root=t.scratch("chains"))
+
+    def save(df: DataFrame, name: str) -> DataFrame:
+        store.write(df, f"work.round_{name}")
+        return store.table(f"work.round_{name}")
+
+    return graph.chain_ends(links, save).withColumnRenamed("id", "o_orderkey")
+
+
+@query("""
+WITH r AS (SELECT r_name, n_name, o_custkey, l_suppkey, l_partkey FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+           JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT CAST(grouping(r_name, n_name) AS BIGINT) AS level, r_name, n_name, count(DISTINCT o_custkey) AS customers,
+       count(DISTINCT l_suppkey) AS suppliers, count(DISTINCT l_partkey) AS parts
+FROM r GROUP BY ROLLUP (r_name, n_name)
+""")
+def distinct_matrix(t: Tables) -> DataFrame:
+    """Distinct customers, suppliers and parts by region, nation and in all, from one pass over the lines."""
+    customer = t.raw("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
+    places = t.orders().join(customer, "o_custkey").join(t.nations(), "n_nationkey").select(
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "r_name", "n_name")
+    rows = t.lineitem().select("l_orderkey", "l_suppkey", "l_partkey").join(places, "l_orderkey")
+    found = measures.distinct_rollup(rows, ["r_name", "n_name"],
+                                     {"customers": "o_custkey", "suppliers": "l_suppkey", "parts": "l_partkey"})
+    return found.select(out_int("level").alias("level"), "r_name", "n_name",
+                        *[out_int(c).alias(c) for c in ("customers", "suppliers", "parts")])
+
+
 # --- graph -----------------------------------------------------------------------------
 
 NODE_KEYS = {"Line": "line_id", "Order": "o_orderkey", "Customer": "c_custkey", "Nation": "n_nationkey",

@@ -15,10 +15,28 @@ from govpub.sources.store import Store
 MAX_PARALLEL = 8
 
 
-def read_jdbc_batch(spark: SparkSession, options: Mapping[str, str], table: str, batch_id: str) -> DataFrame:
-    """One batch of a relational table; the equality reaches the database as a WHERE clause."""
-    reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
-    return reader.load().where(F.col("batch_id") == batch_id)
+def read_jdbc_batch(spark: SparkSession, options: Mapping[str, str], table: str, batch_id: str,
+                    split: Sequence[str] = ()) -> DataFrame:
+    """One batch of a relational table; the equality reaches the database as a WHERE clause. With the predicates of
+    `split_ranges` each range is a query and a task of its own."""
+    if not split:
+        reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
+        return reader.load().where(F.col("batch_id") == batch_id)
+    rest = {k: v for k, v in options.items() if k != "url"}
+    own = "batch_id = '" + batch_id.replace("'", "''") + "'"
+    return spark.read.jdbc(options["url"], table, predicates=[f"{own} AND ({p})" for p in split], properties=rest)
+
+
+def split_ranges(df: DataFrame, column: str, ranges: int) -> list[str]:
+    """Predicates that cut the rows into ranges of about equal size by a numeric column: every row meets exactly one of
+    them. The bounds are percentiles, so a sequence with gaps gives no empty and no overlong range."""
+    shares = [k / ranges for k in range(1, ranges)]
+    found = df.agg(F.percentile_approx(column, shares, 10_000)).first()[0] if shares else None
+    bounds = sorted(set(found or []))
+    if not bounds:
+        return [f"{column} IS NULL OR {column} IS NOT NULL"]
+    return [f"{column} IS NULL OR {column} <= {bounds[0]}",
+            *[f"{column} > {a} AND {column} <= {b}" for a, b in zip(bounds, bounds[1:])], f"{column} > {bounds[-1]}"]
 
 
 def read_files_batch(spark: SparkSession, root: str, table: str, batch_id: str, fmt: str = "parquet") -> DataFrame:
@@ -39,6 +57,19 @@ def load_csv(store: Store, path: str, table: Table, batch_id: str, run_id: str =
     return append_new(store, rows, f"bronze.{table.entity}", batch_id, run_id, path)
 
 
+ENTITIES = "ops.source_entity"
+
+
+def save_entities(store: Store, config: DataFrame) -> None:
+    """Keep the entity table: which entities are pulled and landed, and in which order."""
+    store.write(config.select("ordinal", "entity_name", "source_table", "entity_kind", "enabled"), ENTITIES)
+
+
+def entities(store: Store) -> DataFrame:
+    """The entity table; before one is saved, all delivered entities."""
+    return store.table(ENTITIES) if store.exists(ENTITIES) else entity_config(store.spark)
+
+
 def entity_config(spark: SparkSession) -> DataFrame:
     """The delivered entities as rows (ordinal, entity_name, source_table, entity_kind, enabled)."""
     rows = [(i + 1, t.entity, t.name, t.kind, True) for i, t in enumerate(SOURCE_TABLES)]

@@ -16,7 +16,7 @@ from govpub.operators import derive, ingest, measures, quality, recon, registry,
 from govpub.sources import contract
 from govpub.sources.extract import copy_batch, entity_config, load_csv, read_sequence_range
 from govpub.sources.registers import REGISTERS, save_contracts
-from govpub.sources.store import Store, fingerprint, read_landed
+from govpub.sources.store import Store, read_landed
 from govpub.streaming.bronze import append_stream
 
 DAY = date(2025, 1, 10)
@@ -72,7 +72,6 @@ def test_csv_load_loses_nothing(spark, scratch):
     table = contract.SOURCE_BY_NAME["ref.fx_rate"]
     header = ",".join(table.schema.names)
     store = Store(spark, "csv_")
-    store.ensure("bronze")
     (scratch / "a.csv").write_text(f"{header}\nB0,2025-01-01,USD,1.123456789\nB0,2025-01-02,USD,2\n")
     assert load_csv(store, str(scratch / "a.csv"), table, "B0") == 2
     assert load_csv(store, str(scratch / "a.csv"), table, "B0") == 0  # loaded again, nothing is added
@@ -84,7 +83,6 @@ def test_csv_load_loses_nothing(spark, scratch):
 
 def test_registers_are_kept_per_version(spark):
     store = Store(spark, "reg_")
-    store.ensure("ops")
     registers = {name: spark.createDataFrame([tuple(f"{c} {k}" for c in columns) for k in range(3)], columns)
                  for name, (_, _, columns) in REGISTERS.items()}
     for version in ("1.0", "1.0", "2.0"):
@@ -113,7 +111,6 @@ def test_schema_and_decimal_checks(spark):
 
 def test_slices(spark):
     store = Store(spark, "slice_")
-    store.ensure("ops")
     frame = lambda *rows: spark.createDataFrame(list(rows), "v int")
     store.replace_slice(frame((1,), (2,)), "ops.t", {"BatchId": "B'0", "Stage": "R"})
     store.replace_slice(frame((3,)), "ops.t", {"BatchId": "B'0", "Stage": "M"})
@@ -126,10 +123,14 @@ def test_slices(spark):
 
 def test_fingerprint_ignores_order(spark):
     df = spark.range(100).withColumn("v", F.col("id") * 2)
-    assert fingerprint(df) == fingerprint(df.orderBy(F.desc("id")).repartition(3))
-    assert fingerprint(df) != fingerprint(df.withColumn("v", F.col("v") + F.when(F.col("id") == 7, 1).otherwise(0)))
-    one, two = ({"a": df}, {"a": df.where("id < 99")})
-    changed = ingest.check_resend(ingest.batch_fingerprints(one), ingest.batch_fingerprints(two))
+    def of(frame):
+        return ingest.content_digests({"a": frame}).first()
+
+    assert of(df) == of(df.orderBy(F.desc("id")).repartition(3)) == of(df.select("v", "id"))
+    assert of(df) != of(df.withColumn("v", F.col("v") + F.when(F.col("id") == 7, 1).otherwise(0)))
+    left, right = (spark.createDataFrame([row], "x string, y string, z string") for row in (("a", None, "b"), ("a", "b", None)))
+    assert of(left) != of(right) and of(df.where("false"))["content"] == "0"
+    changed = ingest.check_resend(ingest.content_digests({"a": df}), ingest.content_digests({"a": df.where("id < 99")}))
     assert [r[0] for r in changed.collect()] == ["a"]
 
 
@@ -150,7 +151,6 @@ def test_copy_batch_and_sequence_range(spark, scratch):
 
 def test_watermark_is_frozen_until_committed(spark):
     store = Store(spark, "wm_")
-    store.ensure("ops")
     assert ingest.pull_window(store, "feed", 100) == (0, 100)
     assert ingest.pull_window(store, "feed", 170) == (0, 100)
     ingest.commit_window(store, "feed", 100)
@@ -168,7 +168,6 @@ def test_admission(spark):
 
 def test_stream_appends_once(spark, scratch):
     store = Store(spark, "stream_")
-    store.ensure("bronze")
     schema = spark.createDataFrame([], "batch_id string, v int").schema
     landing = str(scratch / "landing")
     spark.createDataFrame([("B0", 1), ("B0", 1), ("B0", 2)], schema).write.parquet(landing)
@@ -226,10 +225,9 @@ def test_overlaps_against_pairs(spark):
 EVENTS = "source_system string, observation_id string, revision int, change_seq long, change_id string, v string"
 
 
-def revisions(spark, rows, **options):
+def revisions(spark, rows):
     df = spark.createDataFrame(rows, EVENTS)
-    return resolve.resolve_revisions(df, ["source_system", "observation_id"], "revision", "change_seq", "change_id",
-                                     ["v"], **options)
+    return resolve.resolved(df, ["source_system", "observation_id"], "revision", "change_seq", "change_id", ["v"])
 
 
 ROWS = [("S", "clean", 1, 1, "c1", "x"), ("S", "clean", 2, 2, "c2", "y"), ("S", "clean", 2, 3, "c3", "y"),
@@ -239,12 +237,17 @@ ROWS = [("S", "clean", 1, 1, "c1", "x"), ("S", "clean", 2, 2, "c2", "y"), ("S",
 
 def test_r06_r10_latest(spark):
     out = revisions(spark, ROWS)
-    assert [(r["observation_id"], r["change_id"]) for r in out.latest.collect()] == [("clean", "c2")]
-    assert {(r["observation_id"], r["revision"], r["deliveries"]) for r in out.conflicts.collect()} == {
+    columns = ["observation_id", "change_id"]
+    assert [tuple(r) for r in resolve.latest_of(out, columns).collect()] == [("clean", "c2")]
+    assert {(r["observation_id"], r["revision"], r["deliveries"]) for r in resolve.conflicts_of(out).collect()} == {
         ("clash", 2, 2), ("nulls", 1, 2)}
-    assert sorted(r["change_id"] for r in out.duplicates.collect()) == ["c3", "c4"]
-    older = revisions(spark, ROWS, on_conflict="older")
-    assert {r["change_id"] for r in older.latest.collect()} == {"c2", "c5"}
+    assert sorted(r["change_id"] for r in resolve.duplicates_of(out).collect()) == ["c3", "c4"]
+    assert {r["change_id"] for r in resolve.latest_of(out, columns, "older").collect()} == {"c2", "c5"}
+
+
+def test_a_missing_revision_is_the_lowest(spark):
+    out = revisions(spark, [("S", "o", None, 1, "c1", "x"), ("S", "o", 2, 2, "c2", "y"), ("S", "p", None, 3, "c3", "z")])
+    assert {tuple(r) for r in resolve.latest_of(out, ["observation_id", "change_id"]).collect()} == {("o", "c2"), ("p", "c3")}
 
 
 def test_observation_rules(spark):
@@ -334,9 +337,9 @@ def test_repeats_of_a_revision_are_counted(spark):
     rows = [("o", 1, 7, "c1", "B0", "x"), ("o", 1, 7, "c1", "B1", "x"), ("o", 1, 7, "c1", "B1", "x"), ("o", 1, 9, "c2", "B1", "x"),
             ("p", 1, 1, "c3", "B0", "x"), ("q", 1, 1, "c4", "B0", "x"), ("q", 1, 2, "c5", "B0", "y")]
     df = spark.createDataFrame(rows, "obs string, rev int, seq long, change string, batch string, v string")
-    found = resolve.resolve_revisions(df, ["obs"], "rev", "seq", "change", ["v"])
-    assert sorted(r["change"] for r in found.duplicates.collect()) == ["c1", "c1", "c2"]  # four deliveries
-    assert [(r["obs"], r["deliveries"]) for r in found.conflicts.collect()] == [("q", 2)]
+    found = resolve.resolved(df, ["obs"], "rev", "seq", "change", ["v"])
+    assert sorted(r["change"] for r in resolve.duplicates_of(found).collect()) == ["c1", "c1", "c2"]  # four deliveries
+    assert [(r["obs"], r["deliveries"]) for r in resolve.conflicts_of(found).collect()] == [("q", 2)]
 
 
 def test_a_missing_end_or_date_is_an_issue_not_a_loss(spark):
@@ -474,7 +477,6 @@ def test_answer_scores(spark):
 
 def test_gate(spark):
     store = Store(spark, "gate_")
-    store.ensure("ops")
     ingest.record_status(store, "B0", "S1", "DONE")
     with pytest.raises(ingest.PipelineError) as error:
         quality.gate(store, "B0", {"S1": "DONE", "S2": "DONE"}, "PUB-B0")
@@ -513,8 +515,15 @@ def test_revisions_resolved_batch_by_batch(spark):
     for a, b in ((state.firsts, whole.firsts), (state.further, whole.further)):
         assert Counter(map(tuple, a.collect())) == Counter(map(tuple, b.collect()))
     assert whole.firsts.count() + whole.further.count() == len(rows)
-    full = df.where("revision IS NOT NULL")
+    nulls_first = lambda values: tuple((v is not None, v) for v in values)
     for rule in ("unresolved", "older"):
-        want = resolve.latest_revisions(full, *key, on_conflict=rule).collect()
-        assert Counter(map(tuple, resolve.latest_of(resolve.resolved(full, *key), df.columns, rule).collect())) == Counter(
-            map(tuple, want))
+        want = []
+        for observation in {r[:2] for r in rows}:
+            of = [r for r in rows if r[:2] == observation]
+            for revision in sorted({r[2] for r in of}, key=lambda v: nulls_first([v]), reverse=True):
+                sent = [r for r in of if r[2] == revision]
+                if len({r[5] for r in sent}) == 1:
+                    want.append(min(sent, key=lambda r: nulls_first(r[3:])))
+                if rule == "unresolved" or len({r[5] for r in sent}) == 1:
+                    break
+        assert Counter(map(tuple, resolve.latest_of(whole, df.columns, rule).collect())) == Counter(want)

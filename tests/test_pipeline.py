@@ -30,8 +30,8 @@ def chain(spark, feed, tmp_path_factory):
     store = Store(spark, "e2e_")
     concepts = tmp_path_factory.mktemp("registers") / "alignment.csv"
     concepts.write_text("SilverTable,SourceTable,Concept,AlignmentStatus\nsilver.well,ref.well,Well,ALIGNED\n")
-    settings = pipeline.Settings(landing=str(tmp_path_factory.mktemp("landing")), alignment=str(concepts))
-    store.ensure()
+    settings = pipeline.Settings(landing=str(tmp_path_factory.mktemp("landing")), alignment=str(concepts),
+                                 slice_format="yyyy-MM-dd")
     publish.save_approvers(store, [(APPROVER, "Data owner", "PRODUCTION", True),
                                    ("old@example.org", "Former owner", "PRODUCTION", False)])
     outcome = {}
@@ -324,18 +324,18 @@ def test_failed_rerun_of_a_pending_candidate_is_refused(chain):
     assert [r["PublicationId"] for r in publish.current_publication(store).collect()] == ["PUB-S2"]
 
 
+def kept_state(store):
+    """Every kept table without the stamp of the batch that wrote a row."""
+    return {t: pipeline.kept_rows(store, t).drop("decided_in_batch", "quarantined_in_batch")
+            for t in pipeline.KEPT}
+
+
 def test_kept_revisions_equal_all_deliveries_at_once(chain):
     store, settings = chain["store"], chain["settings"]
-    ledger = {r["BatchId"]: r["StateId"] for r in store.table(pipeline.REVISION_STATE).collect()}
-    assert "S2" in ledger and len(ledger) == 2  # the last batch and the one it started from
-    kept = pipeline.revision_slice(store, ledger["S2"])
     whole = resolve.resolved(pipeline.canonical_events(store, settings), *pipeline.REVISION_KEY, pipeline.payload_columns())
-    for a, b in ((kept.firsts, whole.firsts), (kept.further, whole.further)):
+    for table, b in ((pipeline.REVISION, whole.firsts), (pipeline.REDELIVERY, whole.further)):
+        a = pipeline.kept_rows(store, table)
         assert a.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-    again = pipeline.resolve_batch(store, settings, "S2")
-    assert again.firsts.exceptAll(whole.firsts).isEmpty() and again.firsts.count() == whole.firsts.count()
-    assert store.table(pipeline.REVISION_STATE).count() == 2
-    assert store.table(pipeline.REVISION).select("StateId").distinct().count() == 2
 
 
 def test_a_batch_reads_its_own_feed_partitions_only(chain):
@@ -343,10 +343,47 @@ def test_a_batch_reads_its_own_feed_partitions_only(chain):
     feeds = [f for f in new.inputFiles() if "/batch_id=" in f]
     assert feeds and all("/batch_id=S2/" in f for f in feeds)
     # earlier deliveries of the touched observations come out of the kept state, a small part of all
-    touched = chain["store"].table("silver.production_touched").count()
+    touched = chain["store"].table(pipeline.TOUCHED).count()
     assert new.count() <= touched < pipeline.canonical_events(chain["store"], chain["settings"]).count()
 
 
+def test_changed_slices_equal_a_full_run(chain):
+    """The last batch once more from the state before it, then all slices anew: the same rows in every kept table."""
+    store, settings = chain["store"], chain["settings"]
+    state = {r["BatchId"]: r for r in store.table(pipeline.STATE).collect()}
+    assert state["B0"]["Slices"] is None and state["S2"]["Slices"] == [str(P.S_DAY)]
+    first = kept_state(store)
+    counts = pipeline.conform_production(store, settings, "S2")
+    again = kept_state(store)
+    store.write(store.table(pipeline.STATE).where("false"), pipeline.STATE)
+    assert pipeline.conform_production(store, settings, "S2") == counts
+    whole = kept_state(store)
+    for t in pipeline.KEPT:
+        for a, b in ((first[t], whole[t]), (again[t], whole[t])):
+            assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), t
+
+
+def test_only_changed_slices_are_read_and_written(chain):
+    store = chain["store"]
+    slices = ["2025-09-17"]
+    files = pipeline.kept_rows(store, pipeline.LATEST, slices).inputFiles()
+    assert all(f"/{pipeline.SLICE}=2025-09-17/" in f for f in files)
+    before = store.versioned(pipeline.LATEST).commit_of()["live"]
+    store.replace_slices(store.table(pipeline.LATEST, only={pipeline.SLICE: slices}), pipeline.LATEST, pipeline.SLICE, slices)
+    after = store.versioned(pipeline.LATEST).commit_of()["live"]
+    moved = [p["path"] for p in before if p not in after]
+    assert moved and len(after) == len(before) > len(moved) and all(f"{pipeline.SLICE}=2025-09-17" in path for path in moved)
+    assert store.table(pipeline.LATEST, store.version(pipeline.LATEST) - 1).count() == store.table(pipeline.LATEST).count()
+
+
+def test_inputs_of_a_publication_are_read_as_they_were(chain):
+    store = chain["store"]
+    for pack in ("CD1", "HX1"):
+        share = pipeline.published_input(store, f"PUB-{pack}", "silver_ext.working_interest")
+        assert share.select("master_snapshot_batch_id").distinct().collect()[0][0] == pack
+    assert store.table("silver_ext.working_interest").first()["master_snapshot_batch_id"] == "S2"
+
+
 def test_changed_replay_is_refused(chain, spark):
     store, settings = chain["store"], chain["settings"]
     other = pipeline.Settings(landing=f"{settings.landing}-changed")
