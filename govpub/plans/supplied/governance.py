@@ -9,8 +9,9 @@ from govpub.functions.columns import key_text, known_true
 from govpub.functions.skew import latest_by
 from govpub.operators import ingest, quality, registry, resolve
 from govpub.plans.supplied.base import ORACLES, Tables, count, out_int, out_num, out_text, query
-from govpub.sources.contract import decimal_misfits
-from govpub.sources.store import Store
+from govpub.sources import extract
+from govpub.sources.contract import decimal_misfits, union_all
+from govpub.sources.store import Store, read_landed
 from govpub.streaming import revisions
 
 # --- landing ---------------------------------------------------------------------------
@@ -47,6 +48,32 @@ def landing_reconciliation(t: Tables) -> DataFrame:
     return ingest.reconcile_landing(manifest, ingest.entity_counts(frames, "B0"))
 
 
+@query("""
+SELECT 'orders' AS entity_name, count(*) AS row_count, CAST(sum(o_orderkey) AS BIGINT) AS keys, CAST(8 AS BIGINT) AS ranges
+FROM orders UNION ALL SELECT 'lineitem', count(*), CAST(sum(l_orderkey) AS BIGINT), 8 FROM lineitem
+""")
+def partitioned_pull(t: Tables) -> DataFrame:
+    """Two enabled entities of three pulled into a landing folder, each in eight planned ranges of its sequence."""
+    root, store = t.scratch("pull"), Store(t.spark, root=t.scratch("entities"))
+    config = [(1, "orders", "orders", "EVENT", True), (2, "customer", "customer", "REF", False),
+              (3, "lineitem", "lineitem", "EVENT", True)]
+    extract.save_entities(store, t.spark.createDataFrame(
+        config, "ordinal int, entity_name string, source_table string, entity_kind string, enabled boolean"))
+    keys = {"orders": "o_orderkey", "customer": "c_custkey", "lineitem": "l_orderkey"}
+
+    def read(table: str) -> DataFrame:
+        rows, key = t.raw(table), keys[table]
+        parts = extract.split_ranges(rows, key, 8)
+        return union_all([rows.where(p).select(F.col(key).alias("sequence"), F.lit(k).alias("range"))
+                          for k, p in enumerate(parts)])
+
+    done = extract.copy_batch(extract.entities(store), read, root, "B0")
+    return union_all([read_landed(t.spark, f"{root}/B0/{e}").agg(
+        out_int(count()).alias("row_count"), out_int(F.sum("sequence")).alias("keys"),
+        out_int(F.countDistinct("range")).alias("ranges")).select(F.lit(e).alias("entity_name"), "row_count", "keys", "ranges")
+        for e in done])
+
+
 @query("""
 WITH delivery AS (SELECT * FROM lineitem UNION ALL SELECT * FROM lineitem),
 fresh AS (SELECT * FROM (SELECT DISTINCT * FROM delivery)
