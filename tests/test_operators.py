@@ -14,7 +14,8 @@ from govpub.functions.columns import (date_key, hours_between, json_hash, number
 from govpub.functions.skew import attach_stats, group_size, latest_by
 from govpub.operators import derive, ingest, measures, quality, recon, registry, resolve
 from govpub.sources import contract
-from govpub.sources.extract import copy_batch, entity_config, load_csv, read_sequence_range
+from govpub.sources.extract import (copy_batch, entities, entity_config, load_csv, read_sequence_range, save_entities,
+                                    split_ranges)
 from govpub.sources.registers import REGISTERS, save_contracts
 from govpub.sources.store import Store, read_landed
 from govpub.streaming.bronze import append_stream
@@ -140,6 +141,24 @@ def test_read_landed(spark, scratch):
     assert read_landed(spark, str(scratch / "empty")) is None
 
 
+def test_ranges_cut_every_row_once(spark):
+    rng = random.Random(1)
+    values = [rng.choice([None, 5, 5, 5, rng.randrange(10_000), 10**9]) for _ in range(500)]
+    df = spark.createDataFrame([(v,) for v in values], "s long")
+    for n in (1, 2, 8):
+        parts = split_ranges(df, "s", n)
+        assert sum(df.where(p).count() for p in parts) == len(values) and len(parts) <= n
+    assert split_ranges(df.where("false"), "s", 4) == ["s IS NULL OR s IS NOT NULL"]
+
+
+def test_entities_are_a_table(spark, scratch):
+    store = Store(spark, root=str(scratch))
+    assert entities(store).where("enabled").count() == entity_config(spark).count()
+    save_entities(store, entity_config(spark).withColumn("enabled", F.col("entity_name") == "ref__well"))
+    source = spark.range(3).selectExpr("'B0' AS batch_id", "id")
+    assert copy_batch(entities(store), lambda table: source, f"{scratch}/landing", "B0") == ["ref__well"]
+
+
 def test_copy_batch_and_sequence_range(spark, scratch):
     config = entity_config(spark).where("entity_name IN ('ref__country', 'ref__well')")
     source = spark.createDataFrame([("B0", 1), ("B0", 2), ("B1", 3)], "batch_id string, seq int")

@@ -39,15 +39,12 @@ def chain(spark, feed, tmp_path_factory):
         P.write_landing(spark, feed, pack, settings.landing)
         try:
             totals = pipeline.run_batch(store, settings, pack)
-            publish.sync_evidence(store, pack)
-            publish.stage(store, f"PUB-{pack}")
             pending = publish.publications(store).where(F.col("PublicationId") == f"PUB-{pack}").first()["Status"]
             shown = [r["PublicationId"] for r in publish.current_publication(store).collect()]
             publish.decide(store, f"PUB-{pack}", APPROVER.upper(), "APPROVE", "checked")
             publish.publish(store, f"PUB-{pack}")
             outcome[pack] = {"status": "PUBLISHED", "totals": totals, "pending": pending, "shown_before": shown}
         except PipelineError as error:
-            publish.sync_evidence(store, pack)
             outcome[pack] = {"status": error.status}
     rerun = pipeline.land(store, settings, "S2")
     assert pipeline.serve(store, settings, "S2") == outcome["S2"]["totals"]
@@ -363,6 +360,28 @@ def test_changed_slices_equal_a_full_run(chain):
             assert a.columns == b.columns and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), t
 
 
+def test_a_died_run_is_put_aside(chain, monkeypatch):
+    """A run that dies between two tables leaves some of them new; the next run starts from the versions of the batch before."""
+    store, settings = chain["store"], chain["settings"]
+    pipeline.conform_production(store, settings, "S2")
+    want = {t: rows.count() for t, rows in kept_state(store).items()}
+    known, calls, keep = store.table(pipeline.STATE).collect(), [], pipeline.keep
+
+    def dies(store_, df, table, slices):
+        if len(calls) == 4:
+            raise RuntimeError("executor lost")
+        calls.append(table)
+        keep(store_, df.limit(1), table, slices)  # what it wrote so far is wrong, too
+
+    monkeypatch.setattr(pipeline, "keep", dies)
+    with pytest.raises(RuntimeError):
+        pipeline.conform_production(store, settings, "S2")
+    monkeypatch.undo()
+    assert store.table(pipeline.STATE).collect() == known
+    pipeline.conform_production(store, settings, "S2")
+    assert {t: rows.count() for t, rows in kept_state(store).items()} == want
+
+
 def test_only_changed_slices_are_read_and_written(chain):
     store = chain["store"]
     slices = ["2025-09-17"]
