@@ -10,9 +10,10 @@ repeated row of a conversation counts once; rows without a conversation id belon
 role or text is rendered as empty but is not equal to an empty one; extra columns are not read. Markers inside a text are kept
 as they are if `escape` is off, else their first `<` is followed by a zero-width space.
 
-Scale: adding is associative, so a conversation need not be in one task: positions and hashes are summed inside
-blocks of `BLOCK` turn numbers and then over blocks, and rendering gives one row (part) per block. Prefix values are made
-distinct by a partially aggregated group-by before they meet, so a snapshot logged by a third of all rows is one
+Scale: a conversation need not be in one task, whatever its turn numbers. Turns are put in order by one range partitioned
+sort over all conversations; a turn's place is its place in the sort less that of the conversation's first turn. As adding is
+associative, hashes are summed inside blocks of `BLOCK` places and then over blocks, and rendering gives one row (part) per
+block. Prefix values are made distinct by a partially aggregated group-by before they meet, so a snapshot logged by a third of all rows is one
 row per task; the anti join is an equi join that AQE splits.
 """
 
@@ -22,29 +23,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from govpub.llm.base import staged
+from govpub.llm.resample import numbered
 
-#: Turn numbers of a block and so of a rendered part.
+#: Turns of a block and so of a rendered part.
 BLOCK = 1024
 START, END = "<|im_start|>", "<|im_end|>"
 
 
-def _before(parts: DataFrame, value: Column, name: str) -> DataFrame:
-    """Per conversation, `value` aggregated over the blocks before each block."""
-    order = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return parts.select("conv_id", "block", value.over(order).alias(name))
-
-
 def positions(turns: DataFrame) -> DataFrame:
     """conv_id, block, pos (from 1), role, text: every distinct turn with its place in the conversation."""
     distinct = turns.where("conv_id IS NOT NULL").select("conv_id", "turn", "role", "text").distinct()
-    blocked = distinct.withColumn("block", F.floor(F.col("turn") / BLOCK))
-    inside = Window.partitionBy("conv_id", "block").orderBy("turn", "role", "text")
-    ranked = blocked.withColumn("rank", F.row_number().over(inside))
-    count = blocked.groupBy("conv_id", "block").agg(F.count(F.lit(1)).alias("n"))
-    before = _before(count, F.sum("n"), "before").select(
-        F.col("conv_id").alias("_c"), F.col("block").alias("_b"), "before")
-    return ranked.join(before, (F.col("conv_id") == F.col("_c")) & F.col("block").eqNullSafe(F.col("_b"))).select(
-        "conv_id", "block", (F.col("rank") + F.coalesce("before", F.lit(0))).alias("pos"), "role", "text")
+    placed = numbered(distinct, [F.asc_nulls_first(c) for c in ("conv_id", "turn", "role", "text")], "place", "turn-order")
+    first = placed.groupBy("conv_id").agg(F.min("place").alias("first"))
+    pos = F.col("place") - F.col("first") + 1
+    return placed.join(first, "conv_id").select(
+        "conv_id", F.floor((pos - 1) / BLOCK).alias("block"), pos.alias("pos"), "role", "text")
 
 
 def prefix_hashes(turns: DataFrame) -> DataFrame:
@@ -60,7 +53,7 @@ def prefix_hashes(turns: DataFrame) -> DataFrame:
     before = total.select(F.col("conv_id").alias("_c"), F.col("block").alias("_b"),
                           F.bit_xor("ht").over(order).alias("hb"), F.bit_xor("gt").over(order).alias("gb"))
     zero = F.lit(0).cast("long")
-    return rolled.join(before, (F.col("conv_id") == F.col("_c")) & F.col("block").eqNullSafe(F.col("_b"))).select(
+    return rolled.join(before, (F.col("conv_id") == F.col("_c")) & (F.col("block") == F.col("_b"))).select(
         "conv_id", "pos", F.col("h1").bitwiseXOR(F.coalesce("hb", zero)).alias("h"),
         F.col("g1").bitwiseXOR(F.coalesce("gb", zero)).alias("g"))
 
@@ -84,7 +77,6 @@ def rendered(turns: DataFrame, escape: bool = True) -> DataFrame:
             body = F.replace(body, F.lit(mark), F.lit(mark[0] + "​" + mark[1:]))
     one = F.concat(F.lit(START), F.coalesce("role", F.lit("")), F.lit("\n"), body, F.lit(END + "\n"))
     rows = placed.join(kept, "conv_id").select("conv_id", "block", "n_turns", F.struct("pos", one.alias("t")).alias("o"))
-    part = F.row_number().over(Window.partitionBy("conv_id").orderBy("block")) - 1
     return rows.groupBy("conv_id", "block", "n_turns").agg(F.array_sort(F.collect_list("o")).alias("o")).select(
-        "conv_id", part.cast("long").alias("part"), F.col("n_turns").cast("long").alias("n_turns"),
+        "conv_id", F.col("block").cast("long").alias("part"), F.col("n_turns").cast("long").alias("n_turns"),
         F.array_join(F.transform("o", lambda x: x["t"]), "").alias("text"))

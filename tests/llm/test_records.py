@@ -81,6 +81,14 @@ def test_rules_are_learned_pruned_and_matched(spark):
     assert all((r["verdict"] == "block") == (r["host"] == "spam.bad.org") for r in got)
 
 
+def test_many_turns_of_one_number_are_several_parts(spark):
+    rows = [(1, 7 if k else None, "user", f"text {k}") for k in range(3000)] + [(2, None, "user", "text 0")]
+    got = {(r["conv_id"], r["part"]): r for r in chat.rendered(
+        spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    assert sorted(got) == [(1, 0), (1, 1), (1, 2)] and {r["n_turns"] for r in got.values()} == {3000}
+    assert [got[1, p]["text"].count("<|im_start|>") for p in range(3)] == [1024, 1024, 952]
+
+
 def brute_block(tokens, bad, all_tokens, min_pages, min_confidence, min_lift):
     """Pages that hold some combination with support, confidence and lift, every subset of a labelled page tried."""
     from itertools import combinations
