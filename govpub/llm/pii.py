@@ -2,13 +2,16 @@
 
 Entities are found by type; each is replaced by a keyed surrogate of the same type and look:
 
-* cards, phone numbers, identity numbers, network addresses, secrets and mail addresses are permuted inside the set of all
-  strings of the same pattern (digits stay digits, letters stay letters of their case, separators stay); a keyed
-  Feistel permutation, so different entities get different surrogates without looking at each other. Country codes and
-  mail top-level domains stay; the last digit of a card is set so that a valid checksum stays valid and an invalid one
-  invalid; addresses stay valid and private ones private;
+* cards, account numbers (IBAN), phone numbers (with a country code, or national ones that begin with 0 or have the American
+  form), identity numbers, network addresses (IPv4 and IPv6), secrets (long hexadecimal strings and access keys with a known
+  beginning) and mail addresses are permuted inside the set of all strings of the same pattern (digits stay digits, letters stay letters of their case, separators stay); a keyed
+  Feistel permutation, so different entities get different surrogates without looking at each other. Country codes,
+  beginnings of access keys, the first group of an IPv6 address and mail top-level domains stay; the last digit of a card is set
+  so that a valid checksum stays valid and an invalid one invalid, the check digits of an account number so that they are
+  right; addresses stay valid and private ones private;
 * given names and surnames are built from syllables of their script, given names with an ending of their gender; in scripts
-  other than Latin, Cyrillic and Greek from letters of that script, without such endings. They are found after a listed title, and
+  other than Latin, Cyrillic and Greek from letters of that script, without such endings. After a listed title any number of name
+  words is found, with hyphens, apostrophes and particles (which stay); the last word is the surname. They are found there, and
   then wherever else the same document has the same word with a capital (or in a script without case). A name that no title
   introduces in its document is not found.
 
@@ -17,8 +20,9 @@ all mentions in the corpus get the same one, each in its own format and case. A
 where mentions differ, it is a given name rather than a surname, and its gender is a known one rather than none (female
 where titles of both occur), first over the document, then over the corpus.
 
-Distinctness: all distinct entities of the corpus are drawn once; surrogates that two entities share, or that are
-themselves entities of the corpus, are drawn again with the next attempt number until none are left. Only entities whose attempt
+Distinctness: all distinct entities of the corpus are drawn once; surrogates that two entities share (of names: whatever the
+kind of name), or that are themselves entities of the corpus, are drawn again with the next attempt number until none are left.
+From attempt `GROW` on a surrogate gets longer, so drawing ends also where all strings of a pattern are taken. Only entities whose attempt
 is above zero, and names that the corpus takes for another kind than their document, have to be looked up when texts are rewritten;
 all others are computed in place.
 
@@ -34,6 +38,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
@@ -60,20 +65,33 @@ SYLLABLES = {
 ENDINGS = {"latin": {"m": "n", "f": "na", "u": "l", "s": "rd"}, "cyrillic": {"m": "н", "f": "на", "u": "ль", "s": "рд"},
            "greek": {"m": "νος", "f": "να", "u": "λι", "s": "ρδης"}}
 
+PARTICLES = ["al", "bin", "da", "de", "del", "della", "den", "der", "di", "do", "dos", "du", "el", "la", "le", "ten", "ter", "van",
+             "von", "y", "zu"]
+# How access keys of common services begin.
+KEY_BEGINNINGS = ["AKIA", "ASIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-", "sk-"]
+
+#: Attempts after which surrogates get longer, by one character for each further one.
+GROW = 32
 #: Country codes of two digits; 1 and 7 have one digit, all others three. No code begins with another.
 COUNTRY_CODES = frozenset("20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
                           "81 82 84 86 90 91 92 93 94 95 98".split())
 
-_NAME = r"[^\W\d_a-zа-яα-ω][^\W\d_]+"
+_NAME = r"[^\W\d_a-zа-яα-ω](?:['’][^\W\d_]+|[^\W\d_]+)(?:[-'’][^\W\d_]{2,})*"
+_PARTICLE = r"(?:" + "|".join(PARTICLES) + r")"
 _PATTERNS = {
     "mail": r"(?<![\w.+%-])[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": r"(?<![0-9A-Za-z])(?=[0-9a-fA-F]*[0-9])[0-9a-fA-F]{32,}(?![0-9A-Za-z])",
+    "token": r"(?<![\w-])(?:(?:AKIA|ASIA)[0-9A-Z]{16}|(?:" + "|".join(KEY_BEGINNINGS[2:]) + r")[0-9A-Za-z][0-9A-Za-z-]{18,}[0-9A-Za-z])"
+             r"(?![0-9A-Za-z])",
+    "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?!\w)",
+    "net6": r"(?<![\w:.])(?:(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}|(?:[0-9a-fA-F]{1,4}:){1,6}(?::[0-9a-fA-F]{1,4}){1,6})(?![\w:]|\.\d)",
     "net": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)",
     "person_no": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)|\d{2,4})|\(\d{3}\)|\d{3}(?=[.-]))(?:[ .-]?\d{2,4}){2,3}(?![\w])",
     "card": r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])",
+    "national": r"(?<![\w+.,/-])0[1-9]\d{0,3}(?:[ -]\d{2,8}){1,5}(?![\w-]|[.,/]\d)",
     "name": r"(?<!\w)(?P<title>" + "|".join(t for g in TITLES.values() for t in g) + r")(?:\. ?| )(?P<names>" + _NAME
-            + r"(?: " + _NAME + r")?)",
+            + r"(?: (?:" + _PARTICLE + r" )*" + _NAME + r")*)",
 }
 _FIND = re.compile("|".join(f"(?P<{k}>{p})" for k, p in _PATTERNS.items()))
 _HINT = re.compile(r"[0-9@]|(?<!\w)(?:" + "|".join(t for g in TITLES.values() for t in g) + r")(?!\w)")
@@ -91,12 +109,14 @@ def mentions(text: str) -> list[tuple[int, int, str, str, str]]:
     for m in _FIND.finditer(text):
         kind = m.lastgroup if m.lastgroup in _PATTERNS else "name"
         if kind != "name":
-            out.append((m.start(), m.end(), kind, canonical(kind, m[0]), m[0]))
+            if is_one(kind, m[0]):
+                out.append((m.start(), m.end(), kind, canonical(kind, m[0]), m[0]))
             continue
         at, parts = m.start("names"), m["names"].split(" ")
         for k, part in enumerate(parts):
-            what = "surname" if k == len(parts) - 1 else "given_" + _GENDER[m["title"]]
-            out.append((at, at + len(part), what, part.lower(), part))
+            if part not in PARTICLES:
+                what = "surname" if k == len(parts) - 1 else "given_" + _GENDER[m["title"]]
+                out.append((at, at + len(part), what, part.lower(), part))
             at += len(part) + 1
     return with_untitled(text, out) if any(x[2] in NAMES for x in out) else out
 
@@ -118,10 +138,34 @@ def with_untitled(text: str, found: list[tuple[int, int, str, str, str]]) -> lis
     return out
 
 
+def is_one(kind: str, mention: str) -> bool:
+    """What a pattern alone cannot tell: checksums, groups and the number of digits."""
+    if kind == "iban":
+        return checked(canonical(kind, mention)) == 1
+    if kind == "net6":
+        try:
+            return bool(ipaddress.IPv6Address(mention))
+        except ValueError:
+            return False
+    return kind != "national" or 9 <= sum(c.isdigit() for c in mention) <= 12
+
+
+def checked(iban: str) -> int:
+    """What is left of an account number by its checksum rule; 1 for a valid one."""
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+_DIGITS = ("phone", "national", "card", "person_no")
+
+
 def canonical(kind: str, mention: str) -> str:
-    if kind in ("phone", "card", "person_no"):
+    if kind in _DIGITS:
         return ("+" if mention[0] == "+" else "") + "".join(c for c in mention if c.isdigit())
-    return mention.lower()
+    if kind == "iban":
+        return mention.replace(" ", "")
+    if kind == "net6":
+        return ipaddress.IPv6Address(mention).exploded
+    return mention if kind == "token" else mention.lower()
 
 
 # --- keyed permutations ----------------------------------------------------------------
@@ -196,14 +240,24 @@ def letters(script: str) -> str:
 
 def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
     """The surrogate's canonical form for an entity's canonical form."""
-    tweak = f"{kind}/{attempt}"
+    tweak, more = f"{kind}/{attempt}", "0" * max(0, attempt - GROW + 1)
     if kind == "mail":
         local, _, domain = form.rpartition("@")
         name, _, top = domain.rpartition(".")
-        local = permute_text(key, tweak, local) + (str(attempt) if attempt > 8 else "")  # a set of strings can be small
-        return f"{local}@{permute_text(key, tweak + '/domain', name)}.{top}"
+        return f"{permute_text(key, tweak, local + more)}@{permute_text(key, tweak + '/domain', name)}.{top}"
+    if kind == "token":
+        keep = max((len(b) for b in KEY_BEGINNINGS if form.startswith(b)), default=0)
+        return form[:keep] + permute_text(key, tweak, form[keep:] + more, (*_SETS, _SETS[1].upper()))
+    if kind == "iban":
+        own = form[:2] + "00" + permute_text(key, tweak, form[4:] + more, (_SETS[0], _SETS[1].upper()))
+        return own[:2] + f"{98 - checked(own):02d}" + own[4:]
+    if kind == "net6":
+        groups = int.from_bytes(ipaddress.IPv6Address(form).packed, "big")
+        return ipaddress.IPv6Address(groups >> 112 << 112 | permute(key, tweak, groups & (1 << 112) - 1, 1 << 112)).exploded
+    if kind == "national":
+        return "0" + permute_text(key, tweak, form[1:] + more)
     if kind == "secret":
-        return permute_text(key, tweak, form, ("0123456789abcdef",))
+        return permute_text(key, tweak, form + more, ("0123456789abcdef",))
     if kind == "net":
         value = start = int.from_bytes(bytes(map(int, form.split("."))), "big")
         while True:
@@ -211,28 +265,35 @@ def surrogate(key: bytes, kind: str, form: str, attempt: int = 0) -> str:
             if is_private(value) == is_private(start):
                 return ".".join(map(str, value.to_bytes(4, "big")))
     if kind == "card":
-        first = permute_text(key, tweak, form[:-1])
+        first = permute_text(key, tweak, form[:-1] + more)
         return first + str((luhn(form) - luhn(first + "0")) % 10)
     if kind == "phone" and form[0] == "+":
         keep = 1 + (1 if form[1] in "17" else 2 if form[1:3] in COUNTRY_CODES else 3)
-        return form[:keep] + permute_text(key, tweak, form[keep:])
+        return form[:keep] + permute_text(key, tweak, form[keep:] + more)
     if kind in ("phone", "person_no"):
-        return permute_text(key, tweak, form)
+        return permute_text(key, tweak, form + more)
     script = script_of(form)
     drawn = hmac.digest(key, f"{tweak}/{form}".encode(), "sha256")
     if script not in SYLLABLES:
         own = letters(script)
-        size = min(16, max(2, len(form)) + attempt // 4)
+        size = max(2, len(form)) + attempt // 4
+        drawn = hashlib.shake_256(drawn).digest(2 * size)
         return "".join(own[int.from_bytes(drawn[2 * k:2 * k + 2], "big") % len(own)] for k in range(size))
-    parts = [SYLLABLES[script][b % 16] for b in drawn[: 2 + attempt // 4 + (kind == "surname")]]
+    parts = [SYLLABLES[script][b % 16] for b in hashlib.shake_256(drawn).digest(2 + attempt // 4 + (kind == "surname"))]
     return "".join(parts) + ENDINGS[script]["s" if kind == "surname" else kind[-1]]
 
 
 def in_format(kind: str, form: str, mention: str) -> str:
     """The surrogate written the way the mention is."""
-    if kind in ("phone", "card", "person_no"):
-        digits = iter(c for c in form if c.isdigit())
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+    if kind in _DIGITS or kind == "iban":
+        own = iter(form.removeprefix("+"))
+        return "".join(next(own) if c.isalnum() else c for c in mention) + "".join(own)
+    if kind == "net6":
+        made = ipaddress.IPv6Address(form)
+        made = made.exploded if len(mention) == 39 else made.compressed
+        return made.upper() if mention.isupper() else made
+    if kind == "token":
+        return form
     if mention.isupper():
         return form.upper()
     if kind in NAMES:
@@ -275,15 +336,19 @@ def drawn(entities: DataFrame, draw: Callable[[str, str, int], str]) -> DataFram
 
 
 def assigned(entities: DataFrame, draw: Callable[[str, str, int], str]) -> DataFrame:
-    """Surrogates of all distinct entities (kind, form): no two share one and none is an entity. Entities that
-    lose a collision are drawn again; of those that share a surrogate the lowest attempt, then the first form, keeps it."""
+    """Surrogates of all distinct entities (kind, form): no two of a kind share one and none is an entity; names of all kinds
+    count as one kind here. Entities that lose a collision are drawn again; of those that share a surrogate the lowest
+    attempt, then the first form and kind, keeps it."""
     known = staged(entities.select("kind", "form").distinct(), "entities")
+    space = F.when(F.col("kind").isin(*NAMES), "name").otherwise(F.col("kind")).alias("space")
     table = staged(drawn(known.withColumn("attempt", F.lit(0)), draw), "drawn")
     while True:
-        best = table.groupBy("kind", "made").agg(F.min(F.struct("attempt", "form")).alias("best"),
-                                                 F.count(F.lit(1)).alias("n")).where("n > 1")
-        twice = table.join(best, ["kind", "made"]).where(F.col("form") != F.col("best.form")).select("kind", "form")
-        taken = table.join(known.select("kind", F.col("form").alias("made")), ["kind", "made"]).select("kind", "form")
+        placed = table.select("*", space)
+        best = placed.groupBy("space", "made").agg(F.min(F.struct("attempt", "form", "kind")).alias("best"),
+                                                   F.count(F.lit(1)).alias("n")).where("n > 1")
+        twice = placed.join(best, ["space", "made"]).where(
+            (F.col("form") != F.col("best.form")) | (F.col("kind") != F.col("best.kind"))).select("kind", "form")
+        taken = placed.join(known.select(space, F.col("form").alias("made")).distinct(), ["space", "made"]).select("kind", "form")
         again = staged(twice.union(taken).distinct(), "again")
         if again.isEmpty():
             return table

@@ -11,7 +11,7 @@ from govpub.llm import (chat, decontam, fst_bpe, host_quality, langid, line_alig
 from govpub.llm.base import ORACLES, QUERIES, query, table  # noqa: F401
 
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-#: In production the key comes from a secret store; surrogates cannot be linked across keys.
+#: Key where the session sets none (`spark.govpub.pii.key`, from a secret store); surrogates cannot be linked across keys.
 PII_KEY = b"example key, replace"
 
 
@@ -26,7 +26,8 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op2_pii_surrogates(spark: SparkSession, folder: str) -> DataFrame:
     """Every text with surrogates in place of personal data."""
-    return pii.pseudonymised(table(spark, folder, "documents").select("doc_id", "text"), PII_KEY)
+    key = spark.conf.get("spark.govpub.pii.key", None)
+    return pii.pseudonymised(table(spark, folder, "documents").select("doc_id", "text"), key.encode() if key else PII_KEY)
 
 
 @query()

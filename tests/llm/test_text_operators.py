@@ -145,6 +145,79 @@ def test_a_name_has_one_surrogate_whatever_its_title(spark):
     assert pii.script_of(a) == "CJK" and {pii.script_of(x) for x in c} == {"HEBREW"}
 
 
+def entity(rng, kind):
+    """(kind, how the text has it) of a made entity."""
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    letter = lambda n, of="abcdefghijklmnopqrstuvwxyz": "".join(rng.choice(of) for _ in range(n))
+    if kind == "iban":
+        body = rng.choice(["DE", "GB", "FR"]) + "00" + letter(4, "ABCDXYZ") + digits(14)
+        whole = body[:2] + f"{98 - pii.checked(body):02d}" + body[4:]
+        return " ".join(whole[k:k + 4] for k in range(0, len(whole), 4)) if rng.random() < 0.5 else whole
+    return {"mail": lambda: f"{letter(6)}.{letter(4)}@{letter(8)}.org", "net": lambda: f"81.{rng.randrange(256)}.{rng.randrange(256)}.7",
+            "net6": lambda: ":".join(f"{rng.randrange(65536):x}" for _ in range(8)) if rng.random() < 0.5 else
+            f"2001:{rng.randrange(1, 65536):x}::{rng.randrange(1, 65536):x}:{rng.randrange(1, 65536):x}",
+            "token": lambda: rng.choice(["AKIA" + letter(16, "ABCDEFGHIJ0123456789"), "ghp_" + letter(30) + digits(6)]),
+            "secret": lambda: digits(2) + letter(38, "0123456789abcdef"), "person_no": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
+            "phone": lambda: rng.choice([f"+49 {rng.randrange(100, 999)} {digits(4)} {digits(3)}", f"({digits(3)}) {digits(3)}-{digits(4)}"]),
+            "national": lambda: rng.choice([f"06 {digits(2)} {digits(2)} {digits(2)} {digits(2)}", f"0{rng.randrange(30, 99)} {digits(7)}"]),
+            "card": lambda: f"4{digits(3)} {digits(4)} {digits(4)} {digits(4)}"}[kind]()
+
+
+KINDS = ["mail", "net", "net6", "token", "secret", "person_no", "phone", "national", "card", "iban"]
+
+
+def test_entities_of_every_type_are_found_and_replaced(spark):
+    """Texts with known entities: found by type, nothing else changed, one surrogate each, no two alike."""
+    rng, texts, known = random.Random(12), [], []
+    pool = {kind: [entity(rng, kind) for _ in range(25)] for kind in KINDS}
+    for _ in range(200):
+        inside = [(k, rng.choice(pool[k])) for k in rng.choices(KINDS, k=4)]
+        texts.append("; ".join(f"some words {e} and more" for _, e in inside))
+        known.append(inside)
+    found, total, surrogates = Counter(), Counter(), defaultdict(set)
+    for row in pii.pseudonymised(docs_of(spark, texts), b"k").collect():
+        parts, at = row["text"].split("; "), known[row["doc_id"]]
+        assert len(parts) == 4
+        for part, (kind, was) in zip(parts, at):
+            made = re.fullmatch(r"some words (.*) and more", part)[1]
+            total[kind] += 1
+            found[kind] += made != was
+            surrogates[kind, pii.canonical(kind, was)].add(pii.canonical(kind, made))
+    assert all(found[k] >= 0.9 * total[k] for k in KINDS), (found, total)
+    assert all(len(s) == 1 for s in surrogates.values())  # coreference
+    for kind in KINDS:
+        made = [next(iter(s)) for (k, _), s in surrogates.items() if k == kind]
+        assert len(set(made)) == len(made) and not set(made) & {f for k, f in surrogates if k == kind}
+        assert all(pii.is_one(kind, m) for m in made)
+
+
+def test_names_of_any_length():
+    draw = lambda kind, form, attempt: pii.surrogate(b"k", kind, form, attempt)
+    for text, names in (("Señor Gabriel García Márquez said", ["Gabriel", "García", "Márquez"]), ("Dr. Jean-Luc Picard", ["Jean-Luc", "Picard"]),
+                        ("Mr O'Brien and", ["O'Brien"]), ("Frau Ursula von der Leyen", ["Ursula", "Leyen"]),
+                        ("Mr John Ronald Reuel Tolkien", ["John", "Ronald", "Reuel", "Tolkien"])):
+        made, n = pii.rewrite(text, draw, {})
+        assert n == len(names) and not any(name in made for name in names)
+        assert re.sub(r"\b[A-Z][a-z]+\b", "X", made.split(" ", 1)[1]) == re.sub("|".join(names), "X", text.split(" ", 1)[1])
+    for text in ("at 12:30:45 on 01-02-2024, 0.5 of 0800 rows", "version 1.2.3, AB12 CDEF GHIJ KLMN", "a::b c:d:e"):
+        assert pii.rewrite(text, draw, {}) == (text, 0)
+
+
+def test_names_of_different_kinds_never_share_a_surrogate(spark):
+    forms = [(k, f"{k}{n}") for k in pii.NAMES for n in range(6)]
+    draw = lambda kind, form, attempt: f"x{(len(form) * 7 + attempt) % 97}"
+    made = [r["made"] for r in pii.assigned(spark.createDataFrame(forms, "kind string, form string"), draw).collect()]
+    assert len(set(made)) == len(forms)
+
+
+def test_drawing_ends_where_all_strings_are_taken(spark):
+    """All hundred two-digit numbers are entities: no free one of that length is left."""
+    forms = spark.createDataFrame([("person_no", f"{k:02d}") for k in range(100)], "kind string, form string")
+    draw = lambda kind, form, attempt: pii.surrogate(b"k", kind, form, attempt + pii.GROW - 1)
+    made = [r["made"] for r in pii.assigned(forms, draw).collect()]
+    assert len(set(made)) == 100 and all(len(m) > 2 for m in made)
+
+
 # --- near duplicates -------------------------------------------------------------------
 
 def shingles(text):
