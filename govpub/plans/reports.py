@@ -6,10 +6,10 @@ from collections.abc import Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from govpub.functions.columns import hours_between, safe_ratio
+from govpub.functions.columns import date_key, hours_between, safe_ratio
 from govpub.operators import publish
 from govpub.operators.measures import measure_query, trust
 from govpub.plans.pipeline import Settings, canonical_events
@@ -75,9 +75,10 @@ def top_wells(star: Star, n: int = 10) -> DataFrame:
     return sums.orderBy(F.desc("Gross BOE"), "WellName").limit(n)
 
 
-def one_day(star: Star, well_id: str, day: date) -> DataFrame:
+def one_day(star: Star, well_id: str, day: date | Column) -> DataFrame:
+    """One day of a well; the day may be a scalar sub-query."""
     well = star["dim_well"].where(F.col("WellId") == well_id).select("WellKey", "WellId")
-    key = day.year * 10000 + day.month * 100 + day.day
+    key = date_key(day if isinstance(day, Column) else F.lit(day))
     return (star["fact_production_daily"].where(F.col("DateKey") == key).join(well, "WellKey")
             .select("PublicationId", "WellId", "DateKey", "OilBbl", "GasMscf", "WaterBbl", "GrossBoe", "NetWiBoe",
                     "IsComplete", "SelectedSources", "MaxRevision"))

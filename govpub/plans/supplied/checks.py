@@ -9,6 +9,8 @@ from govpub.functions.columns import key_text
 from govpub.operators import quality
 from govpub.plans.supplied.base import Tables, count, out_int, out_text, query
 from govpub.sources.contract import SNAPSHOT, Table, schema_violations
+from govpub.sources.extract import REJECTED, load_checked_csv
+from govpub.sources.store import Store
 
 LINES = Table("lineitem", SNAPSHOT, "l_orderkey bigint NOT NULL, l_partkey bigint NOT NULL, l_suppkey bigint NOT NULL, "
               "l_linenumber bigint NOT NULL, l_linestatus string NOT NULL, l_shipdate date NOT NULL, "
@@ -98,3 +100,36 @@ def staging_check(t: Tables) -> DataFrame:
         quality.staging_issues(stage.where("o_orderstatus = 'none'"), "cost_monthly", "F"))
     return found.groupBy(F.col("EntityName").alias("entity"), F.col("RecordKey").alias("record_key"),
                          F.col("Message").alias("message")).agg(out_int(count()).alias("found"))
+
+
+DELIVERED = Table("orders", SNAPSHOT, "batch_id string NOT NULL, o_orderkey bigint NOT NULL, o_orderdate date NOT NULL, "
+                  "o_totalprice decimal(19,4) NOT NULL", ("o_orderkey",))
+
+
+@query("""
+WITH o AS (SELECT o_orderkey AS k FROM orders),
+p AS (SELECT CASE WHEN k % 11 = 0 THEN 'WRONG_NUMBER_OF_FIELDS' END AS whole, k,
+             CASE WHEN k % 13 = 0 THEN 'UNREADABLE' END AS day,
+             CASE WHEN k % 17 = 0 THEN 'TOO_MANY_DIGITS' WHEN k % 19 = 0 THEN 'EMPTY_BUT_REQUIRED' END AS price FROM o),
+r AS (SELECT NULL AS column_name, whole AS reason FROM p WHERE whole IS NOT NULL
+      UNION ALL SELECT 'o_orderdate', day FROM p WHERE whole IS NULL AND day IS NOT NULL
+      UNION ALL SELECT 'o_totalprice', price FROM p WHERE whole IS NULL AND price IS NOT NULL)
+SELECT coalesce(column_name, '-') AS column_name, reason, count(*) AS problems FROM r GROUP BY ALL
+UNION ALL SELECT '-', 'LOADED', count(*) FROM p WHERE whole IS NULL AND day IS NULL AND price IS NULL
+""")
+def rejected_rows(t: Tables) -> DataFrame:
+    """Orders delivered as CSV with broken lines: the readable ones are loaded, the others kept by column and reason."""
+    k = F.col("o_orderkey")
+    price = F.when(k % 17 == 0, "1.23456").when(k % 19 == 0, "").otherwise(F.col("o_totalprice").cast("string"))
+    lines = t.orders().select(
+        F.lit("B0").alias("batch_id"), k.cast("string").alias("o_orderkey"),
+        F.when(k % 13 == 0, "someday").otherwise(F.col("o_orderdate").cast("string")).alias("o_orderdate"),
+        F.when(k % 11 == 0, F.concat(price, F.lit(",more"))).otherwise(price).alias("o_totalprice"))
+    path, store = t.scratch("csv"), Store(t.spark, root=t.scratch("rejected"))
+    # without quotes the comma in a value makes one field too many
+    lines.write.option("header", True).option("quote", "\u0000").option("escapeQuotes", False).csv(path)
+    load_checked_csv(store, path, DELIVERED, "B0")
+    bad = store.table(REJECTED).groupBy(F.coalesce("ColumnName", F.lit("-")).alias("column_name"),
+                                        F.col("Reason").alias("reason")).agg(out_int(count()).alias("problems"))
+    loaded = store.table("bronze.orders").agg(out_int(count()).alias("problems"))
+    return bad.unionByName(loaded.select(F.lit("-").alias("column_name"), F.lit("LOADED").alias("reason"), "problems"))

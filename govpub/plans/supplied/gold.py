@@ -328,8 +328,8 @@ FROM prod WHERE l_suppkey = 1 AND d = (SELECT max(CAST(l_shipdate AS DATE)) FROM
 """)
 def report_one_day(t: Tables) -> DataFrame:
     """The last day of one well as it is published."""
-    last = t.lineitem().where("l_suppkey = 1").agg(F.max("l_shipdate")).first()[0] or DAY
-    return shown(reports.one_day(gold(t), WELL, last))
+    last = t.lineitem().where("l_suppkey = 1").agg(F.max("l_shipdate").alias("day")).scalar()
+    return shown(reports.one_day(gold(t), WELL, F.coalesce(last, F.lit(DAY))))
 
 
 @query(f"""

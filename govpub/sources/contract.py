@@ -204,6 +204,45 @@ def read_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
     return raw.select(*[value(f) for f in table.schema])
 
 
+#: Reasons for which a row of a CSV delivery is rejected.
+MALFORMED, UNREADABLE, DIGITS, REQUIRED = "WRONG_NUMBER_OF_FIELDS", "UNREADABLE", "TOO_MANY_DIGITS", "EMPTY_BUT_REQUIRED"
+
+
+def check_csv(spark: SparkSession, path: str, table: Table) -> DataFrame:
+    """Every row of a CSV delivery: the typed columns, `problems` (column, reason) and the line as it came in `line`.
+
+    Nothing fails: values that cannot be read are null and named. Rows without problems are those that `read_csv` gives.
+    The header has to equal the contract, as otherwise no value is where it belongs.
+    """
+    names = table.schema.names
+    text = T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField("line", T.StringType())])
+    raw = (spark.read.schema(text).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "line").csv(path))
+
+    def value(field: T.StructField) -> tuple[Column, Column]:
+        col, kind = F.col(field.name), field.dataType
+        if isinstance(kind, T.StringType):
+            return (col if field.nullable else F.coalesce(col, F.lit(""))), F.lit(None).cast("string")
+        typed, problem = col.try_cast(kind), F.when(col.isNotNull() & col.try_cast(kind).isNull(), UNREADABLE)
+        if isinstance(kind, T.DecimalType):
+            wide = col.try_cast(T.DecimalType(38, 38 - kind.precision + kind.scale))
+            fits = wide.try_cast(kind)
+            typed = F.when(fits == wide, fits)
+            problem = F.when(col.isNotNull() & col.try_cast("double").isNull(), UNREADABLE).when(
+                col.isNotNull() & typed.isNull(), DIGITS)
+        if not field.nullable:
+            problem = F.when(col.isNull(), REQUIRED).otherwise(problem)
+        return typed, problem
+
+    whole = F.col("line").isNull()
+    found = [(f.name, *value(f)) for f in table.schema]
+    problems = F.when(~whole, F.array(F.struct(F.lit(None).cast("string").alias("column"), F.lit(MALFORMED).alias("reason")))
+                      ).otherwise(F.filter(F.array(*[F.struct(F.lit(n).alias("column"), p.alias("reason")) for n, _, p in found]),
+                                           lambda x: x["reason"].isNotNull()))
+    line = F.coalesce("line", F.concat_ws(",", *[F.coalesce(n, F.lit("")) for n in names]))
+    return raw.select(*[v.alias(n) for n, v, _ in found], problems.alias("problems"), line.alias("line"))
+
+
 def schema_violations(df: DataFrame, table: Table, ignore: tuple[str, ...] = ("PublicationId",)) -> DataFrame:
     """Rows (table_name, column_name, problem): columns missing, unexpected, of another type or null.
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from govpub.operators.ingest import append_new
-from govpub.sources.contract import SOURCE_TABLES, Table, read_csv
+from govpub.sources.contract import SOURCE_TABLES, Table, check_csv, read_csv
 from govpub.sources.store import Store
 
 MAX_PARALLEL = 8
@@ -57,6 +57,23 @@ def load_csv(store: Store, path: str, table: Table, batch_id: str, run_id: str =
     return append_new(store, rows, f"bronze.{table.entity}", batch_id, run_id, path)
 
 
+REJECTED = "ops.rejected_row"
+
+
+def load_checked_csv(store: Store, path: str, table: Table, batch_id: str, run_id: str = "manual") -> tuple[int, int]:
+    """Append the readable rows of a CSV delivery and keep the others, one row per problem, in `ops.rejected_row`.
+
+    Returns how many rows were new and how many problems were found; loading again replaces the problems.
+    """
+    checked = check_csv(store.spark, path, table)
+    bad = checked.where(F.size("problems") > 0).select(F.explode("problems").alias("p"), "line").select(
+        F.col("p.column").alias("ColumnName"), F.col("p.reason").alias("Reason"), F.col("line").alias("Line"),
+        F.lit(path).alias("Path"), F.lit(run_id).alias("RunId"))
+    problems = store.replace_slice(bad, REJECTED, {"BatchId": batch_id, "EntityName": table.entity})
+    good = checked.where((F.size("problems") == 0) & (F.col("batch_id") == batch_id)).select(*table.schema.names)
+    return append_new(store, good, f"bronze.{table.entity}", batch_id, run_id, path), problems
+
+
 ENTITIES = "ops.source_entity"
 
 

@@ -14,8 +14,8 @@ from govpub.functions.columns import (date_key, hours_between, json_hash, number
 from govpub.functions.skew import attach_stats, group_size, latest_by
 from govpub.operators import derive, ingest, measures, quality, recon, registry, resolve
 from govpub.sources import contract
-from govpub.sources.extract import (copy_batch, entities, entity_config, load_csv, read_sequence_range, save_entities,
-                                    split_ranges)
+from govpub.sources.extract import (REJECTED, copy_batch, entities, entity_config, load_checked_csv, load_csv,
+                                    read_sequence_range, save_entities, split_ranges)
 from govpub.sources.registers import REGISTERS, save_contracts
 from govpub.sources.store import Store, read_landed
 from govpub.streaming.bronze import append_stream
@@ -82,6 +82,27 @@ def test_csv_load_loses_nothing(spark, scratch):
         contract.read_csv(spark, str(scratch / "b.csv"), table).collect()
 
 
+def test_bad_csv_rows_are_kept_by_reason(spark, scratch):
+    table = contract.SOURCE_BY_NAME["ref.uom_conversion"]
+    names, store = table.schema.names, Store(spark, root=f"{scratch}/lake")
+    good = dict(zip(names, ("B0", "Oil", "bbl", "bbl", "1.5", "", "U1")))
+    rows = [good, {**good, "uom": "m3", "to_standard_factor": "1,5"}, {**good, "uom": "x", "to_standard_factor": "abc"},
+            {**good, "uom": "y", "to_standard_factor": "1.12345678901"}, {**good, "uom": "z", "to_standard_factor": ""}, good,
+            {**good, "batch_id": "B1"}]
+    (scratch / "u.csv").write_text("\n".join([",".join(names), *[",".join(r.values()) for r in rows], "B0,Oil"]) + "\n")
+    assert load_checked_csv(store, str(scratch / "u.csv"), table, "B0") == (1, 5)
+    assert load_checked_csv(store, str(scratch / "u.csv"), table, "B0") == (0, 5)
+    found = sorted((r["ColumnName"] or "", r["Reason"], r["Line"]) for r in store.table(REJECTED).collect())
+    line = lambda uom, factor: f"B0,Oil,{uom},bbl,{factor},,U1"
+    assert found == sorted([("", contract.MALFORMED, line("m3", "1,5")), ("", contract.MALFORMED, "B0,Oil"),
+                            ("to_standard_factor", contract.UNREADABLE, line("x", "abc")),
+                            ("to_standard_factor", contract.DIGITS, line("y", "1.12345678901")),
+                            ("to_standard_factor", contract.REQUIRED, line("z", ""))])
+    (scratch / "w.csv").write_text(",".join(names).replace("uom,", "unit,", 1) + "\nB0,Oil,bbl,bbl,1,,U1\n")
+    with pytest.raises(Exception):
+        contract.check_csv(spark, str(scratch / "w.csv"), table).collect()
+
+
 def test_registers_are_kept_per_version(spark):
     store = Store(spark, "reg_")
     registers = {name: spark.createDataFrame([tuple(f"{c} {k}" for c in columns) for k in range(3)], columns)
