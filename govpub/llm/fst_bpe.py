@@ -47,20 +47,16 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
-def merge(ranks: dict[bytes, int], piece: bytes) -> list[bytes]:
-    """Lowest rank first, leftmost on ties. For the few bytes of two tokens, never for text."""
-    parts = [piece[i: i + 1] for i in range(len(piece))]
-    rank = ranks.get
-    joins = [rank(a + b, NEVER) for a, b in zip(parts, parts[1:])]
-    while joins and (best := min(joins)) != NEVER:
+def halves(ranks: dict[bytes, int], token: bytes) -> tuple[bytes, bytes] | None:
+    """The two tokens whose merge makes this one from its bytes; None if its bytes merge otherwise."""
+    parts = [token[i: i + 1] for i in range(len(token))]
+    while len(parts) > 2:
+        joins = [ranks.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+        if (best := min(joins)) == NEVER:
+            return None
         at = joins.index(best)
         parts[at: at + 2] = [parts[at] + parts[at + 1]]
-        del joins[at]
-        if at:
-            joins[at - 1] = rank(parts[at - 1] + parts[at], NEVER)
-        if at < len(joins):
-            joins[at] = rank(parts[at] + parts[at + 1], NEVER)
-    return parts
+    return (parts[0], parts[1]) if len(parts) == 2 else None
 
 
 class Transducer:
@@ -84,7 +80,7 @@ class Transducer:
                 node = self.child[key]
             self.token[node] = number
         self.pairs: dict[int, bool] = {}
-        self.own: dict[int, bool] = {}
+        self.made_of: dict[bytes, tuple[bytes, bytes] | None] = {}
         self.reset()
 
     def reset(self) -> None:
@@ -102,19 +98,44 @@ class Transducer:
             self.states.append(state)
         return found
 
+    def split(self, token: bytes) -> tuple[bytes, bytes] | None:
+        found = self.made_of.get(token, 0)
+        if found == 0:
+            found = self.made_of[token] = halves(self.ranks, token)
+        return found
+
     def compatible(self, left: int, right: int) -> bool:
-        fits = self.own.get(right)
-        if fits is None:
-            token = self.bytes_of[right]
-            fits = self.own[right] = merge(self.ranks, token) == [token]
-        if left < 0 or not fits:
-            return fits
+        """Whether the bytes of both tokens together merge to just these two.
+
+        Merges are undone from the last one back: the pair at the border between them exists until the next merge takes one
+        of its sides, so it merges itself if its rank is lower (or, to the right, the same, as the leftmost goes first).
+        """
+        b = self.bytes_of[right]
+        if len(b) > 1 and self.split(b) is None:
+            return False
+        if left < 0:
+            return True
         fits = self.pairs.get(key := left << 32 | right)
-        if fits is None:
-            if len(self.pairs) >= self.max_steps:
-                self.pairs.clear()
-            a, b = self.bytes_of[left], self.bytes_of[right]
-            fits = self.pairs[key] = merge(self.ranks, a + b) == [a, b]
+        if fits is not None:
+            return fits
+        if len(self.pairs) >= self.max_steps:
+            self.pairs.clear()
+        rank, a, of_a, of_b, until_a, until_b = self.ranks.get, self.bytes_of[left], left, right, NEVER, NEVER
+        fits = True
+        while True:
+            joined = rank(a + b, NEVER)
+            if joined < until_a and joined <= until_b and joined != NEVER:
+                fits = False
+                break
+            if len(a) > 1 and (len(b) == 1 or of_a > of_b):
+                a, until_a = self.split(a)[1], of_a
+                of_a = rank(a)
+            elif len(b) > 1:
+                b, until_b = self.split(b)[0], of_b
+                of_b = rank(b)
+            else:
+                break
+        self.pairs[key] = fits
         return fits
 
     def step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:

@@ -217,6 +217,32 @@ def test_ids_of_long_pieces(codec, reference):
         assert codec.encode(text).tolist() == reference.encode_ordinary(text)
 
 
+def merged(ranks, piece):
+    """Byte pair encoding by its definition: the lowest rank first, leftmost on ties."""
+    parts = [piece[k: k + 1] for k in range(len(piece))]
+    while True:
+        joins = [(ranks[a + b], k) for k, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in ranks]
+        if not joins:
+            return parts
+        at = min(joins)[1]
+        parts[at: at + 2] = [parts[at] + parts[at + 1]]
+
+
+def test_compatible_tokens_are_those_that_merge_to_themselves():
+    ranks, rng = fst_bpe.load_ranks(VOCABULARY), random.Random(1)
+    machine, tokens = fst_bpe.Transducer(ranks), sorted(ranks)
+    pairs = [(rng.choice(tokens), rng.choice(tokens)) for _ in range(4000)]
+    pairs += [(t[:k], t[k:]) for t in rng.sample(tokens, 1500) for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+    pairs += [(c * i, c * j) for c in (b" ", b"=", b"a") for i in range(1, 12) for j in range(1, 12) if c * i in ranks and c * j in ranks]
+    checked = 0
+    for a, b in pairs:
+        if merged(ranks, a) == [a]:
+            want = merged(ranks, b) == [b] and merged(ranks, a + b) == [a, b]
+            assert machine.compatible(ranks[a], ranks[b]) == want, (a, b)
+            checked += want
+    assert checked > 500
+
+
 def test_a_small_table_gives_the_same_ids(reference):
     small = fst_bpe.Transducer(fst_bpe.load_ranks(VOCABULARY), max_steps=50)
     for word in ("internationalisation", "Geschwindigkeit", "ouverture", "qqqqzzzzqq"):
