@@ -29,3 +29,15 @@ def test_merged_periods_are_not_cut_into_days(spark):
     assert moves(got, "Generate") == 0
     assert sorted(map(tuple, got.collect())) == [("x", zero, zero + timedelta(days=4100)),
                                                  ("x", *events[3][1:])]
+
+
+DELIVERED = [("a", 1, 5, "r", "x"), ("a", 1, 5, "r", "x"), ("a", 2, 7, "s", "y"), (None, None, 1, "t", None), ("b", 1, 2, "u", "x"),
+             ("b", 1, 3, "v", "z"), (None, None, 1, "t", None)]
+
+
+def test_deliveries_move_once_to_their_observation(spark):
+    df = spark.createDataFrame(DELIVERED, "obs string, rev int, seq long, change string, pay string")
+    found = resolve.resolved(df, ["obs"], "rev", "seq", "change", ["pay"])
+    assert moves(found.firsts) == moves(found.further) == 1
+    assert rows_of(resolve.duplicates_of(found).drop("agree")) == rows([DELIVERED[0], DELIVERED[3]])
+    assert rows_of(resolve.conflicts_of(found).select(*df.columns, "deliveries")) == rows([(*DELIVERED[4], 2)])
