@@ -34,3 +34,18 @@ def attach_stats(rows: DataFrame, stats: DataFrame, keys: Sequence[str]) -> Data
 
 def group_size(df: DataFrame, keys: Sequence[str], name: str = "rows", *more: Column) -> DataFrame:
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name), *more)
+
+
+#: Rows that one task folds or sorts together.
+TASK_ROWS = 250_000
+
+
+def tasks_for(rows: DataFrame) -> int:
+    """Tasks for a table, so many that the rows of one stay the same when the table grows."""
+    return max(rows.sparkSession.sparkContext.defaultParallelism, -(-rows.count() // TASK_ROWS))
+
+
+def spread(df: DataFrame, keys: Sequence[str], tasks: int) -> DataFrame:
+    """The rows by keys in so many tasks. For keys of few rows each, where combining on the map side would only hold nearly
+    every row of an input file in memory; what is grouped or joined by these keys afterwards is not moved again."""
+    return df.repartition(tasks, *keys)

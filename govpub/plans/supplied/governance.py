@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from govpub.functions.columns import key_text, known_true
-from govpub.functions.skew import latest_by
+from govpub.functions.skew import latest_by, spread, tasks_for
 from govpub.operators import ingest, quality, registry, resolve
 from govpub.plans.supplied.base import ORACLES, Tables, count, out_int, out_num, out_text, query
 from govpub.sources import extract
@@ -447,8 +447,9 @@ def duplicate_keys(t: Tables) -> DataFrame:
     """Key values that occur more than once, for four entities."""
     keys = {"lineitem": ["l_orderkey", "l_linenumber"], "orders": ["o_orderkey"], "customer": ["c_custkey"],
             "events": ["user_id", "event_type"]}
-    parts = [quality.duplicate_keys(t.raw(e), k).select(F.lit(e).alias("entity_name"), key_text(*k).alias("record_key"),
-                                                        out_int("copies").alias("copies")) for e, k in keys.items()]
+    parts = [quality.duplicate_keys(spread(t.raw(e), k, tasks_for(t.raw(e))), k).select(
+        F.lit(e).alias("entity_name"), key_text(*k).alias("record_key"), out_int("copies").alias("copies"))
+        for e, k in keys.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -41,3 +41,12 @@ def test_deliveries_move_once_to_their_observation(spark):
     assert moves(found.firsts) == moves(found.further) == 1
     assert rows_of(resolve.duplicates_of(found).drop("agree")) == rows([DELIVERED[0], DELIVERED[3]])
     assert rows_of(resolve.conflicts_of(found).select(*df.columns, "deliveries")) == rows([(*DELIVERED[4], 2)])
+
+
+def test_tasks_grow_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 10)
+    few = spark.sparkContext.defaultParallelism
+    assert skew.tasks_for(spark.range(5)) == few and skew.tasks_for(spark.range(1005)) == max(few, 101)
+    table = spark.range(1005).selectExpr("id % 1000 AS k")
+    found = quality.duplicate_keys(skew.spread(table, ["k"], skew.tasks_for(table)), ["k"])
+    assert moves(found) == 1 and rows_of(found) == rows([(k, 2) for k in range(5)])
