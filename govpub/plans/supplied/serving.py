@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from govpub.functions.columns import MONEY, VOLUME, half_up, key_text, safe_ratio
+from govpub.functions.skew import spread, tasks_for
 from govpub.operators import derive, graph, measures, publish, recon, registry, resolve
 from govpub.operators.quality import passed
 from govpub.plans.supplied.base import Tables, count, money, out_int, out_num, out_text, query
@@ -457,9 +458,12 @@ FROM r GROUP BY ROLLUP (r_name, n_name)
 def distinct_matrix(t: Tables) -> DataFrame:
     """Distinct customers, suppliers and parts by region, nation and in all, from one pass over the lines."""
     customer = t.raw("customer").select(F.col("c_custkey").alias("o_custkey"), F.col("c_nationkey").alias("n_nationkey"))
-    places = t.orders().join(customer, "o_custkey").join(t.nations(), "n_nationkey").select(
+    tasks = tasks_for(t.raw("lineitem"))
+    orders = spread(t.orders().select("o_orderkey", "o_custkey"), ["o_custkey"], tasks)
+    places = orders.join(spread(customer, ["o_custkey"], tasks), "o_custkey").join(t.nations(), "n_nationkey").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "r_name", "n_name")
-    rows = t.lineitem().select("l_orderkey", "l_suppkey", "l_partkey").join(places, "l_orderkey")
+    lines = t.lineitem().select("l_orderkey", "l_suppkey", "l_partkey")
+    rows = spread(lines, ["l_orderkey"], tasks).join(spread(places, ["l_orderkey"], tasks), "l_orderkey")
     found = measures.distinct_rollup(rows, ["r_name", "n_name"],
                                      {"customers": "o_custkey", "suppliers": "l_suppkey", "parts": "l_partkey"})
     return found.select(out_int("level").alias("level"), "r_name", "n_name",
