@@ -31,6 +31,21 @@ def test_merged_periods_are_not_cut_into_days(spark):
                                                  ("x", *events[3][1:])]
 
 
+def test_ended_chains_are_written_once_and_cycles_end_the_rounds(spark, scratch):
+    links = [(k, k + 1 if k % 5 else None) for k in range(1, 101)] + [(1000, 1001), (1001, 1002), (1002, 1000)]
+    store, saved = Store(spark, root=str(scratch)), []
+
+    def save(df, name):
+        saved.append(store.write(df, f"work.r{name}"))
+        return store.table(f"work.r{name}")
+
+    got = {r["id"]: (r["end_id"], r["steps"], r["cyclic"]) for r in
+           graph.chain_ends(spark.createDataFrame(links, "id long, next long"), save).collect()}
+    assert got == {**{k: (-(-k // 5) * 5, -k % 5, False) for k in range(1, 101)},
+                   **{k: (None, None, True) for k in (1000, 1001, 1002)}}
+    assert saved == [103, 83, 63, 23, 3]
+
+
 DELIVERED = [("a", 1, 5, "r", "x"), ("a", 1, 5, "r", "x"), ("a", 2, 7, "s", "y"), (None, None, 1, "t", None), ("b", 1, 2, "u", "x"),
              ("b", 1, 3, "v", "z"), (None, None, 1, "t", None)]
 
