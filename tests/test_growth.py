@@ -58,6 +58,15 @@ def test_deliveries_move_once_to_their_observation(spark):
     assert rows_of(resolve.conflicts_of(found).select(*df.columns, "deliveries")) == rows([(*DELIVERED[4], 2)])
 
 
+def test_kept_deliveries_do_not_move_for_a_batch(spark):
+    df = spark.createDataFrame(DELIVERED, "obs string, rev int, seq long, change string, pay string")
+    state = resolve.resolved(df, ["obs"], "rev", "seq", "change", ["pay"])
+    batch = df.where("change = 't'").limit(1).unionByName(df.where("change = 'u'"))
+    kept = resolve.rows_of_keys(state.firsts, batch, ["obs"])
+    assert moves(kept, "Exchange hashpartitioning(obs") + moves(kept, "ReusedExchange") >= 2
+    assert rows_of(kept.select("obs", "rev")) == rows([("b", 1), (None, None)])
+
+
 def test_tasks_grow_with_the_table(spark, monkeypatch):
     monkeypatch.setattr(skew, "TASK_ROWS", 10)
     few = spark.sparkContext.defaultParallelism
