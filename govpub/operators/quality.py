@@ -137,15 +137,15 @@ def overlaps(register: DataFrame, keys: Sequence[str], start: str, end: str) ->
     then. Begins and ends are counted per day first, so the running sums go over the days of a
     key, never over pairs of its rows. Empty periods (start >= end) cover nothing.
     """
-    begins = register.groupBy(*keys, F.col(start).alias("_at")).agg(
-        F.count_if(F.col(start) < F.col(end)).alias("_begun"), F.count(F.lit(1)).alias("periods"))
-    ends = register.where(F.col(start) < F.col(end)).groupBy(*keys, F.col(end).alias("_at")).agg(
-        F.count(F.lit(1)).alias("_ended"))
-    zero = F.lit(0).cast("long")
-    points = (begins.withColumn("_ended", zero)
-              .unionByName(ends.withColumns({"_begun": zero, "periods": zero}))
-              .groupBy(*keys, "_at").agg(F.sum("_begun").alias("_begun"), F.sum("_ended").alias("_ended"),
-                                         F.sum("periods").alias("periods")))
+    zero, one, full = F.lit(0).cast("long"), F.lit(1).cast("long"), F.col(start) < F.col(end)
+
+    def point(at: str, begun: Column, ended: Column, periods: Column) -> Column:
+        return F.struct(F.col(at).alias("_at"), begun.alias("_begun"), ended.alias("_ended"), periods.alias("periods"))
+
+    points = register.select(*keys, F.explode(F.array_compact(F.array(
+        point(start, known_true(full).cast("long"), zero, one), F.when(full, point(end, zero, one, zero))))).alias("_point"))
+    points = points.select(*keys, "_point.*").groupBy(*keys, "_at").agg(
+        F.sum("_begun").alias("_begun"), F.sum("_ended").alias("_ended"), F.sum("periods").alias("periods"))
     upto = Window.partitionBy(*keys).orderBy("_at").rowsBetween(Window.unboundedPreceding, 0)
     # Strictly earlier begins: the running sum without the begins of the day itself.
     open_ = F.sum("_begun").over(upto) - F.col("_begun") - F.sum("_ended").over(upto)

@@ -496,6 +496,7 @@ def interval_overlaps(t: Tables) -> DataFrame:
     """Order periods of a customer that begin while an earlier one still runs."""
     periods = t.orders().select("o_custkey", F.col("o_orderdate").alias("valid_from"), F.date_add(
         "o_orderdate", F.floor(F.col("o_totalprice") / 1000).cast("int")).alias("valid_to"))
+    periods = spread(periods, ["o_custkey"], tasks_for(t.raw("orders")))
     found = quality.overlaps(periods, ["o_custkey"], "valid_from", "valid_to")
     return found.select("o_custkey", out_text("valid_from").alias("valid_from"), out_int("periods").alias("periods"),
                         out_int("overlapped_by").alias("overlapped_by"))

@@ -67,6 +67,15 @@ def test_kept_deliveries_do_not_move_for_a_batch(spark):
     assert rows_of(kept.select("obs", "rev")) == rows([("b", 1), (None, None)])
 
 
+def test_periods_move_once_to_be_compared(spark):
+    days = [date(2024, 1, k) for k in range(1, 9)]
+    df = spark.createDataFrame([("k", days[0], days[4]), ("k", days[2], days[3]), ("k", days[4], days[5]), (None, days[0], days[7]),
+                                (None, days[6], days[6]), ("k", None, days[1])], "k string, a date, b date")
+    got = quality.overlaps(skew.spread(df, ["k"], 3), ["k"], "a", "b")
+    assert moves(got) == 1
+    assert rows_of(got) == rows([("k", days[2], 1, 1), (None, days[6], 1, 1)])
+
+
 def test_tasks_grow_with_the_table(spark, monkeypatch):
     monkeypatch.setattr(skew, "TASK_ROWS", 10)
     few = spark.sparkContext.defaultParallelism
@@ -74,3 +83,29 @@ def test_tasks_grow_with_the_table(spark, monkeypatch):
     table = spark.range(1005).selectExpr("id % 1000 AS k")
     found = quality.duplicate_keys(skew.spread(table, ["k"], skew.tasks_for(table)), ["k"])
     assert moves(found) == 1 and rows_of(found) == rows([(k, 2) for k in range(5)])
+
+
+def supplied(spark, folder):
+    """Tables of one order and one line per number."""
+    n, day = spark.range(60), "DATE '2024-01-01' AS {}"
+    for name, columns in {
+            "region": ["0 AS r_regionkey", "'R' AS r_name"], "nation": ["0 AS n_nationkey", "'N' AS n_name", "0 AS n_regionkey"],
+            "customer": ["id AS c_custkey", "0 AS c_nationkey"], "events": ["id AS user_id", "'e' AS event_type"],
+            "orders": ["id AS o_orderkey", "id % 20 AS o_custkey", "'F' AS o_orderstatus", "'1' AS o_orderpriority",
+                       "date_add(DATE '2024-01-01', int(id)) AS o_orderdate", "1e5 AS o_totalprice"],
+            "lineitem": ["id % 30 AS l_orderkey", "id % 7 AS l_partkey", "id % 3 AS l_suppkey", "1 AS l_linenumber",
+                         "'N' AS l_returnflag", "'F' AS l_linestatus", day.format("l_shipdate"), "1.0 AS l_quantity",
+                         "1.0 AS l_extendedprice", "0.0 AS l_discount", "0.0 AS l_tax"]}.items():
+        (n.limit(1) if name in ("region", "nation") else n).selectExpr(*columns).write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_queries_spread_their_rows_over_tasks_that_grow(spark, scratch, monkeypatch):
+    monkeypatch.setattr(skew, "TASK_ROWS", 3)
+    folder = supplied(spark, scratch)
+    found = {name: QUERIES[name](spark, folder) for name in ("duplicate_keys", "distinct_matrix", "interval_overlaps")}
+    for name, df in found.items():
+        assert moves(df, ", 20), REPARTITION_BY_NUM") >= 1, name
+    assert found["duplicate_keys"].count() == 30
+    assert rows_of(found["distinct_matrix"].where("level = 3").select("customers", "suppliers", "parts")) == [(20, 3, 7)]
+    assert found["interval_overlaps"].count() == 40
