@@ -5,6 +5,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -196,6 +197,56 @@ def test_toxicity_learns_and_keeps_to_the_rules(spark):
     assert low < 0.5 <= high
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
+    rng = random.Random(8)
+    long = " ".join(spoken(rng, "en", False) for _ in range(220))  # longer than any bound on texts
+    assert len(long) > 20_000
+    rows = [(k, f"{long} {'blorked blorking' if k % 3 == 0 else ''}", "en") for k in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(90)], "doc_id long, toxic int")
+    found = toxicity.scored(docs, toxicity.train(docs, labels), ["doc_id"]).collect()
+    assert all((r["score"] >= 0.5) == (r["doc_id"] % 3 == 0) for r in found)
+    # counts of pieces, parts of the training and steps of the cuts hold every row, however many of a label there are
+    rows = [(k, f"{spoken(rng, 'en', k % 10 == 0)} only{k % 300}", "en" if k % 2 else None) for k in range(2400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 10 == 0)) for k in range(2400)], "doc_id long, toxic int")
+    parts, counts, cuts = [], toxicity._counted, toxicity._cuts
+    whole = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+
+    def counted(learned, names, zeros, ones):
+        bucket, of, n = counts(learned, names, zeros, ones)
+        want = [Counter(), Counter()]
+        for _, text, lang in whole:
+            for word in toxicity.words_of(text):
+                for piece in toxicity.pieces(word):
+                    want[lang is not None][piece] += 1
+        assert (zeros + ones, names) == (len(whole), ["en"])
+        assert all(want[o + 1][b] == k for b, o, k in zip(bucket, of, n)) and len(n) > 100
+        return bucket, of, n
+
+    def round_of(learned, row_of, params, past, share, n, *more):
+        parts.append((n, learned.count()))
+        return trained(learned, row_of, params, past, share, n, *more)
+
+    def cuts_of(of, step, zero, one, *more):
+        assert zero.sum() + one.sum() + sum({n for _, n in parts}) == len(whole)
+        return cuts(of, step, zero, one, *more)
+
+    trained = toxicity._round
+    monkeypatch.setattr(toxicity, "_counted", counted)
+    monkeypatch.setattr(toxicity, "_round", round_of)
+    monkeypatch.setattr(toxicity, "_cuts", cuts_of)
+    monkeypatch.setattr(toxicity, "PART_TEXTS", 300)
+    found = toxicity.scored(docs, toxicity.train(docs, labels), ["doc_id"]).collect()
+    assert {n for n, _ in parts} == {-(-parts[0][1] // 300)} and parts[0][1] > 1300 and len(parts) == toxicity.ROUNDS
+    assert sum((r["score"] >= 0.5) == (r["doc_id"] % 10 == 0) for r in found) >= 0.98 * len(found)
+    # rounds with texts of their own hold every one of them once
+    texts, _ = parts[0][1], parts.clear()
+    monkeypatch.setattr(toxicity, "PASS_TEXTS", 100)
+    toxicity.train(docs, labels)
+    assert sum(n for _, n in parts) == texts and min(n for _, n in parts) > texts / 4
+
+
 def test_segments_give_the_values_of_the_whole(monkeypatch):
     rng = random.Random(6)
     texts = [spoken(rng, ("en", "de")[k % 2], k % 3 == 0) for k in range(60)] + ["", "one"]
