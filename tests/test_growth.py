@@ -6,6 +6,7 @@ from govpub.functions import skew
 from govpub.operators import derive, graph, quality, resolve
 from govpub.plans.supplied import QUERIES
 from govpub.sources.store import Store
+from govpub.streaming import revisions
 
 
 def rows(got):
@@ -67,6 +68,21 @@ def test_kept_deliveries_do_not_move_for_a_batch(spark):
     assert rows_of(kept.select("obs", "rev")) == rows([("b", 1), (None, None)])
 
 
+def test_followed_revisions_move_once_to_be_read(spark, scratch):
+    store, key = Store(spark, root=str(scratch)), (["obs"], "rev")
+    df = spark.createDataFrame(DELIVERED, "obs string, rev int, seq long, change string, pay string")
+    for epoch, rows_sent in ((revisions.FOLDED, df.limit(3)), ("0" * 20, df.limit(5)), ("0" * 19 + "1", df)):
+        groups = resolve.revision_groups(rows_sent, *key, "seq", "change", ["pay"], highest_sequence="_high")
+        store.replace_slice(groups, "silver.r", {revisions.EPOCH: epoch})
+    got = revisions.latest(store, "silver.r", *key, df.columns)
+    assert moves(got) == 1 and moves(got, "Aggregate") == 0
+    want = rows_of(resolve.latest_of(resolve.resolved(df, *key, "seq", "change", ["pay"]), df.columns))
+    assert rows_of(got) == want
+    revisions.compact(store, "silver.r", ["obs", "rev"])
+    assert store.table("silver.r").count() == 4
+    assert rows_of(revisions.latest(store, "silver.r", *key, df.columns)) == want
+
+
 def test_periods_move_once_to_be_compared(spark):
     days = [date(2024, 1, k) for k in range(1, 9)]
     df = spark.createDataFrame([("k", days[0], days[4]), ("k", days[2], days[3]), ("k", days[4], days[5]), (None, days[0], days[7]),
