@@ -247,6 +247,47 @@ def test_toxicity_learns_from_all_labelled_rows(spark, monkeypatch):
     assert sum(n for _, n in parts) == texts and min(n for _, n in parts) > texts / 4
 
 
+def test_toxicity_trains_on_every_text_as_often_however_many_there_are(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(k, spoken(rng, "en", k % 3 == 0), "en") for k in range(300)]
+    rows += [(k, spoken(rng, "en", k % 3 == 0), "en") for k in range(0, 300, 10)]  # ids that come again with another text
+    docs = spark.createDataFrame(rows + rows[:20], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(300)], "doc_id long, toxic int")
+    learned = sorted(r["text"] for r in docs.where(~toxicity.held_out()).where(
+        F.pmod(F.xxhash64("doc_id", F.lit(toxicity.SEED)), F.lit(4)) != 3).distinct().collect())
+    for most in (10_000, 100):
+        passes, trained = Counter(), toxicity._round
+
+        def round_of(some, row_of, params, past, share, parts, turn, epochs):
+            passes.update({r["text"]: epochs for r in some.collect()})
+            return trained(some, row_of, params, past, share, parts, turn, epochs)
+
+        with monkeypatch.context() as patch:
+            patch.setattr(toxicity, "PASS_TEXTS", most)
+            patch.setattr(toxicity, "_round", round_of)
+            found = toxicity.scored(docs, toxicity.train(docs, labels), ["doc_id"]).collect()
+        assert sorted(passes) == learned and set(passes.values()) == {toxicity.ROUNDS * toxicity.EPOCHS}
+        assert sum((r["score"] >= 0.5) == (r["doc_id"] % 3 == 0) for r in found) >= 0.97 * len(found)
+
+
+def test_sums_and_windows_of_words():
+    rng = np.random.default_rng(3)
+    row_of = np.where(rng.random(1 << toxicity.BITS) < 0.5, rng.integers(0, 50, 1 << toxicity.BITS), -1).astype(np.int32)
+    words, vectors = toxicity.Words(row_of), rng.normal(size=(50, 4)).astype(np.float32)
+    texts = [b"", b"a", b"some", b"somewhat", b"longerwords", b"a"]
+    own = words.of(texts)
+    want = [sum((vectors[row_of[p]] for p in toxicity.pieces(w) if row_of[p] >= 0 and w), np.zeros(4)) for w in texts]
+    assert np.allclose(words.sums(vectors, own), want, atol=1e-5) and words.sums(vectors, own[:0]).shape == (0, 4)
+    filters, sums = rng.normal(size=(4, toxicity.FILTERS * sum(toxicity.WIDTHS))), rng.normal(size=(9, 4))
+    got, at = toxicity.windows((sums @ filters)[:, toxicity._BY_PLACE]), 0
+    for k, width in enumerate(toxicity.WIDTHS):
+        for f in range(toxicity.FILTERS):
+            parts = [filters[:, at + i * toxicity.FILTERS + f] for i in range(width)]
+            assert np.allclose(got[:10 - width, k * toxicity.FILTERS + f],
+                               [sum(sums[j + i] @ parts[i] for i in range(width)) for j in range(10 - width)])
+        at += width * toxicity.FILTERS
+
+
 def test_segments_give_the_values_of_the_whole(monkeypatch):
     rng = random.Random(6)
     texts = [spoken(rng, ("en", "de")[k % 2], k % 3 == 0) for k in range(60)] + ["", "one"]
