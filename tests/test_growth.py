@@ -83,6 +83,22 @@ def test_followed_revisions_move_once_to_be_read(spark, scratch):
     assert rows_of(revisions.latest(store, "silver.r", *key, df.columns)) == want
 
 
+def test_followed_revisions_are_kept_on_disk(spark, scratch):
+    store, key, path = Store(spark, root=f"{scratch}/lake"), (["obs"], "rev"), f"{scratch}/landing"
+    df = spark.createDataFrame(DELIVERED, "obs string, rev int, seq long, change string, pay string")
+    before = {k: spark.conf.get(k, None) for k in revisions.STATE}
+    for some in (df.limit(3), df.exceptAll(df.limit(3))):
+        some.write.mode("append").parquet(path)
+        run = revisions.follow(store, path, df.schema, lambda rows: rows, "feed", *key, "seq", "change", ["pay"], "silver.r",
+                               f"{scratch}/checkpoint")
+        run.awaitTermination()
+        (state,) = run.lastProgress["stateOperators"]
+        assert "rocksdbPutCount" in state["customMetrics"]
+    assert {k: spark.conf.get(k, None) for k in revisions.STATE} == before
+    assert rows_of(revisions.latest(store, "silver.r", *key, df.columns)) == rows_of(
+        resolve.latest_of(resolve.resolved(df, *key, "seq", "change", ["pay"]), df.columns))
+
+
 def test_periods_move_once_to_be_compared(spark):
     days = [date(2024, 1, k) for k in range(1, 9)]
     df = spark.createDataFrame([("k", days[0], days[4]), ("k", days[2], days[3]), ("k", days[4], days[5]), (None, days[0], days[7]),
