@@ -270,6 +270,29 @@ def test_toxicity_trains_on_every_text_as_often_however_many_there_are(spark, mo
         assert sum((r["score"] >= 0.5) == (r["doc_id"] % 3 == 0) for r in found) >= 0.97 * len(found)
 
 
+def test_parts_are_averaged_exactly(spark):
+    rng = random.Random(2)
+    texts = [spoken(rng, "en", k % 3 == 0) for k in range(90)]
+    labels = np.array([int(k % 3 == 0) for k in range(90)])
+    row_of = np.arange(1 << toxicity.BITS, dtype=np.int32) % 700
+    rows = spark.createDataFrame([(toxicity.ROUNDS * k, int(y), t) for k, (t, y) in enumerate(zip(texts, labels))],
+                                 "place long, label int, text string")
+    for parts in (1, 2):
+        (params, past), begun = toxicity._begin(700), toxicity._begin(700)
+        toxicity._round(rows, row_of, params, past, 0.3, parts, 0, 2)
+        found = []
+        for part in range(parts):
+            words, own = toxicity.Words(row_of), [x.copy() for x in begun]
+            coded = [words.of(toxicity.words_of(t)) for t in texts[part::parts]]
+            toxicity.learn(*own, coded, labels[part::parts], 0.3, words, 0, 2)
+            found.append((len(coded), *own))
+        moved = np.array([(x != begun[0]).any(axis=1) * n for n, x, _ in found], float)
+        for k, got in enumerate((params, past)):
+            total = sum(w[:, None] * f[k + 1].astype(float) for w, f in zip(moved, found))
+            want = np.divide(total, moved.sum(axis=0)[:, None], out=begun[k].astype(float), where=moved.sum(axis=0)[:, None] > 0)
+            assert np.array_equal(got, want.astype(np.float32))
+
+
 def test_sums_and_windows_of_words():
     rng = np.random.default_rng(3)
     row_of = np.where(rng.random(1 << toxicity.BITS) < 0.5, rng.integers(0, 50, 1 << toxicity.BITS), -1).astype(np.int32)
